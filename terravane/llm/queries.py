@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_rules, secrets, simhash
+from . import decontaminate, packing, quality_rules, secrets, simhash, substrings
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_duplicates(table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality_rules.apply_policy(quality_rules.ledger(table(spark, sf_dir, "documents")), "v1")
     failed = F.col("fail_bits").bitwiseAND(F.lit(quality_rules.mask("base"))) != 0

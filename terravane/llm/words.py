@@ -21,8 +21,8 @@ def table(keep) -> np.ndarray:
     return np.array([keep(b) for b in range(256)], np.uint8)
 
 
-#: Words are runs of everything but white space, letters as they are.
-PLAIN = table(lambda b: 0 if b == 32 or 9 <= b <= 13 else (b or 1))
+#: Words are runs of everything but white space, as they are; UTF-8 has no byte 255, which stands for byte 0 here.
+PLAIN = table(lambda b: 0 if b == 32 or 9 <= b <= 13 else (b or 255))
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
