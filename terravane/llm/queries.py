@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_rules, secrets, simhash, substrings
-from .common import table
+from . import decontaminate, language, packing, ppm, quality_model, quality_rules, secrets, sharding, simhash, substrings
+from .common import shared_folder, table
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -26,6 +27,19 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents in 11 arrivals (four of a 32nd, seven of an 8th), compacted; every row with its shard and content."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.Store(spark, f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
+    part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(32))
+    store.append_by(docs, F.when(part < 4, part).otherwise(4 + F.floor((part - 4) / 4)).cast("int"))
+    version = store.compact(docs.schema)
+    store.vacuum()
+    rows = store.read(version, schema=docs.schema)
+    shard = F.regexp_extract(F.col("_metadata.file_path"), r"/shards/(.+)/[^/]+$", 1)
+    return rows.select("doc_id", F.sha2("text", 256).alias("text_sha256"), F.xxhash64(*docs.columns).alias("row_hash"), shard.alias("shard"), F.lit(version).cast("long").alias("version"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_duplicates(table(spark, sf_dir, "documents"), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -40,10 +54,25 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.occurrences(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = language.learn(docs.where(~language.held_out("doc_id")))
+    return language.identify(docs, learned)
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.score(docs, quality_model.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -55,3 +55,10 @@ def test_null_ids_repeats_and_empty(spark, empty):
     r = substrings.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(x["doc_id"]), x["n_removed"]) for x in r) == [("3", 30), ("3", 30), ("5", 30), ("6", 0), ("None", 0)]
     assert substrings.remove_duplicates(empty).count() == 0
+
+
+def test_one_id_for_two_texts(spark):
+    p = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, "a b " + p), (2, p), (2, "c " + p), (2, "d e f")]
+    r = substrings.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["n_words"], x["n_removed"]) for x in r) == [(1, 32, 0), (2, 3, 0), (2, 30, 30), (2, 31, 30)]
