@@ -103,8 +103,8 @@ def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Record
 
 def _anchors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _batches(batches, 2):
-            p = Parsed(part.column(2), window)
+        for part in _batches(batches, 1):
+            p = Parsed(part.column(1), window)
             # One row for each minimiser of a document, with the number of its places there.
             new = np.ones(len(p.anchor), bool)
             new[1:] = np.diff(p.anchor) != 0
@@ -113,8 +113,7 @@ def _anchors(window: int):
             doc, key = doc[order], key[order]
             head = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(key) != 0)])) if len(doc) else np.zeros(0, np.int64)
             n = np.diff(np.append(head, len(doc)))
-            take = pa.array(doc[head])
-            yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(key[head]), pa.array(n, pa.int64())], ["kd", "th", "anchor", "n"])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc[head])), pa.array(key[head]), pa.array(n, pa.int64())], ["kd", "anchor", "n"])
 
     return run
 
@@ -136,7 +135,10 @@ def _unpacked(column: pa.Array) -> pa.Array:
 
 
 def _windows(window: int):
-    """Rows (h1, h2, kd, th, start, rest): a window's hashes, its first place in the batch, its other places there."""
+    """Rows (h1, h2, kd, th, start, rest): a window's hashes, its first place in the batch, its other places there.
+
+    th is 0 unless several texts have the id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +154,9 @@ def _windows(window: int):
                 take = np.isin(mine, known)
                 w, doc = p.windows[take], p.doc[take]
                 h1, h2 = grams(p.h, window)[w].view(np.int64), grams(p.h, window, salt=0x5BD1E995)[w].view(np.int64)
-                kd, th = (np.asarray(batch.column(k))[a:b][doc] for k in (0, 1))
+                kd = np.asarray(batch.column(0))[a:b][doc]
+                shared = batch.column(4).slice(a, b - a).to_numpy(zero_copy_only=False)
+                th = np.where(shared, np.asarray(batch.column(1))[a:b], 0)[doc]
                 start = w - p.first[doc]
                 order = np.lexsort((start, kd, h2, h1))
                 h1, h2, kd, th, start = (x[order] for x in (h1, h2, kd, th, start))
@@ -249,12 +253,19 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept_text is null unless texts.
     """
     source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("kd"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
-    anchors = source.mapInArrow(_anchors(window), "kd long, th long, anchor long, n long")
+    anchors = source.select("kd", "text").mapInArrow(_anchors(window), "kd long, anchor long, n long")
     repeated = saved(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
-    wanted = anchors.select("kd", "th", "anchor").join(repeated, "anchor").groupBy("kd", "th").agg(F.collect_list("anchor").alias("anchors"))
+    by_id = anchors.select("kd", "anchor").join(repeated, "anchor").groupBy("kd").agg(F.collect_list("anchor").alias("anchors"))
+    shared = source.select("kd", "th").groupBy("kd").agg((F.min("th") != F.max("th")).alias("shared")).where("shared")
+    wanted = by_id.join(shared, "kd", "left").select("kd", "anchors", F.coalesce("shared", F.lit(False)).alias("shared"))
+    # The texts are sent once: both joins below deal them by the same key, and Spark reuses that exchange. For this
+    # the first is an outer join too; documents without a wanted minimiser give no windows.
     packed = source.mapInArrow(_packed, "kd long, th long, z binary")
-    windows = packed.join(wanted, ["kd", "th"]).select("kd", "th", "z", "anchors").mapInArrow(_windows(window), "h1 long, h2 int, kd long, th long, start int, rest binary")
+    windows = packed.join(wanted, "kd", "left").select("kd", "th", "z", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("shared", F.lit(False)).alias("shared"))
+    windows = windows.mapInArrow(_windows(window), "h1 long, h2 int, kd long, th long, start int, rest binary")
     blocks = windows.repartition("h1").sortWithinPartitions("h1", "h2", "kd", "start")
     starts = blocks.mapInArrow(_later, "kd long, th long, starts array<int>").groupBy("kd", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    out = packed.join(starts, ["kd", "th"], "left").select("kd", "z", "starts").mapInArrow(_removed(window, texts), "kd long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<start:int,end:int>>")
+    starts = starts.select(F.col("kd").alias("kd2"), F.col("th").alias("th2"), "starts")
+    out = packed.join(starts, (F.col("kd") == F.col("kd2")) & ((F.col("th2") == 0) | (F.col("th2") == F.col("th"))), "left")
+    out = out.select("kd", "z", "starts").mapInArrow(_removed(window, texts), "kd long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<start:int,end:int>>")
     return out.select(F.when(F.col("kd") != NULL_ID, F.col("kd")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text", "spans")
