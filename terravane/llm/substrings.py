@@ -173,20 +173,8 @@ def _windows(window: int):
 
 
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by window and place: for each document the starts of windows that have an earlier place."""
+    """From rows sorted by window and place: (kd, th, start) of every window that has an earlier place."""
     key, first = None, None
-    kept: list[np.ndarray] = []
-    size = 0
-
-    def grouped() -> pa.RecordBatch:
-        all_ = np.concatenate(kept) if kept else np.zeros((0, 3), np.int64)
-        all_ = all_[np.lexsort((all_[:, 2], all_[:, 1], all_[:, 0]))]
-        head = np.ones(len(all_), bool)
-        head[1:] = (np.diff(all_[:, 0]) != 0) | (np.diff(all_[:, 1]) != 0)
-        heads = np.flatnonzero(head)
-        starts = pa.ListArray.from_arrays(pa.array(np.append(heads, len(all_)), pa.int32()), pa.array(all_[:, 2], pa.int32()))
-        return pa.RecordBatch.from_arrays([pa.array(all_[heads, 0]), pa.array(all_[heads, 1]), starts], ["kd", "th", "starts"])
-
     for b in batches:
         if not b.num_rows:
             continue
@@ -200,7 +188,7 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_kd = np.concatenate([[none[0]], kd[heads]])[group]
         at_start = np.concatenate([[none[1]], start[heads]])[group]
         own = same & ((kd != at_kd) | (start != at_start))
-        kept.append(np.stack([kd, th, start], axis=1)[own])
+        kept = [np.stack([kd, th, start], axis=1)[own]]
         rest = b.column(5).cast(pa.large_binary())
         ends = np.frombuffer(rest.buffers()[1], np.int64)[rest.offset : rest.offset + len(rest) + 1]
         if ends[-1] > ends[0]:
@@ -208,11 +196,8 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             of = np.repeat(np.arange(len(h1)), np.diff(ends) // 24)
             kept.append(places[(places[:, 0] != at_kd[of]) | (places[:, 2] != at_start[of])])
         key, first = (h1[-1], h2[-1]), (at_kd[-1], at_start[-1])
-        size += sum(map(len, kept[-2:]))
-        if size > 2_000_000:
-            yield grouped()
-            kept, size = [], 0
-    yield grouped()
+        found = np.concatenate(kept)
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2], pa.int32())], ["kd", "th", "start"])
 
 
 def _removed(window: int, texts: bool):
@@ -264,7 +249,7 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     windows = packed.join(wanted, "kd", "left").select("kd", "th", "z", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("shared", F.lit(False)).alias("shared"))
     windows = windows.mapInArrow(_windows(window), "h1 long, h2 int, kd long, th long, start int, rest binary")
     blocks = windows.repartition("h1").sortWithinPartitions("h1", "h2", "kd", "start")
-    starts = blocks.mapInArrow(_later, "kd long, th long, starts array<int>").groupBy("kd", "th").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    starts = blocks.mapInArrow(_later, "kd long, th long, start int").groupBy("kd", "th").agg(F.collect_list("start").alias("starts"))
     starts = starts.select(F.col("kd").alias("kd2"), F.col("th").alias("th2"), "starts")
     out = packed.join(starts, (F.col("kd") == F.col("kd2")) & ((F.col("th2") == 0) | (F.col("th2") == F.col("th"))), "left")
     out = out.select("kd", "z", "starts").mapInArrow(_removed(window, texts), "kd long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<start:int,end:int>>")
