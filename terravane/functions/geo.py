@@ -1,0 +1,97 @@
+"""Geodesy and geometry as column expressions; everything runs inside code generation.
+
+Coordinates are degrees, longitude and latitude in that order unless a name says otherwise. A null operand gives null.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Radii of the earth, and units.
+EARTH_NM = 3440.065
+EARTH_M = 6371008.8
+MILES_PER_NM = 1.15078
+
+
+def key_lon(k: Column) -> Column:
+    """A synthetic longitude for tables that have a key but no coordinates."""
+    return F.lit(-67.3) + ((k * 37) % 1800).cast("double") / 1000.0
+
+
+def key_lat(k: Column) -> Column:
+    return F.lit(17.9) + ((k * 53) % 700).cast("double") / 1000.0
+
+
+def haversine(lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius: float = EARTH_M) -> Column:
+    """Great-circle distance in the unit of radius."""
+    p = F.sin(F.radians(lat2 - lat1) / 2)
+    q = F.sin(F.radians(lon2 - lon1) / 2)
+    a = p * p + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * q * q
+    return F.lit(2.0 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+
+
+def bearing(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
+    """Initial bearing in degrees, 0 to 360."""
+    d = F.radians(lon2 - lon1)
+    y = F.sin(d) * F.cos(F.radians(lat2))
+    x = F.cos(F.radians(lat1)) * F.sin(F.radians(lat2)) - F.sin(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.cos(d)
+    return F.pmod(F.degrees(F.atan2(y, x)) + 360.0, F.lit(360.0))
+
+
+def planar(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+    """Distance in the plane, in the unit of the coordinates."""
+    return F.sqrt((x1 - x2) * (x1 - x2) + (y1 - y2) * (y1 - y2))
+
+
+def nearest_of(lon: Column, lat: Column, points: Sequence[tuple[float, float]]) -> Column:
+    """Planar distance in degrees to the nearest of a few fixed (lat, lon) points."""
+    return F.least(*(planar(lon, lat, F.lit(x), F.lit(y)) for y, x in points))
+
+
+def in_box(lon: Column, lat: Column, box: Sequence[float]) -> Column:
+    """Inside or on the edge of (min lon, min lat, max lon, max lat)."""
+    return lon.between(F.lit(box[0]), F.lit(box[2])) & lat.between(F.lit(box[1]), F.lit(box[3]))
+
+
+def in_ring(lon: Column, lat: Column, ring: Sequence[tuple[float, float]], eps: float = 1e-12) -> Column:
+    """Inside a closed ring by ray casting; points on its boundary count as inside."""
+    crossings, on_edge = F.lit(0), F.lit(False)
+    for (ax, ay), (bx, by) in zip(ring, ring[1:], strict=False):
+        cross = F.lit(bx - ax) * (lat - ay) - F.lit(by - ay) * (lon - ax)
+        box = lon.between(min(ax, bx) - eps, max(ax, bx) + eps) & lat.between(min(ay, by) - eps, max(ay, by) + eps)
+        on_edge = on_edge | ((F.abs(cross) <= eps) & box)
+        if ay != by:
+            at = F.lit(ax) + (lat - ay) * (bx - ax) / (by - ay)
+            crossings = crossings + (((F.lit(ay) > lat) != (F.lit(by) > lat)) & (lon < at)).cast("int")
+    return on_edge | (crossings % 2 == 1)
+
+
+def in_polygon(lon: Column, lat: Column, rings: Sequence[Sequence[tuple[float, float]]]) -> Column:
+    """Inside the outer ring and in no hole; the edge of a hole belongs to the polygon."""
+    inside = in_ring(lon, lat, rings[0])
+    for hole in rings[1:]:
+        edge = F.lit(False)
+        for (ax, ay), (bx, by) in zip(hole, hole[1:], strict=False):
+            cross = F.lit(bx - ax) * (lat - ay) - F.lit(by - ay) * (lon - ax)
+            edge = edge | ((F.abs(cross) <= 1e-12) & lon.between(min(ax, bx), max(ax, bx)) & lat.between(min(ay, by), max(ay, by)))
+        inside = inside & (~in_ring(lon, lat, hole) | edge)
+    return inside
+
+
+def xyz_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
+    """Column and row of the web map tile."""
+    n = float(1 << zoom)
+    x = F.floor((lon + 180.0) / 360.0 * n)
+    r = F.radians(lat)
+    y = F.floor((F.lit(1.0) - F.ln(F.tan(r) + F.lit(1.0) / F.cos(r)) / F.lit(3.141592653589793)) / 2.0 * n)
+    return x.cast("long"), y.cast("long")
+
+
+def linearity(xx: Column, yy: Column, xy: Column) -> Column:
+    """How elongated a cloud is, from its population covariances: 1 on a line, 0 in a round cloud or none."""
+    trace = xx + yy
+    spread = F.sqrt(F.greatest(F.lit(0.0), ((xx - yy) / 2.0) * ((xx - yy) / 2.0) + xy * xy))
+    return F.when(trace <= 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2.0 * spread / trace)))
