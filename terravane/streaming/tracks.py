@@ -1,7 +1,7 @@
 """Streaming forms of the track checks and of repeated alerts.
 
 Both run on any streaming DataFrame with the batch columns. State is kept for each flight or alert key and is bounded:
-a flight's state is one point and goes after `forget` of silence; alert keys go with the watermark.
+a flight's state is one point and goes when the watermark is `forget` past it; alert keys go with the watermark.
 """
 
 from __future__ import annotations
@@ -52,16 +52,21 @@ def _validator(forget_ms: int):
             last = (r.ts.to_pydatetime(), float(r.lon), float(r.lat), float(r.alt_ft))
         if last is not None:
             state.update(last)
-        state.setTimeoutDuration(forget_ms)
+        # The watermark may already be past a quiet flight's last point.
+        due = int(last[0].timestamp() * 1000) + forget_ms if last is not None else forget_ms
+        state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame(out, columns=["flight_id", "point_id", "check_type", "passed", "measure"])
 
     return step
 
 
-def validate(points: DataFrame, forget_ms: int = 6 * 3600 * 1000) -> DataFrame:
-    """The checks of `operators.tracks.validate` over a stream, each point against the last one before it."""
-    cols = points.select("flight_id", "point_id", F.col("ts").cast("timestamp").alias("ts"), "lon", "lat", F.col("alt_ft").cast("double").alias("alt_ft"))
-    return cols.groupBy("flight_id").applyInPandasWithState(_validator(forget_ms), CHECK, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+def validate(points: DataFrame, forget_ms: int = 6 * 3600 * 1000, late: str = "1 hour") -> DataFrame:
+    """The checks of `operators.tracks.validate` over a stream, each point against the last one before it.
+
+    Points more than `late` behind the newest time seen are left out by the watermark.
+    """
+    cols = points.select("flight_id", "point_id", F.col("ts").cast("timestamp").alias("ts"), "lon", "lat", F.col("alt_ft").cast("double").alias("alt_ft")).withWatermark("ts", late)
+    return cols.groupBy("flight_id").applyInPandasWithState(_validator(forget_ms), CHECK, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def without_repeats(alerts: DataFrame, within: str = "24 hours") -> DataFrame:
