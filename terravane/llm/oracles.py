@@ -1,3 +1,35 @@
-"""DuckDB SQL for the text operators that SQL can express."""
+"""SQL of the text operators that SQL can say, for DuckDB.
 
-SQL: dict[str, str] = {}
+The others have none: fingerprints (XXH64 with a seed), learned models, compressed sizes and token ids are beyond SQL,
+spans need lookarounds, and a join of all windows is too slow on whole tables. Their tests hold them against plain
+versions.
+"""
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text,''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+QUALITY = rf"""WITH w AS (SELECT doc_id, coalesce(text,'') AS text, {_WORDS} AS w FROM documents),
+ g AS (SELECT *, CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w)-3), lambda i: array_to_string(w[i:i+4], ' ')) ELSE []::VARCHAR[] END AS grams,
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM w),
+ k AS (SELECT row_number() OVER () AS r, * FROM g),
+ u AS (SELECT r, unnest(grams) AS gram, unnest(range(1, len(grams)+1)) AS i FROM k),
+ t AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM u) WHERE n > 1),
+ s AS (SELECT r, least(5, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 5)) AS c FROM t),
+ rep AS (SELECT r, sum(c) AS n FROM s GROUP BY r),
+ m AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))),0)::BIGINT AS word_chars, (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+ len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n,0)::BIGINT AS n_repeat_words FROM k LEFT JOIN rep USING (r)),
+ f AS (SELECT *, ((n_words < 10)::INT + 2*(100*n_repeat_words > 20*n_words)::INT + 4*(10*n_symbols > 4*n_words)::INT + 8*(n_lines > 3 AND 2*n_dup_lines > n_lines)::INT
+ + 16*(word_chars < 2*n_words OR word_chars > 40*n_words)::INT)::BIGINT AS fail_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f"""
+
+_LOW = r"list_filter(regexp_split_to_array(translate(coalesce(text,''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+
+DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOW} AS w FROM documents), b AS (SELECT item_id, {_LOW} AS w FROM benchmark WHERE item_id IS NOT NULL),
+ p AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(10, len(w)) AS m, array_to_string(w[i:i+least(10, len(w))-1], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, len(w)-least(10, len(w))+2)) AS i FROM b WHERE len(w) > 0)),
+ lens AS (SELECT DISTINCT m FROM p),
+ x AS (SELECT r, m, i, array_to_string(w[i:i+m-1], ' ') AS gram FROM (SELECT r, w, m, unnest(range(1, len(w)-m+2)) AS i FROM d, lens WHERE len(w) >= m)),
+ hit AS (SELECT r, x.m, i, item FROM x JOIN p ON x.m = p.m AND x.gram = p.gram),
+ cov AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i+m)) AS j FROM hit) GROUP BY r),
+ it AS (SELECT r, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS sha FROM hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit,0)::BIGINT AS n_hit, coalesce(n_items,0)::BIGINT AS n_items, coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit,0) > 0 AS contaminated FROM d LEFT JOIN cov USING (r) LEFT JOIN it USING (r)"""
+
+SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_decontaminate": DECONTAMINATE}
