@@ -48,7 +48,9 @@ def planar(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 def nearest_of(lon: Column, lat: Column, points: Sequence[tuple[float, float]]) -> Column:
     """Planar distance in degrees to the nearest of a few fixed (lat, lon) points."""
-    return F.least(*(planar(lon, lat, F.lit(x), F.lit(y)) for y, x in points))
+    # A folded array and one lambda: written out, this many terms would be too long to compile.
+    fixed = F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for y, x in points))
+    return F.array_min(F.transform(fixed, lambda p: planar(lon, lat, p["x"], p["y"])))
 
 
 def in_box(lon: Column, lat: Column, box: Sequence[float]) -> Column:

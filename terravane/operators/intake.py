@@ -20,7 +20,8 @@ def nearness_class(lon: Column, lat: Column) -> Column:
     """MBIL-3 to MBIL-0 by distance to the nearest municipal centre; MBIL-X outside the region or without a place."""
     km = geo.nearest_of(lon, lat, fixed.MUNICIPAL_CENTRES) * 111.0
     known = lon.isNotNull() & lat.isNotNull() & geo.in_box(lon, lat, fixed.REGION)
-    return F.when(~known, "MBIL-X").when(km < 5.0, "MBIL-3").when(km < 10.0, "MBIL-2").when(km < 15.0, "MBIL-1").otherwise("MBIL-0")
+    by_distance = F.transform(F.array(km), lambda k: F.when(k < 5.0, "MBIL-3").when(k < 10.0, "MBIL-2").when(k < 15.0, "MBIL-1").otherwise("MBIL-0"))[0]
+    return F.when(F.coalesce(known, F.lit(False)), by_distance).otherwise("MBIL-X")
 
 
 def nearness_weight(name: Column) -> Column:

@@ -116,17 +116,28 @@ def ranked_fallback(candidates: DataFrame, contracts: DataFrame, max_deg: float
     """The strongest contract of each candidate: by nearness, else by municipality code, else by name.
 
     candidates: id, lon, lat, code, name; contracts: record_id, lon, lat, code, name, score. The strength is the
-    contract's score times 1 - d / max_deg, 0.65 or 0.50. For the two equality branches only the best contract of a
-    code or name can win, so these are one row for each key; only the nearness branch joins points. The first
-    contract by record_id wins a tie.
+    contract's score times 1 - d / max_deg, 0.65 or 0.50; the first contract by record_id wins a tie. A pair that is
+    near counts by nearness only, so of a code or name the best contract that is not near to the candidate can win:
+    contracts are ranked by key and the first rank that none of the candidate's near contracts holds is joined. No
+    candidate needs more ranks than its near contracts and one, which bounds the ranked table.
     """
-    top = lambda key: contracts.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct("score", (-F.col("record_id")).alias("r"))).alias("t")).select(key, F.col("t.score").alias("score"), (-F.col("t.r")).alias("record_id"))
     a = candidates.select("id", "lon", "lat", F.floor(F.col("lon") / max_deg).alias("x"), F.floor(F.col("lat") / max_deg).alias("y"))
     b = contracts.where("lon is not null and lat is not null").select("record_id", "score", F.col("lon").alias("lon2"), F.col("lat").alias("lat2"), _around(F.col("lon"), F.col("lat"), max_deg).alias("c")).select("record_id", "score", "lon2", "lat2", "c.x", "c.y")
     d = geo.planar(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))
     near = a.join(b, ["x", "y"]).withColumn("d", d).where(F.col("d") < max_deg).select("id", "record_id", "score", (F.lit(1.0) - F.col("d") / max_deg).alias("proximity"), F.lit("point_proximity").alias("relation"))
-    by_code = candidates.select("id", "code").join(top("code"), "code").select("id", "record_id", "score", F.lit(0.65).alias("proximity"), F.lit("municipality_code").alias("relation"))
-    by_name = candidates.select("id", "name").join(top("name"), "name").select("id", "record_id", "score", F.lit(0.50).alias("proximity"), F.lit("municipality_name").alias("relation"))
+    near = saved(near)
+    most = near.groupBy("id").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+
+    def by(key: str, proximity: float, relation: str) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(F.desc("score"), "record_id")
+        ranked = saved(contracts.where(F.col(key).isNotNull()).select(key, "record_id", "score", F.row_number().over(w).alias("n")).where(F.col("n") <= most + 1))
+        own = candidates.where(F.col(key).isNotNull()).select("id", key)
+        held = near.select("id", "record_id").join(own, "id").join(ranked.select(key, "record_id", "n"), [key, "record_id"]).groupBy("id").agg(F.array_sort(F.collect_set("n")).alias("ns"))
+        free = F.aggregate(F.coalesce("ns", F.array().cast("array<int>")), F.lit(1), lambda m, n: F.when(n == m, m + 1).otherwise(m))
+        wanted = own.join(held, "id", "left").select("id", key, free.alias("n"))
+        return wanted.join(ranked, [key, "n"]).select("id", "record_id", "score", F.lit(proximity).alias("proximity"), F.lit(relation).alias("relation"))
+
+    by_code, by_name = by("code", 0.65, "municipality_code"), by("name", 0.50, "municipality_name")
     every = near.unionByName(by_code).unionByName(by_name).withColumn("strength", F.col("proximity") * F.col("score"))
     # A pair of rows has one relation, the first that applies.
     rank = F.when(F.col("relation") == "point_proximity", 0).when(F.col("relation") == "municipality_code", 1).otherwise(2)

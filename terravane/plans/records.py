@@ -12,6 +12,7 @@ from ..operators import linkage as L
 from ..operators import raster
 from ..operators import timeline as TL
 from ..functions import geo
+from ..functions.texts import MARKED, PLAIN
 from ..sources.tables import table
 from .common import hav_sql, rounded, site_sql, sites
 
@@ -230,7 +231,7 @@ def intake_router(spark: SparkSession, sf: str) -> DataFrame:
     return L.route(table(spark, sf, "documents"), RULES)
 
 
-_TX = "lower(coalesce(text,''))"
+_TX = f"translate(lower(coalesce(text,'')), '{MARKED}', '{PLAIN}')"
 _H = [f"regexp_matches({_TX}, '{'|'.join(r['keywords'])}')" for r in RULES]
 SQL["intake_router"] = f"""WITH h AS (SELECT doc_id, {_H[0]} AS w, {_H[1]} AS r, {_H[2]} AS f FROM documents)
  SELECT doc_id, CASE WHEN (w OR r) AND f THEN 'dual_routed' WHEN w OR r THEN 'routed_geo' WHEN f THEN 'routed_money' ELSE 'manual_review_required' END AS status,
