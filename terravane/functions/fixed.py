@@ -45,3 +45,36 @@ DUPLICATE_DEGREES = 0.00045
 
 # Weights of a place's confidence, and the class weights for nearness to a municipality.
 PLACE_WEIGHTS = {"recurrence": 0.30, "loiter": 0.25, "alignment": 0.20, "water": 0.15, "nearness": 0.10}
+
+# What combinations of signals may support, the order of the fallbacks, and the weakest tier.
+SIGNAL_SETS = [
+    (("sar_amplitude_change",), "radar_change_candidate"),
+    (("coherence_loss",), "surface_decorrelation_candidate"),
+    (("sar_amplitude_change", "optical_change"), "corroborated_surface_change_candidate"),
+    (("coherence_loss", "optical_change"), "corroborated_surface_change_candidate"),
+    (("sar_amplitude_change", "optical_change", "terrain_morphology"), "high_confidence_disturbance"),
+    (("coherence_loss", "optical_change", "terrain_morphology"), "high_confidence_disturbance"),
+    (("multi_epoch_lidar_elevation",), "measured_elevation_or_volume_change"),
+    (("field_or_authoritative_record",), "confirmed_classified_event"),
+]
+SIGNAL_FALLBACK = [
+    ("field_or_authoritative_record", "confirmed_classified_event"),
+    ("multi_epoch_lidar_elevation", "measured_elevation_or_volume_change"),
+    ("sar_amplitude_change", "radar_change_candidate"),
+]
+SIGNAL_WEAKEST = "surface_decorrelation_candidate"
+FIELD_SIGNAL = "field_or_authoritative_record"
+
+# The state that each decision leads to; hold keeps the state.
+DECISIONS = {"confirm": "confirmed", "reject": "rejected", "promote": "supported_candidate", "downgrade": "candidate"}
+
+# Tiers of evidence from the weakest on, bases that only discover, and bases that only describe shape.
+TIERS = ["UNRESOLVED", "CANDIDATE", "SUPPORTING", "DIRECT", "CONTRADICTED"]
+DISCOVERY_BASES = [
+    "proximity_only", "nearest_only", "name_only", "normalized_name_only", "same_category", "same_system", "source_absence", "shared_provenance",
+    "equal_count", "normalized_coordinates", "graph_reachability", "contract_record", "funding_record", "screenshot_annotation",
+]
+SHAPE_BASES = ["morphology", "depression_shape", "terrain_derivative", "bathymetric_anomaly", "discovery_score", "hillshade_interpretation", "acoustic_reflector", "backscatter_texture"]
+
+# The ellipsoid of 1984.
+WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
