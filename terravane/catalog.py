@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import layers, records, surfaces, tracks
+from .plans import grids, layers, records, surfaces, tracks
 
-_MODULES = (tracks, layers, records, surfaces)
+_MODULES = (tracks, layers, records, surfaces, grids)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
