@@ -60,13 +60,15 @@ def lineage_roots(sources: DataFrame, parents: DataFrame, most_rounds: int = 1_0
     known = sources.select("source", F.nullif(F.trim("root"), F.lit("")).alias("root")).dropDuplicates(["source"])
     links = saved(parents.select("source", "parent").where("parent is not null").distinct().join(known.select("source"), "source", "left_semi"))
     seen = front = saved(known.select("source", F.col("source").alias("at")))
-    for _ in range(most_rounds):
+    for k in range(most_rounds):
         on = links.select(F.col("source").alias("at"), "parent")
         front = saved(front.join(on, "at").select("source", F.col("parent").alias("at")).distinct().join(seen, ["source", "at"], "left_anti"))
         if front.isEmpty():
             ends = known.join(links, "source", "left_anti").where("root is not null").select(F.col("source").alias("at"), "root")
             return seen.join(ends, "at").select("source", "root").distinct()
-        seen = saved(seen.unionByName(front))
+        # Fronts are saved already, so their union is only a list of files; now and then it becomes one again.
+        seen = seen.unionByName(front)
+        seen = saved(seen) if k % 20 == 19 else seen
     raise RuntimeError("the lineage has not come to rest")
 
 
