@@ -2,7 +2,8 @@
 
 A store is a folder of immutable shards and of manifests. Each arrival is appended as a small shard. Compaction puts
 shards of one size tier (sizes within a factor of `fan_in`) together, `fan_in` of them at a time, into files of the
-target size, until no tier has enough left. A manifest names the shards of one version; it is written aside and then
+target size, until no tier has enough left. A shard that has no others to go with, or is as large as the target by
+itself, is rewritten where it is in many small files. A manifest names the shards of one version; it is written aside and then
 renamed to its number, which fails if that version is there already, so that readers see a whole version or none and
 of two writers one wins. Texts are read and written by Spark without a shuffle; the driver handles names and sizes.
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ class Shard:
     name: str
     size: int
     full: bool  # in files of the target size already
+    small: int | None = None  # files below half the target size; not known of shards in older manifests
 
 
 class Store:
@@ -47,6 +49,14 @@ class Store:
     def _size(self, folder: str) -> int:
         return self._fs.getContentSummary(self._path(folder)).getLength()
 
+    def _small(self, folder: str) -> int:
+        files = self._fs.listStatus(self._path(folder))
+        return sum(x.getPath().getName().endswith(".parquet") and x.getLen() < self.target / 2 for x in files)
+
+    def _shard(self, name: str) -> Shard:
+        folder = f"{self.root}/shards/{name}"
+        return Shard(name, self._size(folder), False, self._small(folder))
+
     def _names(self, folder: str) -> list[str]:
         at = self._path(folder)
         return sorted(x.getPath().getName() for x in self._fs.listStatus(at)) if self._fs.exists(at) else []
@@ -95,7 +105,7 @@ class Store:
         name = uuid.uuid4().hex
         self._write(arrival, name)
         version, shards = self.manifest()
-        return self.commit(version, [*shards, Shard(name, self._size(f"{self.root}/shards/{name}"), False)])
+        return self.commit(version, [*shards, self._shard(name)])
 
     def append_by(self, rows: DataFrame, arrival: Column) -> int:
         """Many arrivals written in one pass, a shard for each value of arrival, committed together."""
@@ -104,7 +114,7 @@ class Store:
         rows.withColumn(tag, arrival).write.option("compression", "zstd").partitionBy(tag).parquet(at)
         names = [f"{batch}/{n}" for n in self._names(at) if n.startswith(tag)]
         version, shards = self.manifest()
-        return self.commit(version, [*shards, *(Shard(n, self._size(f"{self.root}/shards/{n}"), False) for n in names)])
+        return self.commit(version, [*shards, *map(self._shard, names)])
 
     def read(self, version: int | None = None, shards: list[Shard] | None = None, schema=None) -> DataFrame:
         """The rows of a version or of some shards."""
@@ -117,16 +127,20 @@ class Store:
         return max(0, math.floor(math.log(max(shard.size, 1) / SMALLEST, self.fan_in)))
 
     def runs(self, shards: list[Shard]) -> list[list[Shard]]:
-        """Groups of `fan_in` shards of one tier, the smallest tiers first."""
+        """Groups of `fan_in` shards of one tier, the smallest tiers first, and large shards of many small files.
+
+        Where no group is left, the other shards of many small files follow, each alone.
+        """
         tiers: dict[int, list[Shard]] = {}
         for s in shards:
             if not s.full and s.size < self.target:
                 tiers.setdefault(self.tier(s), []).append(s)
-        out = []
+        scattered = [s for s in shards if not s.full and (self._small(f"{self.root}/shards/{s.name}") if s.small is None else s.small) > 1]
+        out = [[s] for s in scattered if s.size >= self.target]
         for t in sorted(tiers):
             some = sorted(tiers[t], key=lambda s: (s.size, s.name))
             out += [some[i : i + self.fan_in] for i in range(0, len(some) - self.fan_in + 1, self.fan_in)]
-        return out
+        return out or [[s] for s in scattered]
 
     def compact(self, schema=None) -> int:
         """Merge runs until none is left; the version that holds the result.
@@ -142,8 +156,8 @@ class Store:
                 files = max(1, round(total / self.target))
                 name = uuid.uuid4().hex
                 self._write(self.read(shards=run, schema=schema).coalesce(files), name)
-                size = self._size(f"{self.root}/shards/{name}")
-                fresh.append(Shard(name, size, size >= self.target))
+                made = self._shard(name)
+                fresh.append(replace(made, full=made.size >= self.target))
             gone = {s.name for run in runs for s in run}
             self.commit(version, [s for s in shards if s.name not in gone] + fresh)
         return self.manifest()[0]

@@ -49,3 +49,25 @@ def test_arrivals_in_one_pass(spark, documents, empty, tmp_path):
     none.append(empty)
     none.compact(empty.schema)
     assert none.read(schema=empty.schema).count() == 0
+
+
+def test_large_arrivals_are_merged_into_target_sized_files(spark, documents, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(sharding, "SMALLEST", 1)
+    whole = sharding.Store(spark, f"file://{tmp_path}/whole")
+    whole.append(documents.coalesce(1))
+    size = whole.manifest()[1][0].size
+    # Two arrivals of many files, each larger than the target; and one below it with nothing to go with.
+    for target, arrivals in ((size // 8, 2), (size * 2, 1)):
+        store = sharding.Store(spark, f"file://{tmp_path}/store-{arrivals}", target=target)
+        store.append_by(documents.repartition(40), F.pmod(F.col("doc_id"), F.lit(arrivals)))
+        before = store.manifest()[1]
+        assert all(s.small > 20 and (s.size >= target) == (arrivals == 2) for s in before)
+        store.compact(documents.schema)
+        store.vacuum()
+        after = store.manifest()[1]
+        files = store.read(schema=documents.schema).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("n")).distinct().collect()
+        assert not store.runs(after) and len(files) <= max(1, sum(round(s.size / target) for s in before))
+        assert sum(f["n"] for f in files) / len(files) >= min(target, sum(s.size for s in after)) / 2
+        assert rows_of(store.read(schema=documents.schema)) == rows_of(documents)
