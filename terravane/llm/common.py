@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,14 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """df with a number for each row in the column name, written to the shared folder, so that every pass sees the same numbers."""
+    at = f"{shared_folder(df.sparkSession)}/numbered-{uuid.uuid4().hex}"
+    rows = df.withColumn(name, F.monotonically_increasing_id())
+    rows.write.option("compression", "zstd").parquet(at)
+    return df.sparkSession.read.schema(rows.schema).parquet(at)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """body(value), with value computed once for each row however often body names it."""
     return F.transform(F.array(value), body)[0]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import numbered, saved
 from .components import components
 
 TILE = 32_768
@@ -54,8 +54,9 @@ def fingerprint(text: str | None) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        got = np.fromiter((fingerprint(x.as_py()) for x in b.column(1)), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got.view(np.int64))], ["doc_id", "fp"])
+        *rest, texts = b.columns
+        got = np.fromiter((fingerprint(x.as_py()) for x in texts), np.uint64, b.num_rows)
+        yield pa.RecordBatch.from_arrays([*rest, pa.array(got.view(np.int64))], [*b.schema.names[:-1], "fp"])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,20 +129,29 @@ def links(distinct: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     return pairs.mapInArrow(_compare(radius), "u long, v long")
 
 
+def _roots(distinct: DataFrame, radius: int) -> DataFrame:
+    """fp and root (the same for all that are linked) for the distinct fingerprints that have links; the others are their own."""
+    edges = links(distinct.select("fp"), radius)
+    return components(edges).select(F.col("node").alias("fp"), "root")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
     """doc_id, fp and component_id (the smallest id reachable over links) for each row of docs."""
     fps = saved(fingerprints(docs, id_col, text_col))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    edges = links(classes.select("fp"), radius)
-    roots = components(edges).select(F.col("node").alias("fp"), "root")
-    rooted = classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
+    rooted = classes.join(_roots(classes, radius), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     found = saved(rooted.join(least, "root").select("fp", "component_id"))
     return fps.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 4) -> DataFrame:
-    """The rows of docs whose id is the smallest of its component; a row without any id stays."""
-    tag = "__terravane_id"
-    gone = near_duplicates(docs, id_col, text_col, radius).where("doc_id <> component_id").select(F.col("doc_id").alias(tag))
-    return docs.join(gone, docs[id_col].cast("long") == gone[tag], "left_anti")
+    """One row of docs for each component: the one with the smallest id (null ids last), the first of those with that id."""
+    tag = "__terravane_row"
+    rows = numbered(docs, tag)
+    ids = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(tag).alias("row"), F.col(text_col).cast("string").alias("text"))
+    fps = saved(ids.mapInArrow(_fingerprints, "doc_id long, row long, fp long"))
+    classes = saved(fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")))
+    rooted = classes.join(_roots(classes, radius), "fp", "left").select("first", F.coalesce("root", "fp").alias("root"))
+    stay = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(tag))
+    return rows.join(stay, tag, "left_semi").select(*(rows[c] for c in docs.columns))

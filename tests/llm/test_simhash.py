@@ -87,3 +87,13 @@ def test_one_of_each(documents, corpus):
     roots = plain_components({i: plain_fingerprint(t) for i, t in corpus})
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots.values()))
     assert kept.columns == documents.columns
+
+
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    near, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    # Id 7 has a copy of document 3 and a text of its own; document 3 stands there twice; two copies have no id at all.
+    rows = [(3, near), (3, near), (7, near), (7, other), (None, third), (None, third), (None, near), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = simhash.one_of_each(docs)
+    assert got.columns == ["doc_id", "text"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(3, near), (7, other), (None, third), (9, None)], key=str)
