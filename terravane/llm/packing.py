@@ -41,23 +41,37 @@ def encoder(path: str):
     """text -> ids, by the byte-level BPE of a tokenizers file.
 
     The vocabulary and merges are read from the file and handed to tiktoken, which gives the same ids several times
-    faster. Strings of special tokens in a text are ordinary text.
+    faster. As in tokenizers, texts are first split at the added tokens, each of which gives its own id.
     """
     if path not in _ENCODERS:
         import json
+        import re
 
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        vocab, special = spec["model"]["vocab"], {x["content"] for x in spec.get("added_tokens", ())}
+        vocab, added = spec["model"]["vocab"], {x["content"]: x["id"] for x in spec.get("added_tokens", ())}
+        if any(x[k] for x in spec.get("added_tokens", ()) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that take in their surroundings are not known here")
         # The printable characters that stand for bytes in such files.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in plain]
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-        ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if token not in special}
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items() if token not in added}
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        _ENCODERS[path] = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        ordinary = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        # The longest of those that begin at one place.
+        marks = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
+
+        def encode(text: str) -> list[int]:
+            out, at = [], 0
+            for m in marks.finditer(text):
+                out += [*ordinary(text[at : m.start()]), added[m.group()]]
+                at = m.end()
+            return out + ordinary(text[at:]) if at else ordinary(text)
+
+        _ENCODERS[path] = encode
     return _ENCODERS[path]
 
 

@@ -85,3 +85,15 @@ def test_odd_texts(spark, empty):
     check(got, 1024)
     assert sum(r["piece"] == 0 for r in got) == len(rows)
     assert packing.pack(empty, PATH).count() == 0
+
+
+def test_added_tokens_have_their_ids(spark):
+    t = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x\n<|endoftext|>  ", " <|endoftext| > <|ENDOFTEXT|>", "w <|endoftext|>" * 700]
+    assert 50256 in t.encode(texts[0], add_special_tokens=False).ids
+    got = defaultdict(list)
+    for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PATH).collect():
+        got[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"]))
+    for i, text in enumerate(texts):
+        ids = np.array([*t.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert sorted(got[i]) == [(a, n, zlib.crc32(ids[a : a + n].tobytes())) for a, n in packing.cut(len(ids))]
