@@ -8,10 +8,11 @@ patterns, which are compared word by word, and at last as strings. Texts are cut
 m - 1, and numpy moves the windows of all runs of a batch together.
 
 Only the patterns are broadcast, in blocks of at most `block_bytes` of benchmark text; a larger benchmark takes several
-passes over the documents, whose results are united by document.
+passes over the documents, whose results are united by a saved number of the row.
 
-Defined results: null and empty texts have no words; a null item text has no pattern; repeated rows give a row each
-(in the several-pass form, rows with equal id and text are united); other columns are ignored.
+Defined results: null and empty texts have no words; a null item text has no pattern; repeated rows give a row each,
+however many passes there are; items without an id are left out of occurrences(), as in its SQL, while
+drop_contaminated() looks for their passages too; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import numbered
 
 WINDOW = 10
 RUN = 256
@@ -148,37 +150,50 @@ def _searcher(patterns, with_hits: bool):
                 n, n_hit, items, hit = search(part.column(1), known)
                 first = np.concatenate([[0], np.cumsum(n)])
                 cols = [part.column(0), pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(items.get(i, ())) for i in range(b - a)], pa.list_(pa.string()))]
-                names = ["doc_id", "n_words", "n_hit", "items"]
+                names = [batch.schema.names[0], "n_words", "n_hit", "items"]
                 if with_hits:
-                    cols += [pa.array([np.flatnonzero(hit[first[i] : first[i + 1]]) for i in range(b - a)], pa.list_(pa.int64())), part.column(2)]
-                    names += ["hits", "text_hash"]
+                    cols += [pa.array([np.flatnonzero(hit[first[i] : first[i + 1]]) for i in range(b - a)], pa.list_(pa.int64()))]
+                    names += ["hits"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     return run
 
 
+ROW = "__terravane_row"
+
+
+def _blocks(items: DataFrame, block_bytes: int) -> int:
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return max(1, -(-size // block_bytes))
+
+
+def _patterns(items: DataFrame, block: int, blocks: int, window: int):
+    """The patterns of one block of the items (item, text), broadcast."""
+    some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+    return items.sparkSession.sparkContext.broadcast(Patterns([(r["item"], r["text"]) for r in some.collect()], window))
+
+
+def _in_passes(rows: DataFrame, text_col: str, items: DataFrame, blocks: int, window: int) -> DataFrame:
+    """ROW, n_words, n_hit and items for each of the numbered rows, by a pass over them for each block."""
+    texts = rows.select(ROW, F.col(text_col).cast("string").alias("text"))
+    schema = f"{ROW} long, n_words long, n_hit long, items array<string>, hits array<long>"
+    each = None
+    for k in range(blocks):
+        some = texts.mapInArrow(_searcher(_patterns(items, k, blocks, window), True), schema)
+        each = some if each is None else each.unionByName(some)
+    by = each.groupBy(ROW).agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hits"))).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    return by.select(ROW, "n_words", F.size("h").cast("long").alias("n_hit"), "items")
+
+
 def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit and items (sorted ids as strings) for each row of docs."""
-    spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).where("item is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
+    blocks = _blocks(items, block_bytes)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = "doc_id long, n_words long, n_hit long, items array<string>"
-
-    def of(block: int):
-        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        return spark.sparkContext.broadcast(Patterns([(r["item"], r["text"]) for r in some.collect()], window))
-
     if blocks == 1:
-        return texts.mapInArrow(_searcher(of(0), False), schema)
-    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
-    passes = [hashed.mapInArrow(_searcher(of(k), True), schema + ", hits array<long>, text_hash long") for k in range(blocks)]
-    each = passes[0]
-    for x in passes[1:]:
-        each = each.unionByName(x)
-    by = each.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("hits"))).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
-    return by.select("doc_id", "n_words", F.size("h").cast("long").alias("n_hit"), "items")
+        return texts.mapInArrow(_searcher(_patterns(items, 0, 1, window), False), "doc_id long, n_words long, n_hit long, items array<string>")
+    rows = numbered(texts, ROW)
+    return rows.select(ROW, "doc_id").join(_in_passes(rows, "text", items, blocks, window), ROW).select("doc_id", "n_words", "n_hit", "items")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -200,15 +215,14 @@ def _cleaner(patterns, most: float, text_index: int):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, most: float = 0.0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs with at most a share `most` of their words inside benchmark windows."""
-    spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-size // block_bytes))
+    blocks = _blocks(items, block_bytes)
     if blocks > 1 and most:
-        raise ValueError("a share of words needs the benchmark in one block")
+        # The words that the blocks hit have to be united before their share is known.
+        rows = numbered(docs, ROW)
+        clean = _in_passes(rows, text_col, items, blocks, window).where(F.col("n_hit") <= F.lit(float(most)) * F.col("n_words"))
+        return rows.join(clean.select(ROW), ROW, "left_semi").select(*(rows[c] for c in docs.columns))
     out = docs
     for k in range(blocks):
-        some = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
-        known = spark.sparkContext.broadcast(Patterns([(r["item"], r["text"]) for r in some.collect()], window))
-        out = out.mapInArrow(_cleaner(known, most, docs.columns.index(text_col)), docs.schema)
+        out = out.mapInArrow(_cleaner(_patterns(items, k, blocks, window), most, docs.columns.index(text_col)), docs.schema)
     return out

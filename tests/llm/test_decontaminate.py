@@ -52,3 +52,17 @@ def test_empty(spark, documents, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.occurrences(empty, none).count() == 0
     assert D.occurrences(documents, none).where("n_hit > 0").count() == 0
+
+
+def test_rows_and_shares_do_not_depend_on_blocks(spark):
+    a, b = " ".join(f"a{i}" for i in range(12)), " ".join(f"b{i}" for i in range(12))
+    bench = spark.createDataFrame([(1, a), (2, b), *((k, f"none{k} of these") for k in range(3, 40))], "item_id long, text string")
+    # Repeated rows, rows without ids, and passages that different blocks find: 24 of 30 and 12 of 40 words.
+    rows = [(1, f"{a} {b} x y z u v w"), (1, f"{a} {b} x y z u v w"), (None, a), (None, a), (2, a + " x" * 28), (3, "clean"), (3, "clean"), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [sorted(D.digest(D.occurrences(docs, bench, block_bytes=n)).collect(), key=str) for n in (1 << 25, 100)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    for most, want in ((0.5, [2, 3, 3, 4]), (0.8, [1, 1, 2, 3, 3, 4]), (0.2, [3, 3, 4])):
+        for n in (1 << 25, 100):
+            kept = D.drop_contaminated(docs, bench, most=most, block_bytes=n)
+            assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
