@@ -5,7 +5,7 @@ text, in lower case like the dictionaries, is encoded with every dictionary; the
 two are nearly equal the decision is marked as rejected, and its score is low.
 
 The sample: at most `docs_per_language` training documents of each language, those with the least hash of their id, and
-of each an excerpt of `excerpt` characters. This bounds what the driver gathers and broadcasts: languages * docs *
+of each an excerpt of `excerpt` characters, which begins at a place set by the text's hash; equal excerpts count once. This bounds what the driver gathers and broadcasts: languages * docs *
 excerpt, 128 K characters a language by default. Scoring always reads whole texts.
 
 Defined results: "und" with score 0 for a null text or one without a letter, or if nothing was learned; equal sizes
@@ -39,8 +39,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
     order = Window.partitionBy("lang").orderBy("at", "doc_id")
+    # Every place at which a whole excerpt begins is as likely, so that what documents share at their head is no more than its share.
+    begin = F.pmod(F.xxhash64(text_col), F.greatest(F.char_length(text_col) - excerpt, F.lit(0)) + 1) + 1
     some = (
-        rows.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col).cast("string")).alias("at"), F.substring(F.col(text_col), 1, excerpt).alias("part"))
+        rows.select(F.col(lang_col).alias("lang"), F.struct(F.xxhash64(F.col(id_col).cast("string")).alias("at"), F.col(id_col).alias("doc_id")).alias("key"), F.substring(F.col(text_col), begin.cast("int"), F.lit(excerpt)).alias("part"))
+        .groupBy("lang", "part")
+        .agg(F.min("key").alias("key"))
+        .select("lang", "key.*", "part")
         .withColumn("rank", F.row_number().over(order))  # Spark keeps only the first ranks of each task before it shuffles
         .where(F.col("rank") <= docs_per_language)
     )

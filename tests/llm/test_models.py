@@ -109,3 +109,14 @@ def test_quality(spark, documents, empty):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {x["score"] for x in quality_model.score(documents, quality_model.learn(documents, none)).collect()} == {0.5}
     assert quality_model.score(empty, quality_model.learn(empty, none)).count() == 0
+
+
+def test_dictionaries_are_learned_from_whole_texts(spark):
+    head = " ".join(f"licence{i}" for i in range(80))
+    bodies = [" ".join(f"word{k}x{i}" for i in range(900)) for k in range(40)]
+    rows = [(k, f"{head} {body}", "en") for k, body in enumerate(bodies)] + [(100 + k, f"{head} {bodies[0]}", "en") for k in range(40)]
+    ((lang, content),) = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    parts = content.decode().split("\n")
+    assert lang == "en" and len(parts) == len(set(parts)) == 40 and all(len(p) == language.EXCERPT for p in parts)
+    # Few excerpts touch what all documents share.
+    assert sum("licence" in p for p in parts) < 15
