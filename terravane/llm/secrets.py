@@ -13,8 +13,11 @@ Texts are read once; only the lengths of matches and of the gaps between them le
 shuffled. Matches of one kind don't overlap, so a bucket of the join holds at most `scope` of them however long the
 text is.
 
+Every pattern takes time in proportion to the text: a scheme of an address has at most 31 characters, so that a long
+run of letters is not searched again from each of its letters.
+
 Defined results: a null or empty text has no spans; null ids and repeated rows give a row each; other columns are
-ignored. Positions are code points, the end exclusive.
+ignored, whatever their names. Positions are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ KINDS = (
     ("hex", "secret", False, r"[0-9a-f]{24,}", 0, 24),
     ("account", "identifier", True, rf"{_ACCOUNT}[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.@-]+", 0, 6),
     ("key40", "secret", True, r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])", 0, 40),
-    ("endpoint", "endpoint", True, r"[a-z][a-z0-9+]*://[A-Za-z0-9._~:@%-]+[^\x20\x09-\x0D\"'<>]*", 0, 8),
+    ("endpoint", "endpoint", True, r"[a-z][a-z0-9+]{0,30}://[A-Za-z0-9._~:@%-]+[^\x20\x09-\x0D\"'<>]*", 0, 8),
 )
 NAMES = [k[0] for k in KINDS]
 BASE = ("assign", "access", "hex")
@@ -119,12 +122,12 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     return spans.where(~weak).union(seen.where(complete & ~F.col("over")).select("row", "kind", "start", "end"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of docs: row (a number of its own), doc_id, the columns in keep, and spans.
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
+    """One row for each row of docs: row (a number of its own), doc_id and spans.
 
     spans is an array of (start, kind, end) by start, kinds as numbered in KINDS.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *keep, _parts(whole_text(text_col)).alias("parts"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _parts(whole_text(text_col)).alias("parts"))
     rows = saved(rows.withColumn("row", F.monotonically_increasing_id()))
     reported = linked(saved(found_spans(rows.where(F.size("parts") > 0))), scope)
     by_row = reported.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
@@ -146,15 +149,16 @@ def digest(scanned: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[secret]", scope: int = SCOPE) -> DataFrame:
     """docs with every reported span of the text replaced by a mark; spans that overlap share one mark.
 
-    The spans go back to the texts by two hashes of id and text, so that texts needn't be written meanwhile; rows with
-    equal id and text have equal spans. A column n_chars, where there is one, is counted anew in the rows that change.
+    Rows without any part pass as they are. Only the others are numbered, saved and joined with their spans, so texts
+    are not shuffled for the few that change. A column n_chars, where there is one, is counted anew in the rows that
+    change.
     """
-    k1, k2, fresh_tag = "__terravane_key1", "__terravane_key2", "__terravane_text"
+    row, parts, cut, fresh = (f"__terravane_{x}" for x in ("row", "parts", "cuts", "text"))
     text = F.col(f"`{text_col}`")
-    own = docs.withColumns({k1: F.xxhash64(id_col, text), k2: F.hash(text)})
-    rows = own.select(k1, k2, _parts(whole_text(text_col)).alias("parts")).where(F.size("parts") > 0).dropDuplicates([k1, k2])
-    rows = saved(rows.withColumn("row", F.monotonically_increasing_id()))
-    reported = linked(saved(found_spans(rows)), scope)
+    own = docs.withColumn(parts, _parts(whole_text(text_col)))
+    clean = own.where(F.size(parts) == 0).drop(parts)
+    hit = saved(own.where(F.size(parts) > 0).withColumn(row, F.monotonically_increasing_id()))
+    reported = linked(saved(found_spans(hit.select(F.col(row).alias("row"), F.col(parts).alias("parts")))), scope)
     # Merge overlapping spans within a row: a new group begins where a span starts after all before it have ended.
     order = Window.partitionBy("row").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -163,23 +167,22 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark
         .withColumn("g", F.sum("new").over(order))
         .groupBy("row", "g")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__terravane_cuts"))
+        .groupBy(F.col("row").alias(row))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(cut))
     )
-    cuts = F.col("__terravane_cuts")
+    cuts = F.col(cut)
 
     def pieces(c: Column) -> Column:
         each = F.transform(c, lambda x, i: F.substring(text, F.coalesce(F.get(c, i - 1)["end"], F.lit(0)) + 1, x["start"] - F.coalesce(F.get(c, i - 1)["end"], F.lit(0))))
         return F.array_join(F.concat(each, F.array(F.substring(text, F.element_at(c, -1)["end"] + 1, F.lit(2147483647)))), mark)
 
-    keyed = rows.select(k1, k2, "row").join(merged, "row").drop("row")
-    out = own.join(keyed, [k1, k2], "left").withColumn(fresh_tag, F.when(cuts.isNotNull(), let(cuts, pieces)).otherwise(text))
+    out = hit.join(merged, row, "left").withColumn(fresh, F.when(cuts.isNotNull(), let(cuts, pieces)).otherwise(text))
     cols = []
     for c in docs.columns:
         if c == text_col:
-            cols.append(F.col(fresh_tag).alias(c))
+            cols.append(F.col(fresh).alias(c))
         elif c == "n_chars" and docs.schema[c].dataType.simpleString() in ("bigint", "int"):
-            cols.append(F.when(cuts.isNotNull(), F.char_length(fresh_tag).cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
+            cols.append(F.when(cuts.isNotNull(), F.char_length(fresh).cast(docs.schema[c].dataType)).otherwise(F.col(f"`{c}`")).alias(c))
         else:
             cols.append(F.col(f"`{c}`"))
-    return out.select(*cols)
+    return clean.union(out.select(*cols))

@@ -81,3 +81,24 @@ def test_nulls_repeats_and_empty(spark, empty):
     assert sorted(r["n_assign"] for r in got) == [0, 1, 1, 1]
     assert secrets.digest(secrets.scan(empty)).count() == 0
     assert secrets.redact(empty).count() == 0
+
+
+def test_long_words_take_linear_time(spark):
+    import time
+
+    word = "ab" * 500_000
+    text = f"{word} https://db.example.org/x token=abcdefgh " + "a1" * 200_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = secrets.digest(secrets.scan(docs)).first()
+    assert got["n_assign"] == 1 and got["spans"] == said(linked(text))
+    assert secrets.redact(docs).first()["text"].count("[secret]") == len(linked(text))
+    assert time.perf_counter() - start < 60
+
+
+def test_names_of_other_columns(spark):
+    rows = [(1, "token=abcdefgh", "p", 5, 7), (2, "nothing", "q", 6, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, parts string, row int, spans int")
+    assert [r["n_assign"] for r in secrets.digest(secrets.scan(docs)).orderBy("doc_id").collect()] == [1, 0]
+    got = secrets.redact(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(1, "[secret]", "p", 5, 7), (2, "nothing", "q", 6, 8)]
