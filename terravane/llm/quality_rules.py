@@ -11,6 +11,7 @@ are, one ledger row for each input row; columns of the input other than the id a
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,19 +25,19 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Rule:
-    """A rule fails where the SQL condition over the measurements holds."""
+    """A rule fails where its condition over the measurements (by name) holds."""
 
     name: str
-    fails: str
+    fails: Callable[[dict[str, Column]], Column]
 
 
 #: Bit r of the ledger belongs to RULES[r]; add new rules at the end.
 RULES = (
-    Rule("few_words", "n_words < 10"),
-    Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
-    Rule("symbols", "10 * n_symbols > 4 * n_words"),
-    Rule("repeated_lines", "n_lines > 3 AND 2 * n_dup_lines > n_lines"),
-    Rule("word_length", "word_chars < 2 * n_words OR word_chars > 40 * n_words"),
+    Rule("few_words", lambda m: m["n_words"] < 10),
+    Rule("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 20 * m["n_words"]),
+    Rule("symbols", lambda m: 10 * m["n_symbols"] > 4 * m["n_words"]),
+    Rule("repeated_lines", lambda m: (m["n_lines"] > 3) & (2 * m["n_dup_lines"] > m["n_lines"])),
+    Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 40 * m["n_words"])),
 )
 BASE_RULES = ("few_words", "repeated_windows")
 
@@ -100,23 +101,36 @@ def _measure(text: Column) -> Column:
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+_PART = {"n_words": "words", "n_repeat_words": "words", "n_lines": "lines", "n_dup_lines": "lines", "word_chars": "chars", "n_symbols": "chars"}
+_TAG = "__terravane_measures"
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each document: the id, the columns in keep, MEASURES and fail_bits.
+def fail_bits(m: dict[str, Column]) -> Column:
+    """The bits of all rules over the measurements m."""
+    return sum((F.when(r.fails(m), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(RULES)), F.lit(0)).cast("long")
+
+
+def _measured(docs: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, Column]]:
+    marked = docs.withColumn(_TAG, _measure(whole_text(text_col)))
+    return marked, {x: F.col(f"{_TAG}.{_PART[x]}.{x}") for x in MEASURES}
+
+
+def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: the id, MEASURES and fail_bits.
 
     >>> kept = apply_policy(ledger(docs), "v1").where("kept")
     """
-    m = docs.select(*(F.col(x) for x in (id_col, *keep)), _measure(whole_text(text_col)).alias("__m"))
-    part = {"n_words": "words", "n_repeat_words": "words", "n_lines": "lines", "n_dup_lines": "lines", "word_chars": "chars", "n_symbols": "chars"}
-    out = m.select(id_col, *keep, *(F.col(f"__m.{part[x]}.{x}").alias(x) for x in MEASURES))
-    bits = sum((F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)) for i, r in enumerate(RULES)), F.lit(0))
-    return out.withColumn("fail_bits", bits.cast("long"))
+    marked, m = _measured(docs.select(id_col, text_col), text_col)
+    return marked.select(id_col, *(m[x].alias(x) for x in MEASURES), fail_bits(m).alias("fail_bits"))
+
+
+def _passes(bits: Column, policy: str) -> Column:
+    return bits.bitwiseAND(F.lit(mask(policy))) == 0
 
 
 def apply_policy(led: DataFrame, policy: str = "v1") -> DataFrame:
     """The ledger with kept: no rule of the policy failed."""
-    return led.withColumn("kept", F.col("fail_bits").bitwiseAND(F.lit(mask(policy))) == 0)
+    return led.withColumn("kept", _passes(F.col("fail_bits"), policy))
 
 
 def ablations(led: DataFrame, policy: str = "v1") -> DataFrame:
@@ -142,19 +156,6 @@ def ablations(led: DataFrame, policy: str = "v1") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
-    """The rows of docs that the policy keeps, with their columns as they are."""
-    m = _measure(whole_text(text_col))
-    names = {"n_words": "words", "n_repeat_words": "words", "n_lines": "lines", "n_dup_lines": "lines", "word_chars": "chars", "n_symbols": "chars"}
-    tag = "__terravane_measures"
-    marked = docs.withColumn(tag, m)
-    wanted = [r for r in RULES if r.name in POLICIES[policy]]
-
-    def with_paths(condition: str) -> str:
-        for name, part in names.items():
-            condition = condition.replace(name, f"{tag}.{part}.{name}")
-        return condition
-
-    failed = F.lit(False)
-    for r in wanted:
-        failed = failed | F.expr(with_paths(r.fails))
-    return marked.where(~failed).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows of docs whose failure bits the policy lets pass, with their columns as they are."""
+    marked, m = _measured(docs, text_col)
+    return marked.where(_passes(fail_bits(m), policy)).select(*(F.col(f"`{c}`") for c in docs.columns))
