@@ -1,18 +1,21 @@
-"""Best-fit packing of tokenised documents into sequences of a fixed length.
+"""Best-fit packing of tokenised documents into sequences of a fixed length, in bulk-synchronous supersteps.
 
-A document longer than a sequence is cut into full pieces and one rest, which comes first. Pieces of one length are
-alike, and so are open sequences with equal gaps: lengths and gaps are whole numbers up to `size`, so there are at
-most `size` classes of each, whatever the input. Packing goes in supersteps over this:
+A document longer than a sequence is cut into full pieces and one rest, which comes first. A piece longer than half a
+sequence can share one with shorter pieces only, so each of these opens a sequence. The others meet the gaps:
 
-1. Range-sort the pieces by length; a piece's rank among its equals follows from the sort.
-2. In each superstep the pieces of the longest length still open meet the gaps: the sweep takes the successor (the
-   smallest gap that is large enough), the pieces with the lowest ranks get its sequences in order of their numbers,
-   the gaps shrink, and the sweep goes on with the next gap. Pieces that no gap can take open new sequences.
-3. Repeat for the next length.
+1. Pieces and gaps are sorted by size over range partitions, pieces before gaps of their size.
+2. Every partition sweeps its rows upwards: a gap takes the longest piece below it that is still free, so each pair is
+   a piece and its successor. What a partition cannot pair among its own is a row of gaps, then a row of pieces. Only
+   how many of them each partition has goes to the driver (a row for each partition), which says what ranks of
+   one partition's pieces go to what ranks of a later partition's gaps. Of several pieces with one successor the one
+   with the highest rank gets it.
+3. Gaps shrink by what they took. Pieces longer than every gap that is left open new sequences. Repeat with the pieces
+   that got none.
 
-The sweep works on classes (a length with a range of ranks, a gap with a range of sequence numbers) and not on rows.
-What it returns is a short table of runs; each piece finds its place by its length and rank, with no further shuffle.
-The driver sees counts by length and the runs: bounded by `size`, not by the input.
+A gap that is several times as long as the longest piece offers several places in one superstep, so that many short
+pieces do not take a superstep each. Places within a sequence are counted at the end, by windows over its pieces.
+
+The driver sees counts by size (at most 2 * `size` rows) and by partition. A partition's sizes are held by its task.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed as they come; other columns are
 ignored.
@@ -20,34 +23,39 @@ ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
 
 SIZE = 1024
 END = 2
-#: Texts are encoded in blocks of at most this many characters' worth of rows, to bound memory.
-_ENCODERS: dict[tuple[str, bool], object] = {}
+#: White space of this length is beyond the stack of the fast encoder's regular expressions.
+LONG_BLANK = 4096
+_BLANKS = re.compile(r"\s{64,}")
+_ENCODERS: dict[str, object] = {}
 
 
 def encoder(path: str):
     """text -> ids, by the byte-level BPE of a tokenizers file.
 
     The vocabulary and merges are read from the file and handed to tiktoken, which gives the same ids several times
-    faster. As in tokenizers, texts are first split at the added tokens, each of which gives its own id.
+    faster. As in tokenizers, texts are first split at the added tokens, each of which gives its own id. Texts with
+    LONG_BLANK characters of white space in a row go to tokenizers itself.
     """
     if path not in _ENCODERS:
         import json
-        import re
 
         import tiktoken
+        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -64,7 +72,11 @@ def encoder(path: str):
         # The longest of those that begin at one place.
         marks = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
 
+        slow = Tokenizer.from_file(path)
+
         def encode(text: str) -> list[int]:
+            if len(text) >= LONG_BLANK and any(m.end() - m.start() >= LONG_BLANK for m in _BLANKS.finditer(text)):
+                return slow.encode(text, add_special_tokens=False).ids
             out, at = [], 0
             for m in marks.finditer(text):
                 out += [*ordinary(text[at : m.start()]), added[m.group()]]
@@ -100,86 +112,140 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     return texts.mapInArrow(_pieces(tokenizer, size, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def sweep(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int]]:
-    """Runs (length, first rank, first sequence, offset) of best fit in decreasing lengths.
-
-    A run says that pieces of this length, from this rank to the next run's, go to sequences from this number on.
+PIECE = ("doc_id", "piece", "start", "length", "ids_crc32")
+_KINDS = {"doc_id": "long", "piece": "int", "start": "long", "length": "long", "ids_crc32": "long"}
+_SWEPT = ", ".join(f"{c} {_KINDS[c]}" for c in PIECE) + ", tie long, seq long, gap boolean, part int, rank long"
+
+
+def pair(is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, gaps): places in the sweep that belong together; is_gap says of each place what stands there."""
+    height = np.cumsum(np.where(is_gap, -1, 1))
+    floor = np.minimum.accumulate(np.minimum(height, 0))
+    before = np.concatenate([[0], floor[:-1]])
+    some = np.flatnonzero(~(is_gap & (height < before)))  # all but the gaps that find no piece
+    level = (height - floor + is_gap)[some]
+    order = np.argsort(level, kind="stable")
+    at, level = some[order], level[order]
+    met = ~is_gap[at[:-1]] & is_gap[at[1:]] & (level[:-1] == level[1:])
+    return at[:-1][met], at[1:][met]
+
+
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one range partition, in order -> its pieces, with a sequence where a gap of the partition took them, and its free gaps."""
+    t = pa.Table.from_batches(list(batches))
+    if not t.num_rows:
+        return
+    is_gap = t["gap"].combine_chunks().to_numpy(zero_copy_only=False)
+    seq = t["seq"].combine_chunks().fill_null(0).to_numpy()
+    mine, theirs = pair(is_gap)
+    got, known = np.where(is_gap, seq, 0), is_gap.copy()
+    got[mine], known[mine] = seq[theirs], True
+    free = np.ones(len(is_gap), bool)
+    free[mine] = free[theirs] = False
+    rank = np.zeros(len(is_gap), np.int64)
+    for kind in (True, False):
+        at = np.flatnonzero(free & (is_gap == kind))
+        rank[at] = np.arange(len(at))
+    stay = np.flatnonzero(~is_gap | free)
+    part = TaskContext.get().partitionId()
+    cols = [t[c].combine_chunks().take(pa.array(stay)) for c in (*PIECE, "tie")]
+    cols += [pa.array(got[stay], mask=~known[stay]), pa.array(is_gap[stay]), pa.array(np.full(len(stay), part, np.int32)), pa.array(rank[stay], mask=~free[stay])]
+    for b in pa.Table.from_arrays(cols, [*PIECE, "tie", "seq", "gap", "part", "rank"]).to_batches(max_chunksize=65_536):
+        yield b
+
+
+def between(free: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """What free pieces of partitions go to free gaps of later ones.
+
+    free: (partition, gaps, pieces) in order. A run (gap partition, first gap, piece partition, last piece, n) says
+    that n gaps from the first one upwards take n pieces from the last one downwards.
     """
-    runs: list[tuple[int, int, int, int]] = []
-    gaps: list[int] = []  # sizes of gaps that are open, in order
-    open_at: dict[int, list[tuple[int, int]]] = {}  # for each of them: ranges of sequence numbers
-    opened = 0
-
-    def leave(gap: int, first: int, n: int) -> None:
-        if gap:
-            if gap not in open_at:
-                insort(gaps, gap)
-                open_at[gap] = []
-            open_at[gap].append((first, n))
-
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            i = bisect_left(gaps, length)
-            if i < len(gaps):
-                gap = gaps[i]
-                first, n = open_at[gap].pop()
-                took = min(n, left)
-                if took < n:
-                    open_at[gap].append((first + took, n - took))
-                if not open_at[gap]:
-                    del open_at[gap], gaps[i]
-            else:
-                # As many new sequences as this length fills; the next gaps of the sweep are theirs.
-                gap, first, took = size, opened, max(1, left // (size // length))
-                opened += took
-            runs.append((length, rank, first, size - gap))
-            leave(gap - length, first, took)
-            left, rank = left - took, rank + took
+    stack: list[list[int]] = []
+    runs = []
+    for part, gaps, pieces in free:
+        at = 0
+        while at < gaps and stack:
+            top = stack[-1]
+            n = min(gaps - at, top[1])
+            runs.append((part, at, top[0], top[1] - 1, n))
+            at, top[1] = at + n, top[1] - n
+            if not top[1]:
+                stack.pop()
+        if pieces:
+            stack.append([part, pieces])
     return runs
 
 
-def _placer(table, size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lengths, firsts, sequences, offsets, base = table.value
-        for batch in batches:
-            length, rank = (np.asarray(batch.column(batch.schema.names.index(c))) for c in ("length", "rank"))
-            # Runs are ordered by (length, first rank); key both to one number.
-            at = np.searchsorted(lengths * base + firsts, length * base + rank, "right") - 1
-            seq, off = sequences[at] + rank - firsts[at], offsets[at]
-            keep = [batch.column(batch.schema.names.index(c)) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array(seq, pa.int64()), pa.array(off, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
-
-    return run
-
-
-def ranked(cuts: DataFrame) -> DataFrame:
-    """The pieces with rank: their number among those of their length, from 0.
-
-    After a range sort by length every partition holds few lengths; its rows get running numbers, and the numbers at
-    which each length begins in each partition (partitions + lengths rows) turn them into ranks.
-    """
-    # (length, doc_id, ...) so that one frequent length is spread over many partitions.
-    ordered = cuts.repartitionByRange("length", "doc_id", "start", "ids_crc32").sortWithinPartitions("length", "doc_id", "start", "ids_crc32")
-    rows = saved(ordered.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)))
-    begins = rows.groupBy("part", "length").agg(F.min("at").alias("begin"), F.count(F.lit(1)).alias("n")).collect()
-    shift, seen = [], {}
-    for r in sorted(begins, key=lambda r: (r["length"], r["part"])):
-        shift.append((r["part"], r["length"], seen.get(r["length"], 0) - r["begin"]))
-        seen[r["length"]] = seen.get(r["length"], 0) + r["n"]
-    moves = rows.sparkSession.createDataFrame(shift or [(0, 0, 0)], "part long, length long, move long")
-    return rows.join(F.broadcast(moves), ["part", "length"]).withColumn("rank", F.col("at") + F.col("move")), seen
+def _across(swept: DataFrame) -> DataFrame:
+    """The pieces that no gap of their own partition took, with the sequence of a later partition's gap, where there is one."""
+    spark = swept.sparkSession
+    alone = swept.where("rank is not null")
+    free: dict[int, list[int]] = {}
+    for r in alone.groupBy("part", "gap").count().collect():
+        free.setdefault(r["part"], [0, 0])[0 if r["gap"] else 1] = r["count"]
+    runs = between([(p, *free[p]) for p in sorted(free)])
+    pieces = alone.where("not gap")
+    if not runs:
+        return pieces
+    ups, downs, base = [], [], 0
+    for gap_part, first, part, last, n in runs:
+        ups.append((gap_part, first, first + n, base))
+        downs.append((part, last - n + 1, last + 1, base + n - 1))
+        base += n
+    # At most a run for each partition and another for each time a partition is used up.
+    table = lambda rows: F.broadcast(spark.createDataFrame(rows, "part int, low long, high long, base long"))
+    inside = lambda x, y: (x["part"] == y["part"]) & (x["rank"] >= y["low"]) & (x["rank"] < y["high"])
+    up, down, gaps = table(ups), table(downs), alone.where("gap")
+    offered = gaps.join(up, inside(gaps, up)).select((up["base"] + gaps["rank"] - up["low"]).alias("meet"), gaps["seq"].alias("seq2"))
+    asked = pieces.join(down, inside(pieces, down), "left").select(*(pieces[c] for c in (*PIECE, "tie")), (down["base"] - (pieces["rank"] - down["low"])).alias("meet"))
+    return saved(asked.join(offered, "meet", "left").withColumnRenamed("seq2", "seq"))
+
+
+def place(pieces: DataFrame, size: int = SIZE) -> DataFrame:
+    """pieces (the columns PIECE) with sequence_id and offset."""
+    spark = pieces.sparkSession
+    rows = saved(pieces.select(*(F.col(c).cast(k).alias(c) for c, k in _KINDS.items())).withColumn("tie", F.monotonically_increasing_id()))
+    full = rows.where(F.col("length") >= size).select(*PIECE, F.col("tie").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    long = rows.where((F.col("length") < size) & (2 * F.col("length") > size)).withColumn("seq", F.col("tie"))
+    placed = [long.select(*PIECE, "tie", "seq")]
+    gaps = long.select("seq", (size - F.col("length")).alias("room"))
+    left = rows.where(2 * F.col("length") <= size)
+    opened = 0
+    while True:
+        sizes = left.select(F.lit(False).alias("gap"), F.col("length").alias("n")).union(gaps.select(F.lit(True), "room"))
+        counts = {(r["gap"], r["n"]): r["count"] for r in sizes.groupBy("gap", "n").count().collect()}
+        lengths = {n: c for (gap, n), c in counts.items() if not gap}
+        if not lengths:
+            break
+        most, least = max(lengths), min(lengths)
+        rooms = {n: c for (gap, n), c in counts.items() if gap and n >= least}
+        # Pieces longer than every gap need new sequences, as many as their lengths fill.
+        new = -(-sum(n * c for n, c in lengths.items() if n > max(rooms, default=0)) // size)
+        fresh = spark.range(new).select((-1 - opened - F.col("id")).alias("seq"), F.lit(size).cast("long").alias("room"))
+        opened += new
+        gaps = gaps.where(F.col("room") >= least).union(fresh)
+        # No more places than twice the pieces, and one for each gap.
+        each = max(1, 2 * sum(lengths.values()) // max(1, sum(rooms.values()) + new))
+        times = F.greatest(F.lit(1), F.least(F.lit(each), F.floor(F.col("room") / most))).cast("int")
+        offers = gaps.select("seq", "room", times.alias("times")).select("seq", F.floor(F.col("room") / F.col("times")).alias("at"), F.explode(F.sequence(F.lit(1), "times")).alias("k"))
+        none = [F.lit(None).cast(k).alias(c) for c, k in _KINDS.items()]
+        both = left.select(F.col("length").alias("at"), F.lit(False).alias("gap"), F.col("tie"), *PIECE, F.lit(None).cast("long").alias("seq")).union(
+            offers.select("at", F.lit(True), F.xxhash64("seq", "k"), *none, "seq")
+        )
+        order = ("at", "gap", "tie")
+        swept = saved(both.repartitionByRange(*order).sortWithinPartitions(*order).select(*PIECE, "tie", "seq", "gap").mapInArrow(_sweep, _SWEPT))
+        across = _across(swept)
+        now = swept.where("not gap and seq is not null").select(*PIECE, "tie", "seq").union(across.where("seq is not null").select(*PIECE, "tie", "seq"))
+        placed.append(now)
+        took = now.groupBy("seq").agg(F.sum("length").alias("took"))
+        gaps = saved(gaps.join(took, "seq", "left").select("seq", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room")).where("room > 0"))
+        left = across.where("seq is null")
+    # Every sequence holds `size` pieces at most.
+    before = Window.partitionBy("seq").orderBy(F.desc("length"), "tie").rowsBetween(Window.unboundedPreceding, -1)
+    shared = reduce(DataFrame.union, placed).select(*PIECE, F.col("seq").alias("sequence_id"), F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
+    return full.union(shared)
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end: int = END) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset for each piece."""
-    cuts = saved(pieces(docs, tokenizer, id_col, text_col, size, end))
-    rows, counts = ranked(cuts)
-    runs = sorted(sweep(counts, size)) or [(0, 0, 0, 0)]
-    lengths, firsts, sequences, offsets = (np.array(c, np.int64) for c in zip(*runs, strict=True))
-    base = max([1, *counts.values()]) + 1
-    table = docs.sparkSession.sparkContext.broadcast((lengths, firsts, sequences, offsets, np.int64(base)))
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_placer(table, size), schema)
-
-
+    return place(pieces(docs, tokenizer, id_col, text_col, size, end), size)

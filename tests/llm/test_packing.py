@@ -29,7 +29,6 @@ def check(rows, size):
 def test_round_trip(documents, corpus):
     rows = packing.pack(documents, PATH).collect()
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     by = defaultdict(list)
     for r in rows:
         by[r["doc_id"]].append(r)
@@ -61,29 +60,57 @@ def plain_best_fit(lengths, size):
     return len(gaps)
 
 
-def test_sweep_is_best_fit_decreasing():
+def test_pairs_are_successors():
+    rng = random.Random(4)
+    for _ in range(300):
+        is_gap = np.array([rng.random() < 0.5 for _ in range(rng.randint(1, 40))])
+        stack, want = [], []
+        for i, g in enumerate(is_gap):
+            if not g:
+                stack.append(i)
+            elif stack:
+                want.append((stack.pop(), i))
+        mine, theirs = packing.pair(is_gap)
+        assert sorted(zip(mine.tolist(), theirs.tolist())) == sorted(want)
+        # The same over partitions: what they leave free meets by ranks.
+        cuts = sorted({0, len(is_gap), *(rng.randrange(len(is_gap)) for _ in range(3))})
+        pairs, free, ranks = [], [], {}
+        for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            x, y = packing.pair(is_gap[a:b])
+            pairs += zip((x + a).tolist(), (y + a).tolist())
+            alone = [i for i in range(a, b) if i - a not in {*x.tolist(), *y.tolist()}]
+            gaps, rest = [i for i in alone if is_gap[i]], [i for i in alone if not is_gap[i]]
+            ranks |= {(p, True, k): i for k, i in enumerate(gaps)} | {(p, False, k): i for k, i in enumerate(rest)}
+            free.append((p, len(gaps), len(rest)))
+        for gap_part, first, part, last, n in packing.between(free):
+            pairs += [(ranks[part, False, last - k], ranks[gap_part, True, first + k]) for k in range(n)]
+        assert sorted(pairs) == sorted(want)
+
+
+def test_nearly_as_few_sequences_as_best_fit_decreasing(spark):
     rng = random.Random(3)
-    for _ in range(200):
-        size = rng.choice([10, 32, 100])
-        lengths = [rng.randint(1, size) for _ in range(rng.randint(1, 200))]
-        counts = {n: lengths.count(n) for n in set(lengths)}
-        runs = packing.sweep(counts, size)
-        placed, ends = defaultdict(int), {}
-        for n, rank, first, off in runs:
-            nxt = min([r for m, r, _, _ in runs if m == n and r > rank], default=counts[n])
-            for k in range(nxt - rank):
-                assert placed[first + k] == off
-                placed[first + k] += n
-                assert placed[first + k] <= size
-        assert sum(placed.values()) == sum(lengths)
-        assert len(placed) == plain_best_fit(lengths, size)
+    cases = [
+        (100, [rng.randint(1, 100) for _ in range(3000)]),
+        (100, [3] * 2000),
+        (64, [rng.choice([1, 2, 31, 32, 33, 64]) for _ in range(2000)]),
+        (1024, [min(1024, int(rng.expovariate(1 / 150)) + 1) for _ in range(3000)]),
+        (50, [50, 26, 26, 25]),
+    ]
+    for size, lengths in cases:
+        rows = [(i, 0, 0, n, i) for i, n in enumerate(lengths)]
+        got = packing.place(spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4), size).collect()
+        assert sorted((r["doc_id"], r["length"]) for r in got) == [(i, n) for i, n in enumerate(lengths)]
+        assert check(got, size) <= 1.02 * plain_best_fit(lengths, size) + 1
 
 
 def test_odd_texts(spark, empty):
-    rows = [(None, None), (1, "same"), (1, "same"), (2, " " * 5000), (3, "a" * 30_000), (4, "<|endoftext|> in a text")]
+    rows = [(None, None), (1, "same"), (1, "same"), (2, " " * 5000), (3, "a" * 30_000), (4, "<|endoftext|> in a text"), (5, "x" + " " * 2_000_000 + "\n" * 5000 + "y <|endoftext|>")]
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect()
     check(got, 1024)
     assert sum(r["piece"] == 0 for r in got) == len(rows)
+    t = Tokenizer.from_file(PATH)
+    for i, text in rows[3:]:
+        assert sum(r["length"] for r in got if r["doc_id"] == i) == 1 + len(t.encode(text, add_special_tokens=False).ids)
     assert packing.pack(empty, PATH).count() == 0
 
 
