@@ -10,10 +10,9 @@ import pyarrow as pa
 #: Texts are taken in pieces of about this many bytes, which bounds the arrays of one step.
 PIECE = 1 << 21
 
-_rng = np.random.default_rng(20240601)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[str, np.ndarray] = {}
+#: Two primes below 2 ** 31: a sum over PIECE bytes of byte * power stays below 2 ** 64.
+_PRIMES = (2_147_483_647, 2_147_483_629)
+_POWERS: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}
 
 
 def table(keep) -> np.ndarray:
@@ -25,13 +24,26 @@ def table(keep) -> np.ndarray:
 PLAIN = table(lambda b: 0 if b == 32 or 9 <= b <= 13 else (b or 255))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        up = np.full(n, _BASE, np.uint64)
-        down = np.full(n, pow(_BASE, -1, 1 << 64), np.uint64)
-        up[0] = down[0] = 1
-        _POWERS["up"], _POWERS["down"] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return _POWERS["up"], _POWERS["down"]
+def _up(base: int, prime: int, n: int) -> np.ndarray:
+    out = np.ones(n, np.uint64)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = out[:more] * np.uint64(pow(base, have, prime)) % np.uint64(prime)
+        have += more
+    return out
+
+
+def _powers(k: int, salt: int, n: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """The base of the k-th prime for a salt, its powers and those of its inverse."""
+    known = _POWERS.get((k, salt))
+    if known is None or len(known[1]) < n:
+        base = int(np.random.default_rng([20240601, k, salt]).integers(1 << 20, _PRIMES[k] - 1))
+        known = base, _up(base, _PRIMES[k], n), _up(pow(base, -1, _PRIMES[k]), _PRIMES[k], n)
+        if len(_POWERS) > 8:
+            _POWERS.clear()
+        _POWERS[k, salt] = known
+    return known
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -71,32 +83,36 @@ def spans(mapped: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, texts)
 
 
-def hashes(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, equal for equal words wherever they stand."""
-    out = np.empty(len(starts), np.uint64)
+def hashes(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A 64-bit hash of each word, equal for equal words wherever they stand.
+
+    It is made of two polynomials over prime fields at points drawn once for each salt, so that no pattern within
+    words makes them meet; other salts give other hashes.
+    """
+    out = np.zeros(len(starts), np.uint64)
     at = 0
     while at < len(starts):
         to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
         if to > at + 1 and (big := np.flatnonzero(ends[at:to] - starts[at:to] > PIECE // 2)).size:
             to = at + max(1, int(big[0]))
-        lo, hi = starts[at], ends[to - 1]
-        if to == at + 1 and hi - lo > PIECE // 2:
-            total = 0
-            for x in range(lo, hi, PIECE):  # a single huge word, block by block
-                total = (total * 1_000_003 + int(_sum(mapped[x : min(x + PIECE, hi)]))) % (1 << 64)
-            out[at] = total
-        else:
-            up, down = _powers(int(hi - lo) + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_BYTE[mapped[lo:hi]] * up[: hi - lo], out=sums[1:])
-            out[at:to] = (sums[ends[at:to] - lo] - sums[starts[at:to] - lo]) * down[starts[at:to] - lo]
+        lo, hi = int(starts[at]), int(ends[to - 1])
+        for k, prime in enumerate(_PRIMES):
+            p = np.uint64(prime)
+            base, up, down = _powers(k, salt, min(hi - lo, PIECE) + 1)
+            if hi - lo > PIECE // 2 and to == at + 1:
+                total = 0
+                for x in range(lo, hi, PIECE):  # a single huge word, block by block
+                    part = mapped[x : min(x + PIECE, hi)]
+                    total += int((part * up[: len(part)]).sum(dtype=np.uint64) % p) * pow(base, x - lo, prime)
+                h = np.array([total % prime], np.uint64)
+            else:
+                sums = np.zeros(hi - lo + 1, np.uint64)
+                np.cumsum(mapped[lo:hi] * up[: hi - lo], out=sums[1:])
+                s, e = starts[at:to] - lo, ends[at:to] - lo
+                h = (sums[e] - sums[s]) % p * down[s] % p
+            out[at:to] |= h << np.uint64(31 * k)
         at = to
-    return mix(out + (ends - starts).astype(np.uint64))
-
-
-def _sum(part: np.ndarray) -> np.uint64:
-    up, _ = _powers(len(part))
-    return (_BYTE[part] * up[: len(part)]).sum(dtype=np.uint64)
+    return mix(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
