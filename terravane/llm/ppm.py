@@ -1,17 +1,21 @@
 """Scores of texts by prediction by partial matching, and by word frequencies.
 
-The trie holds contexts of two, one and no bytes with the counts of the bytes that follow, gathered from the training
-texts. A byte is predicted in its longest known context; one not seen there costs an escape (method C: as likely as
-the context has different followers) and is predicted in the next shorter context, from which the symbols of the
-longer one are excluded; last comes an even choice of what is left. Texts are in lower case (A-Z only), begin in the
-context of two boundary marks and end with one. The counts are learned first and fixed then (a pretrained code).
-
-Two bytes of context and one that follows make at most 2 ** 24 counts, whatever the input, which bounds what is sent
-to the driver and broadcast. Workers turn them into one table of log probabilities.
-
-The word score is an add-one unigram model over the tokens of all training texts. A bounded list of frequent tokens
-(drawn from a sample, at most FREQUENT) is counted as an array; which tokens are on it changes no result. All other
-tokens are counted by Spark and joined back to their documents. Tokens are told apart by a 64-bit hash.
+The trie holds contexts of `order`, `order` - 1, ... and no bytes with the counts of the bytes that follow, gathered
+from the training texts. A byte is predicted in its longest known context; one not seen there costs an escape (method
+C: as likely as the context has different followers) and is predicted in the next shorter context, from which the
+symbols of the longer one are excluded; last comes an even choice of what is left. Texts are in lower case (A-Z only),
+begin in the context of `order` boundary marks and end with one. The counts are learned first and fixed then (a
+pretrained code).
+
+The trie is a set of Spark tables, one for each level, keyed by context and symbol as one number. Tasks count the
+distinct ones of a piece of text before anything is shuffled. As the counts are fixed, the probability of a symbol after
+its context is one number for the whole corpus; a walk down the levels by joins gives it for every pair that
+stands anywhere. Both tables grow with the corpus. A bounded list of the commonest pairs (`listed`) goes to all tasks,
+which sum these themselves; documents meet all other pairs in a join. What is on the list changes no result.
+
+The word score is an add-one unigram model over the tokens of all training texts, done in the same way: frequent tokens
+(drawn from a sample, at most `frequent`) are counted as an array, all others are joined. Tokens are told apart by a 64-bit
+hash. Rows of the documents are told apart by a number that is saved with them.
 
 Defined results: a null or empty text is its end token alone; rows with a null id are training rows; repeated rows
 count as often as they stand there; other columns are ignored.
@@ -28,85 +32,99 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import saved
+from .common import numbered, saved
 from .language import held_out
 
+ORDER = 4
 FREQUENT = 65_536
+LISTED = 1 << 18
 SAMPLE_DOCS = 4_000
 PIECE = 4 << 20
+CHUNK = 1 << 20
+ROW = "__terravane_row"
 #: UTF-8 has no byte 255: it is the boundary of a text.
 EDGE = 255
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 TOKEN = W.table(lambda b: 0 if b == 32 or 9 <= b <= 13 else (int(LOWER[b]) or 255))
 
 
-def codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte and the end of every text: context and symbol as one number; and how many each text has."""
+def codes(texts: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every byte and the end of every text: context and symbol as one number, and the text; chunk by chunk."""
+    if not 0 <= order <= 6:
+        raise ValueError("a context and its symbol have to fit into a long: order is 0 to 6")
     data, ends = W.flat(texts)
-    sizes = np.diff(ends)
-    out = np.full(len(data) + 3 * len(sizes), EDGE, np.uint32)
+    sizes, pad = np.diff(ends), order + 1
+    begins = ends[:-1] + pad * np.arange(len(sizes))
+    line = np.full(len(data) + pad * len(sizes), EDGE, np.uint8)
     if len(data):
-        out[np.arange(len(data)) + np.repeat(3 * np.arange(len(sizes)) + 2, sizes)] = LOWER[data]
-    grams = out[:-2] << np.uint32(16) | out[1:-1] << np.uint32(8) | out[2:] if len(out) else out
-    # Places whose last byte belongs to a text or is its end: all but the first two of each text.
-    real = np.ones(len(grams), bool)
-    begins = np.cumsum(sizes + 3)[:-1]
-    real[begins - 2] = real[begins - 1] = False
-    return grams[real], sizes + 1
+        line[np.arange(len(data)) + np.repeat(pad * np.arange(len(sizes)) + order, sizes)] = LOWER[data]
+    for a in range(0, len(line) - order, CHUNK):
+        b = min(a + CHUNK, len(line) - order)
+        code = np.zeros(b - a, np.int64)
+        for i in range(pad):
+            code = code << 8 | line[a + i : b + i]
+        at = np.arange(a, b)
+        doc = np.searchsorted(begins, at, "right") - 1
+        real = at - begins[doc] <= sizes[doc]
+        yield code[real], doc[real]
+
+
+def _grams(order: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y in W.pieces(b.column(1), PIECE):
+                part = b.slice(x, y - x)
+                train = part.column(0).to_numpy(zero_copy_only=False).astype(bool)
+                for code, doc in codes(part.column(1), order):
+                    learned = train[doc]
+                    u, n = np.unique(code[learned], return_counts=True)
+                    v = np.unique(code[~learned])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([u, v])), pa.array(np.concatenate([n, np.zeros(len(v), n.dtype)]))], ["code", "n"])
+
+    return run
 
 
-def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, seen = np.zeros(1 << 24, np.int64), False
-    for b in batches:
-        for x, y in W.pieces(b.column(0), PIECE):
-            g, _ = codes(b.column(0).slice(x, y - x))
-            code, n = np.unique(g, return_counts=True)
-            total[code] += n
-            seen = True
-    if seen:
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["code", "n"])
-
-
-def log_table(code: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each symbol in each context of two bytes, by place context * 256 + symbol."""
-    c2 = np.zeros((256, 256, 256))
-    c2.reshape(-1)[code] = n
-    c1 = c2.sum(axis=0)
-    c0 = c1.sum(axis=0)
-    out = np.empty((256, 256, 256), np.float32)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        s0 = c0 > 0
-        even = 1 / max(1, 256 - s0.sum())
-
-        def level0(excluded: np.ndarray) -> np.ndarray:
-            """Rows of probabilities when each row of excluded symbols is left out."""
-            left = np.where(excluded, 0, c0)
-            total, kinds = left.sum(axis=-1, keepdims=True), (left > 0).sum(axis=-1, keepdims=True)
-            p = np.where(left > 0, left / (total + kinds), 0)
-            escape = np.where(total > 0, kinds / (total + kinds), 1)
-            return np.where(s0, p, escape * even)
-
-        alone = level0(np.zeros((1, 256), bool))[0]
-        for b in range(256):
-            row, s1 = c1[b], c1[b] > 0
-            under = level0(s1[None])[0] if s1.any() else alone
-            here = c2[:, b, :]
-            s2 = here > 0
-            left = np.where(s2, 0, row[None])
-            total, kinds = left.sum(axis=1, keepdims=True), (left > 0).sum(axis=1, keepdims=True)
-            p1 = np.where(left > 0, left / (total + kinds), np.where(total > 0, kinds / (total + kinds), 1) * under)
-            all2, kinds2 = here.sum(axis=1, keepdims=True), s2.sum(axis=1, keepdims=True)
-            p2 = np.where(s2, here / (all2 + kinds2), np.where(all2 > 0, kinds2 / (all2 + kinds2), 1) * p1)
-            out[:, b, :] = np.log10(p2)
-    return out.reshape(-1)
-
-
-def learn_trie(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of context and symbol over docs (training rows only)."""
-    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    got = texts.mapInArrow(_trigrams, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    return got["code"].to_numpy(np.int64), got["n"].to_numpy(np.float64)
+def grams(rows: DataFrame, order: int = ORDER) -> DataFrame:
+    """code (context and symbol) and n (how often training texts have it, maybe 0) of all that rows (train, text) hold."""
+    return rows.select("train", "text").mapInArrow(_grams(order), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def log_table(pairs: DataFrame, order: int = ORDER) -> DataFrame:
+    """code, n and lp (log10 of the symbol's probability in its context) for the pairs of grams()."""
+
+    def small(level: int, df: DataFrame) -> DataFrame:
+        """Tables keyed by at most two bytes have at most 65,536 rows."""
+        return F.broadcast(df) if level <= 2 else df
+
+    ending = lambda n: F.col("code").bitwiseAND(F.lit((1 << 8 * n) - 1))
+    level = {order: saved(pairs.where("n > 0"))}
+    for j in range(order - 1, -1, -1):
+        level[j] = saved(level[j + 1].groupBy(ending(j + 1).alias("code")).agg(F.sum("n").alias("n")))
+    now = pairs.select("code", F.col("n").alias("n"), F.lit(0.0).alias("lp"), F.lit(False).alias("done"), F.lit(0).cast("long").alias("gone"), F.lit(0).cast("long").alias("gone_kinds"))
+    for j in range(order, -1, -1):
+        # Of each context: all that follow it, how many kinds, and how often these follow the next shorter context.
+        under = level[j].select("code", "n", F.shiftright("code", 8).alias("context"), ending(j).alias("shorter"))
+        if j:
+            under = under.join(small(j, level[j - 1].select(F.col("code").alias("shorter"), F.col("n").alias("below"))), "shorter")
+        else:
+            under = under.withColumn("below", F.lit(0))
+        nodes = under.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("below").alias("below"))
+        here = level[j].select(F.col("code").alias("here"), F.col("n").alias("seen"))
+        now = now.withColumn("here", ending(j + 1)).withColumn("context", F.shiftright(ending(j + 1), 8))
+        now = now.join(small(j + 1, here), "here", "left").join(small(j, nodes), "context", "left")
+        total = F.coalesce("total", F.lit(0)) - F.col("gone")
+        kinds = F.coalesce("kinds", F.lit(0)) - F.col("gone_kinds")
+        # Where nothing is left in this context, the escape is sure.
+        step = F.when(F.col("done") | (total + kinds == 0), 0.0).otherwise(F.log10(F.coalesce("seen", kinds) / (total + kinds)))
+        now = now.select(
+            "code",
+            "n",
+            (F.col("lp") + step).alias("lp"),
+            (F.col("done") | F.col("seen").isNotNull()).alias("done"),
+            F.coalesce("below", F.lit(0)).alias("gone"),
+            (F.coalesce("kinds", F.lit(0)) if j else F.greatest(F.lit(1), 256 - F.coalesce("kinds", F.lit(0)))).alias("gone_kinds"),
+        )
+    return now.select("code", "n", F.when(F.col("done"), F.col("lp")).otherwise(F.col("lp") - F.log10("gone_kinds")).alias("lp"))
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,7 +133,7 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     mapped = TOKEN[data]
     s, e, first = W.spans(mapped, ends)
     n = np.diff(first)
-    return W.hashes(mapped, s, e), np.repeat(np.arange(len(n)), n), n
+    return W.hashes(mapped, s, e).view(np.int64), np.repeat(np.arange(len(n)), n), n
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +141,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y in W.pieces(b.column(0), PIECE):
             h, _, _ = _tokens(b.column(0).slice(x, y - x))
             u, n = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(n, pa.int64())], ["h", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n, pa.int64())], ["h", "n"])
 
 
 def _place(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,104 +150,108 @@ def _place(known: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, known[at] == h if len(known) else np.zeros(len(h), bool)
 
 
-def _rare(frequent):
-    """Rows (h, kd, th, train, n) of the tokens that are not on the list, and (place, null, ..., n) of those that are."""
+def _learned(frequent):
+    """Counts of training tokens: (place on the list, true, n) of those on it, (hash, false, n) of the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = frequent.value
         for b in batches:
-            for x, y in W.pieces(b.column(3), PIECE):
-                part = b.slice(x, y - x)
-                h, doc, _ = _tokens(part.column(3))
-                train = part.column(2).to_numpy(zero_copy_only=False).astype(bool)
-                at, there = _place(known, h)
-                counts = np.bincount(at[there & train[doc]], minlength=max(1, len(known)))
-                r, d = h[~there], doc[~there]
-                order = np.lexsort((r, d))
-                r, d = r[order], d[order]
-                new = np.ones(len(r), bool)
-                new[1:] = (np.diff(d) != 0) | (r[1:] != r[:-1])
-                heads = np.flatnonzero(new)
-                n = np.diff(np.append(heads, len(r)))
-                take = pa.array(d[heads])
-                hot = np.flatnonzero(counts)
-                none = len(hot)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([r[heads].view(np.int64), hot])),
-                        pa.concat_arrays([part.column(0).take(take), pa.nulls(none, pa.int64())]),
-                        pa.concat_arrays([part.column(1).take(take), pa.nulls(none, pa.int32())]),
-                        pa.concat_arrays([pa.array(train[d[heads]]), pa.nulls(none, pa.bool_())]),
-                        pa.array(np.concatenate([n, counts[hot]]).astype(np.int64)),
-                    ],
-                    ["h", "kd", "th", "train", "n"],
-                )
+            for x, y in W.pieces(b.column(0), PIECE):
+                h, _, _ = _tokens(b.column(0).slice(x, y - x))
+                u, n = np.unique(h, return_counts=True)
+                at, there = _place(known, u)
+                yield pa.RecordBatch.from_arrays([pa.array(np.where(there, at, u)), pa.array(there), pa.array(n, pa.int64())], ["h", "listed", "n"])
 
     return run
 
 
-_TABLES: dict[int, np.ndarray] = {}
+def _distinct(doc: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, value and count of the distinct values of each text."""
+    order = np.lexsort((x, doc))
+    doc, x = doc[order], x[order]
+    heads = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (x[1:] != x[:-1])])) if len(x) else np.zeros(0, np.int64)
+    return doc[heads], x[heads], np.diff(np.append(heads, len(x)))
 
 
-def _scored(model):
+def _rare(lists, order: int):
+    """Rows (h, gram, row, n) of what is on no list: tokens, and pairs of context and symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, listed, _ = lists.value
+        for b in batches:
+            for x, y in W.pieces(b.column(1), PIECE):
+                part = b.slice(x, y - x)
+                h, doc, _ = _tokens(part.column(1))
+                new = ~_place(known, h)[1]
+                found = [(False, *_distinct(doc[new], h[new]))]
+                for code, doc in codes(part.column(1), order):
+                    new = ~_place(listed, code)[1]
+                    found.append((True, *_distinct(doc[new], code[new])))
+                for gram, doc, h, n in found:
+                    if len(h):
+                        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), gram)), part.column(0).take(pa.array(doc)), pa.array(n, pa.int64())], ["h", "gram", ROW, "n"])
+
+    return run
+
+
+def _scored(lists, counted, order: int):
+    """The sums of each text over what is on the lists."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, code, n, known, counts, end = model.value
-        if key not in _TABLES:
-            _TABLES.clear()
-            _TABLES[key] = log_table(code, n)
-        logs, part_log = _TABLES[key], np.log10(counts + 1.0)
+        known, listed, lp = lists.value
+        counts, end = counted.value
+        part_log = np.log10(counts + 1.0)
         for b in batches:
             for x, y in W.pieces(b.column(3), PIECE):
                 part = b.slice(x, y - x)
-                g, sizes = codes(part.column(3))
-                bits = np.add.reduceat(logs[g].astype(np.float64), np.cumsum(sizes) - sizes)
+                bits = np.zeros(y - x)
+                for code, doc in codes(part.column(3), order):
+                    at, there = _place(listed, code)
+                    bits += np.bincount(doc[there], weights=lp[at[there]], minlength=y - x)
                 h, doc, n_words = _tokens(part.column(3))
                 at, there = _place(known, h)
                 sums = np.bincount(doc[there], weights=part_log[at[there]], minlength=y - x) + math.log10(end + 1)
                 seen = np.bincount(doc[there], weights=counts[at[there]] > 0, minlength=y - x) + (end > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n_words + 1, pa.int64()), pa.array(seen.astype(np.int64)), pa.array(sums), pa.array(bits)], ["kd", "th", "train", "n_tokens", "known", "log_sum", "score"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n_words + 1, pa.int64()), pa.array(seen.astype(np.int64)), pa.array(sums), pa.array(bits)], [ROW, "doc_id", "train", "n_tokens", "known", "log_sum", "bits"])
 
     return run
 
 
-NULL_ID = -(1 << 63)
-
-
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, frequent: int = FREQUENT, listed: int = LISTED, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs.
 
     Learned from the rows whose crc32 of the id, modulo 7, is not 2.
     """
     sc = docs.sparkSession.sparkContext
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("kd"), F.hash(text).alias("th"), (~held_out(id_col, 7, 2)).alias("train"), text.alias("text"))
-    training = rows.where("train")
+    rows = numbered(docs.select(F.col(id_col).cast("long").alias("doc_id"), (~held_out(id_col, 7, 2)).alias("train"), text.alias("text")), ROW)
     n_rows, n_train = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
-    code, n = learn_trie(training)
-    some = rows.where(F.pmod(F.xxhash64("kd", "th"), F.lit(1 << 30)) < int(min(1.0, sample_docs / max(1, n_rows)) * (1 << 30))).select("text")
-    listed = some.mapInArrow(_sampled, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(frequent).toPandas()
-    known = np.sort(listed["h"].to_numpy(np.int64).view(np.uint64))
-    tokens = rows.mapInArrow(_rare(sc.broadcast(known)), "h long, kd long, th int, train boolean, n long")
-    hot = tokens.where("train is null").groupBy("h").agg(F.sum("n").alias("n")).toPandas()
+    # Context and symbol.
+    table = saved(log_table(saved(grams(rows, order)), order))
+    top = table.orderBy(F.desc("n"), "code").limit(listed).select("code", "lp").toPandas().sort_values("code")
+    # Tokens.
+    some = rows.where(F.pmod(F.xxhash64(ROW), F.lit(1 << 30)) < int(min(1.0, sample_docs / max(1, n_rows)) * (1 << 30))).select("text")
+    often = some.mapInArrow(_sampled, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(frequent).toPandas()
+    known = np.sort(often["h"].to_numpy(np.int64))
+    tokens = rows.where("train").select("text").mapInArrow(_learned(sc.broadcast(known)), "h long, listed boolean, n long")
+    learned = saved(tokens.groupBy("h", "listed").agg(F.sum("n").alias("n")))
+    hot = learned.where("listed").toPandas()
     counts = np.zeros(max(1, len(known)), np.int64)
     counts[hot["h"].to_numpy(np.int64)] = hot["n"].to_numpy(np.int64)
-    # Tokens of held-out documents that training never saw add nothing but the constant.
-    rare = saved(tokens.where("train").groupBy("h").agg(F.sum("n").alias("c")))
-    n_kinds, n_rare = rare.agg(F.count(F.lit(1)), F.coalesce(F.sum("c"), F.lit(0))).first()
-    total = int(n_rare + counts.sum() + n_train)
-    kinds = int(n_kinds + (counts > 0).sum() + (n_train > 0))
-    by_doc = (
-        tokens.where("train is not null")
-        .select("h", "kd", "th", "n")
-        .join(rare, "h")
-        .groupBy("kd", "th")
-        .agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("rare_log"), F.sum("n").alias("rare_known"))
+    n_kinds, n_tokens = learned.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    total, kinds = int(n_tokens + n_train), int(n_kinds + (n_train > 0))
+    # Tokens that training never saw add nothing but the constant.
+    lists = sc.broadcast((known, top["code"].to_numpy(np.int64), top["lp"].to_numpy(np.float64)))
+    values = learned.where("not listed").select("h", F.lit(False).alias("gram"), F.log10(F.col("n") + 1).alias("v")).union(table.select("code", F.lit(True), "lp"))
+    rare = rows.select(ROW, "text").mapInArrow(_rare(lists, order), f"h long, gram boolean, {ROW} long, n long").join(values, ["h", "gram"])
+    gram, word = F.col("gram"), ~F.col("gram")
+    by_row = rare.groupBy(ROW).agg(
+        F.sum(F.when(word, F.col("n") * F.col("v")).otherwise(0.0)).alias("rare_log"), F.sum(F.when(word, F.col("n")).otherwise(0)).alias("rare_known"), F.sum(F.when(gram, F.col("n") * F.col("v")).otherwise(0.0)).alias("rare_bits")
+    )
+    schema = f"{ROW} long, doc_id long, train boolean, n_tokens long, known long, log_sum double, bits double"
+    each = rows.select(ROW, "doc_id", "train", "text").mapInArrow(_scored(lists, sc.broadcast((counts, int(n_train))), order), schema)
+    out = each.join(by_row, ROW, "left")
+    base = F.col("log_sum") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)
+    return out.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("bits") + F.coalesce("rare_bits", F.lit(0.0))).alias("score")
     )
-    model = sc.broadcast((hash((code.tobytes(), n.tobytes())), code, n, known, counts, int(n_train)))
-    each = rows.mapInArrow(_scored(model), "kd long, th int, train boolean, n_tokens long, known long, log_sum double, score double")
-    twice = rows.groupBy("kd", "th").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    out = each.join(by_doc, ["kd", "th"], "left").join(twice, ["kd", "th"], "left")
-    copies = F.coalesce("copies", F.lit(1))
-    base = F.col("log_sum") + F.coalesce("rare_log", F.lit(0.0)) / copies - F.col("n_tokens") * math.log10(total + kinds + 1)
-    known_all = F.col("known") + (F.coalesce("rare_known", F.lit(0)) / copies).cast("long")
-    return out.select(F.when(F.col("kd") != NULL_ID, F.col("kd")).alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", known_all.alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -22,25 +22,26 @@ def crc(i, n):
     return zlib.crc32(str(i).encode()) % n if i is not None else -1
 
 
-def plain_ppm(train, texts):
-    """Order-2 prediction by partial matching with exclusion, symbol by symbol."""
+def plain_ppm(train, texts, order):
+    """Prediction by partial matching with exclusion, symbol by symbol."""
     c = defaultdict(Counter)
-    seq = lambda t: [255, 255, *lower(t).encode(), 255]
+    seq = lambda t: (255,) * order + (*lower(t).encode(), 255)
     for t in train:
         s = seq(t)
-        for a, b, x in zip(s, s[1:], s[2:], strict=False):
-            for ctx in ((a, b), (b,), ()):
-                c[ctx][x] += 1
+        for i in range(order, len(s)):
+            for k in range(order + 1):
+                c[s[i - k : i]][s[i]] += 1
     out = []
     for t in texts:
         s, total = seq(t), 0.0
-        for a, b, x in zip(s, s[1:], s[2:], strict=False):
+        for i in range(order, len(s)):
             gone, p = set(), 1.0
-            for ctx in ((a, b), (b,), ()):
-                left = {k: v for k, v in c[ctx].items() if k not in gone} if ctx in c else {}
+            for k in range(order, -1, -1):
+                seen = c.get(s[i - k : i], {})
+                left = {x: n for x, n in seen.items() if x not in gone}
                 n, d = sum(left.values()), len(left)
-                if x in left:
-                    p *= left[x] / (n + d)
+                if s[i] in left:
+                    p *= left[s[i]] / (n + d)
                     break
                 p *= d / (n + d) if d else 1
                 gone |= set(left)
@@ -51,9 +52,9 @@ def plain_ppm(train, texts):
     return out
 
 
-@pytest.mark.parametrize("frequent", [65_536, 50, 0])
-def test_scores(spark, documents, corpus, frequent):
-    got = {r["doc_id"]: r for r in ppm.score(documents, frequent=frequent).collect()}
+@pytest.mark.parametrize(("frequent", "listed", "order"), [(65_536, 1 << 18, 4), (50, 200, 3), (0, 0, 2)])
+def test_scores(spark, documents, corpus, frequent, listed, order):
+    got = {r["doc_id"]: r for r in ppm.score(documents, order=order, frequent=frequent, listed=listed).collect()}
     train = [(i, t) for i, t in corpus if crc(i, 7) != 2]
     count = Counter(w for _, t in train for w in WORD.findall(lower(t)))
     total, kinds, end = sum(count.values()) + len(train), len(count) + 1, len(train)
@@ -63,22 +64,45 @@ def test_scores(spark, documents, corpus, frequent):
         base = sum(math.log10((count[x] + 1) / (total + kinds + 1)) for x in w) + math.log10((end + 1) / (total + kinds + 1))
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (crc(i, 7) == 2, len(w) + 1, sum(count[x] > 0 for x in w) + 1, total)
         assert r["base_score"] == pytest.approx(base, rel=1e-9)
-    if frequent == 50:
-        some = [(i, t) for i, t in corpus if i % 9 == 0]
-        for (i, _), want in zip(some, plain_ppm([t for _, t in train], [t for _, t in some]), strict=True):
-            assert got[i]["score"] == pytest.approx(want, rel=1e-5)
+    some = [(i, t) for i, t in corpus if i % 9 == 0 or i >= 10_000]
+    for (i, _), want in zip(some, plain_ppm([t for _, t in train], [t for _, t in some], order), strict=True):
+        assert got[i]["score"] == pytest.approx(want, rel=1e-9)
 
 
-def test_probabilities_sum_to_one():
-    g, _ = ppm.codes(pa.array(["abracadabra", None, "", "Abba Écran"]))
-    code, n = np.unique(g, return_counts=True)
-    p = 10.0 ** ppm.log_table(code.astype(np.int64), n.astype(float)).astype(float).reshape(-1, 256)
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-3)
+def test_probabilities_sum_to_one(spark):
+    order = 3
+    code, n = np.unique(np.concatenate([c for c, _ in ppm.codes(pa.array(["abracadabra", None, "", "Abba Écran"]), order)]), return_counts=True)
+    seen = dict(zip(code.tolist(), n.tolist(), strict=True))
+    contexts = {c >> 8 for c in seen} | {0, 97, 97 << 8 | 98}
+    rows = [(c << 8 | x, seen.get(c << 8 | x, 0)) for c in contexts for x in range(256)]
+    got = ppm.log_table(spark.createDataFrame(rows, "code long, n long"), order).collect()
+    sums = Counter()
+    for r in got:
+        sums[r["code"] >> 8] += 10 ** r["lp"]
+    assert set(sums) == contexts and all(abs(x - 1) < 1e-9 for x in sums.values())
+
+
+def test_words_of_equal_polynomials_differ():
+    """Words made of one pattern and its complement, which meet where a hash is a polynomial modulo a power of two."""
+    for k in (10, 11, 12):
+        bits = [bin(i).count("1") % 2 for i in range(1 << k)]
+        pair = ["".join("ab"[b ^ x] for b in bits) for x in (0, 1)]
+        h, _, n = ppm._tokens(pa.array(pair))
+        assert n.tolist() == [1, 1] and h[0] != h[1]
+
+
+def test_a_huge_word_has_the_hash_of_its_bytes():
+    from terravane.llm import words as W
+
+    for n in (W.PIECE // 2 - 1, W.PIECE // 2 + 1, 2 * W.PIECE + 5):
+        texts = pa.array([f"x {'ab' * (n // 2)} y", "ab" * (n // 2), "ab" * (n // 2 - 1) + "ba"])
+        h, doc, _ = ppm._tokens(texts)
+        assert h[1] == h[3] != h[4] and doc.tolist() == [0, 0, 0, 1, 2]
 
 
 def test_score_nulls_repeats_and_empty(spark, empty):
     rows = [(None, "a b"), (3, "a b c"), (3, "a b c"), (4, None), (3, "other")]
-    got = ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), frequent=0).collect()
+    got = ppm.score(spark.createDataFrame(rows, "doc_id long, text string"), frequent=0, listed=3).collect()
     assert sorted(((r["doc_id"] or 0), r["n_tokens"], r["n_known"]) for r in got) == [(0, 3, 3), (3, 2, 2), (3, 4, 4), (3, 4, 4), (4, 1, 1)]
     assert ppm.score(empty).count() == 0
 
