@@ -54,19 +54,23 @@ def codes(texts: pa.Array, order: int) -> Iterator[tuple[np.ndarray, np.ndarray]
         raise ValueError("a context and its symbol have to fit into a long: order is 0 to 6")
     data, ends = W.flat(texts)
     sizes, pad = np.diff(ends), order + 1
-    begins = ends[:-1] + pad * np.arange(len(sizes))
     line = np.full(len(data) + pad * len(sizes), EDGE, np.uint8)
     if len(data):
         line[np.arange(len(data)) + np.repeat(pad * np.arange(len(sizes)) + order, sizes)] = LOWER[data]
+    doc = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + pad)
+    # The first `order` marks of a text are no symbols.
+    real = np.ones(len(line), bool)
+    begins = ends[1:-1] + pad * np.arange(1, len(sizes))
+    for i in range(1, pad):
+        real[begins - i] = False
     for a in range(0, len(line) - order, CHUNK):
         b = min(a + CHUNK, len(line) - order)
         code = np.zeros(b - a, np.int64)
         for i in range(pad):
-            code = code << 8 | line[a + i : b + i]
-        at = np.arange(a, b)
-        doc = np.searchsorted(begins, at, "right") - 1
-        real = at - begins[doc] <= sizes[doc]
-        yield code[real], doc[real]
+            code <<= 8
+            code |= line[a + i : b + i]
+        some = real[a:b]
+        yield code[some], doc[a:b][some]
 
 
 def _grams(order: int):
@@ -173,50 +177,89 @@ def _distinct(doc: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return doc[heads], x[heads], np.diff(np.append(heads, len(x)))
 
 
+class Listed:
+    """Codes and their values in an open table with one place for each hash; a code whose place is taken is not on it."""
+
+    def __init__(self, code: np.ndarray, value: np.ndarray):
+        self.shift = np.uint64(64 - max(4, (8 * len(code)).bit_length()))
+        size = 1 << (64 - int(self.shift))
+        self.code, self.value = np.full(size, -1, np.int64), np.zeros(size)
+        place, first = np.unique(self._at(code), return_index=True)
+        self.code[place], self.value[place] = code[first], value[first]
+
+    def _at(self, code: np.ndarray) -> np.ndarray:
+        return (code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def get(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which codes are on it, and the values of all (0 if not)."""
+        at = self._at(code)
+        there = self.code[at] == code
+        return there, np.where(there, self.value[at], 0.0)
+
+
 def _rare(lists, order: int):
-    """Rows (h, gram, row, n) of what is on no list: tokens, and pairs of context and symbol."""
+    """Rows (h, gram, row, n, 0) of what is on no list: tokens, and pairs of context and symbol.
+
+    Besides, a row (row, null, row, 0, bits) for each text, with its sum over the pairs on the list.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, listed, _ = lists.value
+        known, code, lp = lists.value
+        listed = Listed(code, lp)
         for b in batches:
             for x, y in W.pieces(b.column(1), PIECE):
                 part = b.slice(x, y - x)
                 h, doc, _ = _tokens(part.column(1))
                 new = ~_place(known, h)[1]
                 found = [(False, *_distinct(doc[new], h[new]))]
+                bits = np.zeros(y - x)
                 for code, doc in codes(part.column(1), order):
-                    new = ~_place(listed, code)[1]
-                    found.append((True, *_distinct(doc[new], code[new])))
+                    there, value = listed.get(code)
+                    bits += np.bincount(doc, weights=value, minlength=y - x)
+                    found.append((True, *_distinct(doc[~there], code[~there])))
+                none = np.zeros(y - x, np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.nulls(y - x, pa.bool_()), part.column(0), pa.array(none), pa.array(bits)], ["h", "gram", ROW, "n", "bits"])
                 for gram, doc, h, n in found:
                     if len(h):
-                        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), gram)), part.column(0).take(pa.array(doc)), pa.array(n, pa.int64())], ["h", "gram", ROW, "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), gram)), part.column(0).take(pa.array(doc)), pa.array(n, pa.int64()), pa.array(np.zeros(len(h)))], ["h", "gram", ROW, "n", "bits"])
 
     return run
 
 
-def _scored(lists, counted, order: int):
-    """The sums of each text over what is on the lists."""
+def _scored(frequent, counted):
+    """The token sums of each text over what is on the list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, listed, lp = lists.value
+        known, _, _ = frequent.value
         counts, end = counted.value
         part_log = np.log10(counts + 1.0)
         for b in batches:
             for x, y in W.pieces(b.column(3), PIECE):
                 part = b.slice(x, y - x)
-                bits = np.zeros(y - x)
-                for code, doc in codes(part.column(3), order):
-                    at, there = _place(listed, code)
-                    bits += np.bincount(doc[there], weights=lp[at[there]], minlength=y - x)
                 h, doc, n_words = _tokens(part.column(3))
                 at, there = _place(known, h)
                 sums = np.bincount(doc[there], weights=part_log[at[there]], minlength=y - x) + math.log10(end + 1)
                 seen = np.bincount(doc[there], weights=counts[at[there]] > 0, minlength=y - x) + (end > 0)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n_words + 1, pa.int64()), pa.array(seen.astype(np.int64)), pa.array(sums), pa.array(bits)], [ROW, "doc_id", "train", "n_tokens", "known", "log_sum", "bits"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n_words + 1, pa.int64()), pa.array(seen.astype(np.int64)), pa.array(sums)], [ROW, "doc_id", "train", "n_tokens", "known", "log_sum"])
 
     return run
 
 
+def commonest(table: DataFrame, most: int) -> DataFrame:
+    """At most `most` rows of table, those with the greatest n: all from the least eighth of a power of two on that has no more.
+
+    Only counts by eighths of powers (some hundreds of rows) go to the driver to find it.
+    """
+    step = F.floor(8 * F.log2(F.col("n") + 1))
+    counts = sorted(((r["step"], r["count"]) for r in table.groupBy(step.alias("step")).count().collect()), reverse=True)
+    cut, have = math.inf, 0
+    for k, n in counts:
+        if (have := have + n) > most:
+            break
+        cut = k
+    return table.where(step >= cut) if cut < math.inf else table.limit(0)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, frequent: int = FREQUENT, listed: int = LISTED, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score for each row of docs.
 
@@ -228,7 +271,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     n_rows, n_train = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
     # Context and symbol.
     table = saved(log_table(saved(grams(rows, order)), order))
-    top = table.orderBy(F.desc("n"), "code").limit(listed).select("code", "lp").toPandas().sort_values("code")
+    top = commonest(table, listed).toPandas().sort_values(["n", "code"], ascending=[False, True])
     # Tokens.
     some = rows.where(F.pmod(F.xxhash64(ROW), F.lit(1 << 30)) < int(min(1.0, sample_docs / max(1, n_rows)) * (1 << 30))).select("text")
     often = some.mapInArrow(_sampled, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "h").limit(frequent).toPandas()
@@ -243,15 +286,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     # Tokens that training never saw add nothing but the constant.
     lists = sc.broadcast((known, top["code"].to_numpy(np.int64), top["lp"].to_numpy(np.float64)))
     values = learned.where("not listed").select("h", F.lit(False).alias("gram"), F.log10(F.col("n") + 1).alias("v")).union(table.select("code", F.lit(True), "lp"))
-    rare = rows.select(ROW, "text").mapInArrow(_rare(lists, order), f"h long, gram boolean, {ROW} long, n long").join(values, ["h", "gram"])
-    gram, word = F.col("gram"), ~F.col("gram")
-    by_row = rare.groupBy(ROW).agg(
-        F.sum(F.when(word, F.col("n") * F.col("v")).otherwise(0.0)).alias("rare_log"), F.sum(F.when(word, F.col("n")).otherwise(0)).alias("rare_known"), F.sum(F.when(gram, F.col("n") * F.col("v")).otherwise(0.0)).alias("rare_bits")
-    )
-    schema = f"{ROW} long, doc_id long, train boolean, n_tokens long, known long, log_sum double, bits double"
-    each = rows.select(ROW, "doc_id", "train", "text").mapInArrow(_scored(lists, sc.broadcast((counts, int(n_train))), order), schema)
-    out = each.join(by_row, ROW, "left")
+    # Sums over what is listed take part in the join, at keys of their own that meet nothing.
+    rare = rows.select(ROW, "text").mapInArrow(_rare(lists, order), f"h long, gram boolean, {ROW} long, n long, bits double").join(values, ["h", "gram"], "left")
+    gram, word, v = F.col("gram"), ~F.col("gram"), F.col("n") * F.col("v")
+    by_row = rare.groupBy(ROW).agg(F.sum(F.when(word, v)).alias("rare_log"), F.sum(F.when(word & F.col("v").isNotNull(), F.col("n"))).alias("rare_known"), F.sum(F.when(gram, v).otherwise(F.col("bits"))).alias("score"))
+    schema = f"{ROW} long, doc_id long, train boolean, n_tokens long, known long, log_sum double"
+    each = rows.select(ROW, "doc_id", "train", "text").mapInArrow(_scored(lists, sc.broadcast((counts, int(n_train)))), schema)
+    out = each.join(by_row, ROW)
     base = F.col("log_sum") + F.coalesce("rare_log", F.lit(0.0)) - F.col("n_tokens") * math.log10(total + kinds + 1)
     return out.select(
-        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), (F.col("bits") + F.coalesce("rare_bits", F.lit(0.0))).alias("score")
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), base.alias("base_score"), "score"
     )
