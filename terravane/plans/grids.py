@@ -69,10 +69,10 @@ SQL["cell_set_boundary"] = f"""WITH {_SETS} SELECT set_id, row, col, (SELECT cou
 
 
 def cell_set_widened(spark: SparkSession, sf: str) -> DataFrame:
-    return G.widen_set(_sets(spark, sf).where("row % 4 = 0"), 1, 2, 40, 120)
+    return G.widen_set(_sets(spark, sf), 1, 2, 40, 120)
 
 
-SQL["cell_set_widened"] = f"WITH {_SETS} SELECT DISTINCT set_id, row+i AS row, col+j AS col FROM c, range(-1,2) a(i), range(-2,3) b(j) WHERE row%4 = 0 AND row+i BETWEEN 0 AND 39 AND col+j BETWEEN 0 AND 119"
+SQL["cell_set_widened"] = f"WITH {_SETS} SELECT DISTINCT set_id, row+i AS row, col+j AS col FROM c, range(-1,2) a(i), range(-2,3) b(j) WHERE row+i BETWEEN 0 AND 39 AND col+j BETWEEN 0 AND 119"
 
 
 def cluster_scores(spark: SparkSession, sf: str) -> DataFrame:

@@ -221,10 +221,10 @@ SQL["pip_join"] = f"WITH {site_sql()}, {_BOXES} SELECT s.id, b.polygon_id FROM s
 
 
 def match_sites_left(spark: SparkSession, sf: str) -> DataFrame:
-    return J.first_containing(sites(spark, sf, "supplier"), J.boxes_as_edges(_boxes(spark, sf).where("polygon_id % 2 = 0")))
+    return J.first_containing(sites(spark, sf, "supplier"), J.boxes_as_edges(_boxes(spark, sf).withColumns({"x1": F.col("x0") + 0.3, "y1": F.col("y0") + 0.1})))
 
 
-SQL["match_sites_left"] = f"WITH {site_sql('supplier')}, {_BOXES} SELECT s.id, min(b.polygon_id) AS polygon_id FROM sites s LEFT JOIN boxes b ON b.polygon_id % 2 = 0 AND {_IN} GROUP BY s.id"
+SQL["match_sites_left"] = f"WITH {site_sql('supplier')}, {_BOXES} SELECT s.id, min(b.polygon_id) AS polygon_id FROM sites s LEFT JOIN boxes b ON {_IN.replace('0.4', '0.3').replace('0.2', '0.1')} GROUP BY s.id"
 
 
 def within_distance(spark: SparkSession, sf: str) -> DataFrame:

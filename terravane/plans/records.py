@@ -82,10 +82,10 @@ SQL["amount_profile"] = """WITH r AS (SELECT l_returnflag, l_extendedprice*(1-l_
 def source_changes(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     side = lambda odd: e.where(F.col("event_id") % 2 == odd).select(F.floor(F.col("event_id") / 2).alias("id"), "event_type")
-    return C.difference(side(1).where("id % 7 > 0"), side(0).where("id % 5 > 0"), "id", ["event_type"])
+    return C.difference(side(1).where("event_type <> 'error'"), side(0).where("event_type <> 'signup'"), "id", ["event_type"])
 
 
-SQL["source_changes"] = """WITH n AS (SELECT event_id//2 AS id, event_type FROM events WHERE event_id%2=1 AND event_id//2%7 > 0), o AS (SELECT event_id//2 AS id, event_type FROM events WHERE event_id%2=0 AND event_id//2%5 > 0)
+SQL["source_changes"] = """WITH n AS (SELECT event_id//2 AS id, event_type FROM events WHERE event_id%2=1 AND event_type <> 'error'), o AS (SELECT event_id//2 AS id, event_type FROM events WHERE event_id%2=0 AND event_type <> 'signup')
  SELECT coalesce(n.id,o.id) AS id, CASE WHEN o.id IS NULL THEN 'NEW' WHEN n.id IS NULL THEN 'WITHDRAWN' WHEN n.event_type = o.event_type THEN 'UNCHANGED' ELSE 'REVISED' END AS state FROM n FULL JOIN o ON n.id = o.id"""
 
 
@@ -122,14 +122,14 @@ SQL["financial_checks"] = """WITH r AS (SELECT l_orderkey*10+l_linenumber AS id,
 
 
 def crosswalk(spark: SparkSession, sf: str) -> DataFrame:
-    """Shipping intervals of lines against order intervals of the same customer group."""
-    o = table(spark, sf, "orders").where("o_orderkey % 5 = 0").select((F.col("o_custkey") % 50).alias("g"), F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("start"), F.date_add(F.to_date("o_orderdate"), 45).alias("end"))
-    li = table(spark, sf, "lineitem").where("l_linenumber = 1 and l_orderkey % 3 = 0").select((F.col("l_orderkey") % 50).alias("g"), F.col("l_orderkey").alias("id"), F.to_date("l_shipdate").alias("start"), F.date_add(F.to_date("l_shipdate"), 10).alias("end"))
+    """Shipping intervals of lines against the interval of their order."""
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("g"), F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("start"), F.date_add(F.to_date("o_orderdate"), 45).alias("end"))
+    li = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("g"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.to_date("l_shipdate").alias("start"), F.date_add(F.to_date("l_shipdate"), 10).alias("end"))
     return J.overlapping(o, li, ["g"])
 
 
-SQL["crosswalk"] = """WITH o AS (SELECT o_custkey%50 AS g, o_orderkey AS id, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE)+45 AS e FROM orders WHERE o_orderkey%5=0),
- l AS (SELECT l_orderkey%50 AS g, l_orderkey AS id, CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE)+10 AS e FROM lineitem WHERE l_linenumber=1 AND l_orderkey%3=0)
+SQL["crosswalk"] = """WITH o AS (SELECT o_orderkey AS g, o_orderkey AS id, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE)+45 AS e FROM orders),
+ l AS (SELECT l_orderkey AS g, l_orderkey*10+l_linenumber AS id, CAST(l_shipdate AS DATE) AS s, CAST(l_shipdate AS DATE)+10 AS e FROM lineitem)
  SELECT o.g, o.id, l.id AS other_id, CAST(least(o.e,l.e)-greatest(o.s,l.s)+1 AS BIGINT) AS overlap_days FROM o JOIN l ON o.g = l.g AND o.s <= l.e AND l.s <= o.e"""
 
 
@@ -182,23 +182,23 @@ SQL["simple_paths"] = """WITH RECURSIVE e AS (SELECT n_nationkey::BIGINT AS u, (
 
 
 def link_cardinalities(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "lineitem").where("l_partkey % 40 = 0 and l_linenumber = 1").select(F.col("l_orderkey").alias("left"), F.col("l_suppkey").alias("right"))
+    e = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("left"), F.col("l_suppkey").alias("right"))
     return G.cardinalities(e)
 
 
-SQL["link_cardinalities"] = """WITH e AS (SELECT DISTINCT l_orderkey AS l, l_suppkey AS r FROM lineitem WHERE l_partkey%40=0 AND l_linenumber=1), rr AS (SELECT r, count(*) AS nl FROM e GROUP BY r),
+SQL["link_cardinalities"] = """WITH e AS (SELECT DISTINCT l_orderkey AS l, l_suppkey AS r FROM lineitem), rr AS (SELECT r, count(*) AS nl FROM e GROUP BY r),
  g AS (SELECT l, count(*) AS nr, max(nl) AS nl FROM e JOIN rr USING (r) GROUP BY l) SELECT l AS "left", CASE WHEN nr=1 AND nl=1 THEN '1:1' WHEN nl=1 THEN '1:N' WHEN nr=1 THEN 'N:1' ELSE 'N:N' END AS cardinality FROM g"""
 
 
 def name_links(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
     named = lambda odd: p.where(F.col("p_partkey") % 2 == odd).select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type", "p_brand").alias("name"))
-    return rounded(L.similar_names(named(0).where("id % 10 = 0"), named(1).where("id % 5 = 0"), 0.5), "similarity")
+    return rounded(L.similar_names(named(0), named(1), 0.5), "similarity")
 
 
 _STOP = "', '".join(L.STOPWORDS)
 SQL["name_links"] = f"""WITH t AS (SELECT p_partkey AS id, list_distinct(list_filter(string_split(regexp_replace(upper(concat_ws(' ', p_name, p_type, p_brand)), '[^A-Z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3 AND w NOT IN ('{_STOP}'))) AS t FROM part),
- j AS (SELECT a.id, b.id AS other_id, len(list_intersect(a.t,b.t)) AS c, len(a.t) AS na, len(b.t) AS nb FROM t a, t b WHERE a.id%10=0 AND b.id%2=1 AND b.id%5=0 AND len(a.t) > 0 AND len(b.t) > 0)
+ j AS (SELECT a.id, b.id AS other_id, len(list_intersect(a.t,b.t)) AS c, len(a.t) AS na, len(b.t) AS nb FROM t a, t b WHERE a.id%2=0 AND b.id%2=1 AND len(a.t) > 0 AND len(b.t) > 0)
  SELECT id, other_id, round(c/(na+nb-c)::DOUBLE,6) AS similarity FROM j WHERE c/(na+nb-c)::DOUBLE >= 0.5"""
 
 
@@ -240,11 +240,11 @@ SQL["intake_router"] = f"""WITH h AS (SELECT doc_id, {_H[0]} AS w, {_H[1]} AS r,
 
 def alias_resolution(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
-    aliases = p.where("p_partkey % 3 = 0").select(F.upper("p_name").alias("alias"), "p_brand").groupBy("alias").agg(F.min("p_brand").alias("a"), F.max("p_brand").alias("b")).select("alias", F.explode(F.array("a", "b")).alias("canonical"))
+    aliases = p.where("p_size <= 17").select(F.upper("p_name").alias("alias"), "p_brand").groupBy("alias").agg(F.min("p_brand").alias("a"), F.max("p_brand").alias("b")).select("alias", F.explode(F.array("a", "b")).alias("canonical"))
     return L.resolve_aliases(p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("raw")), aliases)
 
 
-SQL["alias_resolution"] = """WITH g AS (SELECT lower(p_name) AS k, min(p_brand) AS a, max(p_brand) AS b FROM part WHERE p_partkey%3=0 GROUP BY 1)
+SQL["alias_resolution"] = """WITH g AS (SELECT lower(p_name) AS k, min(p_brand) AS a, max(p_brand) AS b FROM part WHERE p_size <= 17 GROUP BY 1)
  SELECT p_partkey AS id, CASE WHEN a IS NULL THEN 'unresolved' WHEN a <> b THEN 'collision' ELSE 'resolved' END AS state, CASE WHEN a = b THEN a END AS canonical FROM part LEFT JOIN g ON lower(p_name) = k"""
 
 
@@ -314,11 +314,11 @@ SQL["temporal_score"] = """WITH o AS (SELECT event_id AS id, (event_id*7%97)/97.
 
 def insar_pairs(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_id")
-    s = table(spark, sf, "events").where("event_id % 5 = 0").select(k.alias("scene_id"), (F.col("user_id") % 50).alias("orbit"), F.col("event_type").alias("mode"), (k % 2).alias("polarization"), F.to_date("ts").alias("ts"), (k * 31 % 400).cast("double").alias("baseline"))
+    s = table(spark, sf, "events").select(k.alias("scene_id"), F.col("user_id").alias("orbit"), F.col("event_type").alias("mode"), (k % 2).alias("polarization"), F.to_date("ts").alias("ts"), (k * 31 % 400).cast("double").alias("baseline"))
     return TL.radar_pairs(s, 6)
 
 
-SQL["insar_pairs"] = """WITH s AS (SELECT event_id AS id, user_id%50 AS o, event_type AS m, event_id%2 AS p, CAST(ts AS DATE) AS d, (event_id*31%400)::DOUBLE AS b FROM events WHERE event_id%5=0)
+SQL["insar_pairs"] = """WITH s AS (SELECT event_id AS id, user_id AS o, event_type AS m, event_id%2 AS p, CAST(ts AS DATE) AS d, (event_id*31%400)::DOUBLE AS b FROM events)
  SELECT x.id AS "first", y.id AS second, CAST(y.d-x.d AS BIGINT) AS days FROM s x JOIN s y ON x.o=y.o AND x.m=y.m AND x.p=y.p AND y.d-x.d BETWEEN 1 AND 6 AND abs(y.b-x.b) <= 150"""
 
 
