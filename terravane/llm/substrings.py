@@ -1,10 +1,15 @@
 """Substring deduplication by relative Lempel-Ziv parsing against an index of the whole corpus.
 
-The reference of the parse is every document; its index holds the sequences of `window` words, dealt by hash into
-blocks (Spark's partitions). Each document is parsed against every block: a window whose words also start earlier in
-the corpus can be copied from there, and a greedy run of such windows is a factor, which becomes a duplicate span.
-Windows that straddle two factors are looked up like all others, so a boundary hides nothing, and shorter matches are
-literals and stay.
+The reference of the parse is every document. Its index holds the sequences of `window` words, dealt by hash into blocks
+(Spark's partitions), and knows for each the place where it stands first. A document is parsed against every block: a
+window that stands earlier too can be copied from its first place. Parsing is greedy: a factor (start, length, source
+document, start there) goes on as long as the next window can be copied from the next place of the same source. Every
+window is looked up, those across the boundary of two factors like all others, so a boundary hides nothing. Factors
+of at least `window` words are the duplicate spans; shorter matches are literals and stay.
+
+The index works on hashes, the parse on words: a document says the digest of the words of each factor, its source that of
+the same stretch of its own words, and the two have to agree. If they don't anywhere, two different windows have met in
+the hash, and everything is done again with other hashes; so what is returned is exact.
 
 Only windows that can match are looked up. Each window has a minimiser: the least hash among its runs of GRAM words.
 Equal windows have equal minimisers, so a window whose minimiser occurs once in the corpus occurs once itself. There
@@ -13,11 +18,11 @@ before anything is sent.
 
 Windows of one batch of documents with equal words travel as one row, so that a passage of a third of all documents
 is a row for each batch and not for each document. A block is sorted and read as a stream: the first row of a window
-is its first place, all further places are copies, and nothing is gathered.
+is its first place, all further places are copies, and no window's places are gathered.
 
-Defined results: a null or empty text has no words; a null id counts as smaller than all others; rows with equal id and
-text are one document, and each of them gets its result; rows with equal ids but different texts stand at the same
-place, so neither is earlier; other columns are ignored.
+Defined results: a null or empty text has no words; a null id counts as smaller than all others (it stands at the place
+of the smallest long); rows with equal id and text are one document, and each of them gets its result; rows with equal
+ids but different texts stand at the same place, so neither is earlier; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +40,9 @@ from .common import saved
 
 WINDOW = 20
 GRAM = 6
+TRIES = 5
+#: Places that a task holds before it sends them.
+HELD = 1 << 20
 PIECE = 8 << 20
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -79,11 +87,11 @@ def minimisers(g: np.ndarray, width: int) -> np.ndarray:
 class Parsed:
     """The words of some texts: hashes, windows and the minimiser of each window."""
 
-    def __init__(self, texts: pa.Array, window: int):
+    def __init__(self, texts: pa.Array, window: int, salt: int = 0):
         data, at = W.flat(texts)
         mapped = W.PLAIN[data]
         self.starts, self.ends, self.first = W.spans(mapped, at)
-        self.h = W.hashes(mapped, self.starts, self.ends)
+        self.h = W.hashes(mapped, self.starts, self.ends, salt)
         self.counts = np.diff(self.first)
         n = len(self.h)
         room = np.repeat(self.first[1:], self.counts) - np.arange(n)
@@ -101,10 +109,10 @@ def _batches(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Record
             yield batch.slice(a, b - a)
 
 
-def _anchors(window: int):
+def _anchors(window: int, salt: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _batches(batches, 1):
-            p = Parsed(part.column(1), window)
+        for part in _batches(batches, 2):
+            p = Parsed(part.column(2), window, salt)
             # One row for each minimiser of a document, with the number of its places there.
             new = np.ones(len(p.anchor), bool)
             new[1:] = np.diff(p.anchor) != 0
@@ -113,7 +121,8 @@ def _anchors(window: int):
             doc, key = doc[order], key[order]
             head = np.flatnonzero(np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(key) != 0)])) if len(doc) else np.zeros(0, np.int64)
             n = np.diff(np.append(head, len(doc)))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc[head])), pa.array(key[head]), pa.array(n, pa.int64())], ["kd", "anchor", "n"])
+            of = pa.array(doc[head])
+            yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(1).take(of), pa.array(key[head]), pa.array(n, pa.int64())], ["kd", "kt", "anchor", "n"])
 
     return run
 
@@ -121,10 +130,10 @@ def _anchors(window: int):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import zstandard
 
-    press = zstandard.ZstdCompressor(level=1)
+    press = zstandard.ZstdCompressor(level=3)
     for b in batches:
-        z = [press.compress((x.as_py() or "").encode()) for x in b.column(2)]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], ["kd", "th", "z"])
+        z = [press.compress((x.as_py() or "").encode()) for x in b.column(3)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(z, pa.binary())], ["kd", "kt", "th", "z"])
 
 
 def _unpacked(column: pa.Array) -> pa.Array:
@@ -134,7 +143,7 @@ def _unpacked(column: pa.Array) -> pa.Array:
     return pa.array([press.decompress(x.as_py()).decode() for x in column], pa.large_string())
 
 
-def _windows(window: int):
+def _windows(window: int, salt: int, bits: int):
     """Rows (h1, h2, kd, th, start, rest): a window's hashes, its first place in the batch, its other places there.
 
     th is 0 unless several texts have the id.
@@ -144,7 +153,7 @@ def _windows(window: int):
         for batch in batches:
             texts = _unpacked(batch.column(2))
             for a, b in W.pieces(texts, PIECE):
-                p = Parsed(texts.slice(a, b - a), window)
+                p = Parsed(texts.slice(a, b - a), window, salt)
                 wanted = batch.column(3).slice(a, b - a)
                 lists = np.asarray(wanted.flatten())
                 sizes = np.asarray(wanted.value_lengths().fill_null(0))
@@ -153,7 +162,9 @@ def _windows(window: int):
                 mine = W.mix(p.anchor_hash.view(np.uint64) + p.doc.astype(np.uint64) * np.uint64(_MULTIPLIERS[0]))
                 take = np.isin(mine, known)
                 w, doc = p.windows[take], p.doc[take]
-                h1, h2 = grams(p.h, window)[w].view(np.int64), grams(p.h, window, salt=0x5BD1E995)[w].view(np.int64)
+                h1, h2 = (grams(p.h, window, salt=x)[w].view(np.int64) for x in (0, 0x5BD1E995))
+                if bits < 64:
+                    h1, h2 = h1 & ((1 << bits) - 1), h2 & 0
                 kd = np.asarray(batch.column(0))[a:b][doc]
                 shared = batch.column(4).slice(a, b - a).to_numpy(zero_copy_only=False)
                 th = np.where(shared, np.asarray(batch.column(1))[a:b], 0)[doc]
@@ -167,14 +178,51 @@ def _windows(window: int):
                 rest = np.stack([kd, th, start], axis=1)[~head].astype("<i8")
                 cuts = np.concatenate([[0], np.cumsum((n - 1) * 24)]).astype(np.int64)
                 packed = pa.Array.from_buffers(pa.large_binary(), len(heads), [None, pa.py_buffer(cuts), pa.py_buffer(rest.tobytes())])
-                yield pa.RecordBatch.from_arrays([pa.array(h1[heads]), pa.array(h2[heads].astype(np.int32)), pa.array(kd[heads]), pa.array(th[heads]), pa.array(start[heads], pa.int32()), packed.cast(pa.binary())], ["h1", "h2", "kd", "th", "start", "rest"])
+                cols = [pa.array(h1[heads]), pa.array(h2[heads].astype(np.int32)), pa.array(kd[heads]), pa.array(th[heads]), pa.array(start[heads], pa.int32()), packed.cast(pa.binary())]
+                # By document and place, as neighbours that are alike take less room when they are sent.
+                by_place = pa.array(np.lexsort((start[heads], kd[heads])))
+                yield pa.RecordBatch.from_arrays([c.take(by_place) for c in cols], ["h1", "h2", "kd", "th", "start", "rest"])
 
     return run
 
 
+def _together(kd, th, start, skd, sth, sstart) -> pa.RecordBatch:
+    """Places with their sources -> a row for each document: its places, column after column, as bytes."""
+    order = np.lexsort((start, sth, skd, th, kd))
+    kd, th, start, skd, sth, sstart = (x[order] for x in (kd, th, start, skd, sth, sstart))
+    head = np.ones(len(kd), bool)
+    head[1:] = (np.diff(kd) != 0) | (np.diff(th) != 0)
+    heads = np.flatnonzero(head)
+    n = np.diff(np.append(heads, len(kd)))
+    of = np.repeat(heads, n)
+    i, n_of = np.arange(len(kd)) - of, np.repeat(n, n)
+    data = np.empty(24 * len(kd), np.uint8)
+    short, long = data.view("<i4"), data.view("<i8")
+    short[6 * of + i] = start
+    short[6 * of + n_of + i] = sstart
+    long[3 * of + n_of + i] = skd
+    long[3 * of + 2 * n_of + i] = sth
+    cuts = np.append(24 * heads, 24 * len(kd)).astype(np.int64)
+    places = pa.Array.from_buffers(pa.large_binary(), len(heads), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(kd[heads]), pa.array(th[heads]), places.cast(pa.binary())], ["kd", "th", "places"])
+
+
+def _apart(blobs: list[bytes]) -> list[np.ndarray]:
+    """start, sstart, skd and sth of all places of a document."""
+    cols: list[list[np.ndarray]] = [[], [], [], []]
+    for x in blobs:
+        n = len(x) // 24
+        cols[0].append(np.frombuffer(x, "<i4", n))
+        cols[1].append(np.frombuffer(x, "<i4", n, 4 * n))
+        cols[2].append(np.frombuffer(x, "<i8", n, 8 * n))
+        cols[3].append(np.frombuffer(x, "<i8", n, 16 * n))
+    return [np.concatenate(c) for c in cols]
+
+
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by window and place: (kd, th, start) of every window that has an earlier place."""
-    key, first = None, None
+    """From rows sorted by window and place: every window that has an earlier place, with its first place."""
+    key, first = None, (0, 0, 0)
+    held, n_held = [], 0
     for b in batches:
         if not b.num_rows:
             continue
@@ -184,47 +232,90 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         same[0] = key == (h1[0], h2[0])
         group = np.cumsum(~same)  # 0: the group of the batch before
         heads = np.flatnonzero(~same)
-        none = first if first is not None else (0, 0)
-        at_kd = np.concatenate([[none[0]], kd[heads]])[group]
-        at_start = np.concatenate([[none[1]], start[heads]])[group]
-        own = same & ((kd != at_kd) | (start != at_start))
-        kept = [np.stack([kd, th, start], axis=1)[own]]
+        at = np.stack([np.concatenate([[first[k]], x[heads]])[group] for k, x in enumerate((kd, th, start))], axis=1)
+        own = same & ((kd != at[:, 0]) | (start != at[:, 2]))
+        found = [np.concatenate([np.stack([kd, th, start], axis=1)[own], at[own]], axis=1)]
         rest = b.column(5).cast(pa.large_binary())
         ends = np.frombuffer(rest.buffers()[1], np.int64)[rest.offset : rest.offset + len(rest) + 1]
         if ends[-1] > ends[0]:
             places = np.frombuffer(rest.buffers()[2], "<i8", (ends[-1] - ends[0]) // 8, ends[0]).reshape(-1, 3)
-            of = np.repeat(np.arange(len(h1)), np.diff(ends) // 24)
-            kept.append(places[(places[:, 0] != at_kd[of]) | (places[:, 2] != at_start[of])])
-        key, first = (h1[-1], h2[-1]), (at_kd[-1], at_start[-1])
-        found = np.concatenate(kept)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(found[:, 2], pa.int32())], ["kd", "th", "start"])
+            source = at[np.repeat(np.arange(len(h1)), np.diff(ends) // 24)]
+            later = (places[:, 0] != source[:, 0]) | (places[:, 2] != source[:, 2])
+            found.append(np.concatenate([places[later], source[later]], axis=1))
+        key, first = (h1[-1], h2[-1]), tuple(at[-1])
+        held += found
+        n_held += sum(map(len, found))
+        if n_held >= HELD:
+            yield _together(*np.concatenate(held).T)
+            held, n_held = [], 0
+    if n_held:
+        yield _together(*np.concatenate(held).T)
+
 
+_FACTOR = "array<struct<start:int,n:int,skd:long,sth:long,sstart:int>>"
+
+
+def _factors(window: int):
+    """The greedy parse: factors of each document from the places that can be copied."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, ends = [[] for _ in range(5)], [0]
+            for blobs in batch.column(2):
+                start, sstart, skd, sth = _apart(blobs.as_py())
+                order = np.argsort(start, kind="stable")
+                start, sstart, skd, sth = (x[order] for x in (start, sstart, skd, sth))
+                new = np.ones(len(start), bool)
+                new[1:] = (np.diff(start) != 1) | (np.diff(sstart) != 1) | (np.diff(skd) != 0) | (np.diff(sth) != 0)
+                at = np.flatnonzero(new)
+                last = np.append(at[1:], len(start)) - 1
+                for c, x in zip(found, (start[at], start[last] - start[at] + window, skd[at], sth[at], sstart[at]), strict=True):
+                    c.append(x)
+                ends.append(ends[-1] + len(at))
+            names, kinds = ("start", "n", "skd", "sth", "sstart"), (np.int32, np.int32, np.int64, np.int64, np.int32)
+            flat = pa.StructArray.from_arrays([pa.array(np.concatenate(c).astype(k) if c else np.zeros(0, k)) for c, k in zip(found, kinds, strict=True)], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["kd", "th", "factors"])
+
+    return run
+
+
+def _digest(words: list[bytes]) -> int:
+    return int.from_bytes(hashlib.blake2b(b" ".join(words), digest_size=8).digest(), "little", signed=True)
+
+
+_STRETCH = "array<struct<skd:long,sth:long,sstart:int,n:int,digest:long>>"
+
+
+def _removed(texts: bool):
+    """The result of each document, what it says of its factors (claims), and what of stretches that others copy (proofs)."""
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    stretch = pa.list_(pa.struct([("skd", pa.int64()), ("sth", pa.int64()), ("sstart", pa.int32()), ("n", pa.int32()), ("digest", pa.int64())]))
 
-def _removed(window: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for k, (z, starts) in enumerate(zip(_unpacked(batch.column(1)), batch.column(2), strict=True)):
+            for kd, z, factors, asked in zip(batch.column(0), _unpacked(batch.column(1)), batch.column(2), batch.column(3), strict=True):
                 words = z.as_py().encode().split()
-                n = len(words)
-                spans, gone = [], 0
-                if starts.is_valid:
-                    s = np.unique(starts.values.to_numpy())
-                    # Greedy factors: runs of windows that overlap or touch.
-                    new = np.concatenate([[True], np.diff(s) > window])
-                    a, b = s[new], s[np.concatenate([new[1:], [True]])] + window
-                    spans = list(zip(a.tolist(), b.tolist(), strict=True))
-                    keep, at = [], 0
-                    for x, y in spans:
-                        keep += words[at:x]
-                        at = y
-                    gone = n - len(keep) - len(words[at:])
-                    words = keep + words[at:]
-                text = b" ".join(words)
-                rows.append((n, gone, hashlib.sha256(text).hexdigest(), text.decode() if texts else None, [{"start": x, "end": y} for x, y in spans]))
-            cols = list(zip(*rows, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["kd", "n_words", "n_removed", "kept_sha256", "kept_text", "spans"])
+                n_words, spans, keep, at = len(words), [], [], 0
+                claims, proofs = [], []
+                for f in factors.as_py() or ():
+                    end = f["start"] + f["n"]
+                    claims.append({k: f[k] for k in ("skd", "sth", "sstart", "n")} | {"digest": _digest(words[f["start"] : end])})
+                    if spans and f["start"] <= spans[-1]["end"]:
+                        spans[-1]["end"] = max(end, spans[-1]["end"])
+                    else:
+                        spans.append({"start": f["start"], "end": end})
+                for q in asked.as_py() or ():
+                    proofs.append({"skd": kd.as_py(), **q, "digest": _digest(words[q["sstart"] : q["sstart"] + q["n"]])})
+                for x in spans:
+                    keep += words[at : x["start"]]
+                    at = x["end"]
+                keep += words[at:]
+                text = b" ".join(keep)
+                rows.append((n_words, n_words - len(keep), hashlib.sha256(text).hexdigest(), text.decode() if texts else None, spans, claims, proofs))
+            cols = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), span, stretch, stretch)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["kd", "n_words", "n_removed", "kept_sha256", "kept_text", "spans", "claims", "proofs"])
 
     return run
 
@@ -232,25 +323,57 @@ def _removed(window: int, texts: bool):
 NULL_ID = -(1 << 63)
 
 
+def _parse(docs: DataFrame, id_col: str, text_col: str, window: int, texts: bool, salt: int, bits: int = 64) -> DataFrame:
+    """Results with claims and proofs, by hashes of one salt (of few bits in tests)."""
+    text = F.col(text_col).cast("string")
+    # Rows without an id share one place, but are documents of their own.
+    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("kd"), F.when(F.col(id_col).isNull(), F.xxhash64(text)).otherwise(0).alias("kt"), F.xxhash64(text).alias("th"), text.alias("text"))
+    anchors = source.select("kd", "kt", "text").mapInArrow(_anchors(window, salt), "kd long, kt long, anchor long, n long")
+    repeated = saved(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
+    by_id = anchors.select("kd", "kt", "anchor").join(repeated, "anchor").groupBy("kd", "kt").agg(F.collect_list("anchor").alias("anchors"))
+    shared = source.select("kd", "kt", "th").groupBy("kd", "kt").agg(((F.min("th") != F.max("th")) | (F.first("kt") != 0)).alias("shared")).where("shared")
+    wanted = by_id.join(shared, ["kd", "kt"], "left").select("kd", "kt", "anchors", F.coalesce("shared", F.lit(False)).alias("shared"))
+    # The texts are sent once: both joins below deal them by the same keys, and Spark reuses that exchange. For this
+    # the first is an outer join too; documents without a wanted minimiser give no windows.
+    packed = source.mapInArrow(_packed, "kd long, kt long, th long, z binary")
+    windows = packed.join(wanted, ["kd", "kt"], "left").select("kd", "th", "z", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("shared", F.lit(False)).alias("shared"))
+    windows = windows.mapInArrow(_windows(window, salt, bits), "h1 long, h2 int, kd long, th long, start int, rest binary")
+    blocks = windows.repartition("h1").sortWithinPartitions("h1", "h2", "kd", "start")
+    places = blocks.mapInArrow(_later, "kd long, th long, places binary").groupBy("kd", "th").agg(F.collect_list("places").alias("places"))
+    factors = places.mapInArrow(_factors(window), f"kd long, th long, factors {_FACTOR}")
+    # A null id's th is its kt; that of another row is 0 unless its id has several texts.
+    key = lambda kd, th: [F.col(kd), F.when(F.col(kd) == NULL_ID, F.col(th)).otherwise(0)]
+    kd, kt = key("kd", "th")
+    own = factors.select(kd.alias("kd2"), kt.alias("kt2"), F.col("th").alias("th2"), "factors")
+    kd, kt = key("skd", "sth")
+    asked = (
+        factors.select(F.explode("factors").alias("f"))
+        .select("f.skd", "f.sth", "f.sstart", "f.n")
+        .distinct()
+        .groupBy(kd.alias("kd3"), kt.alias("kt3"), F.col("sth").alias("th3"))
+        .agg(F.collect_list(F.struct("sth", "sstart", "n")).alias("asked"))
+    )
+    same = lambda n: (F.col("kd") == F.col(f"kd{n}")) & (F.col("kt") == F.col(f"kt{n}")) & ((F.col(f"th{n}") == 0) | (F.col(f"th{n}") == F.col("th")))
+    out = packed.join(own, same(2), "left").join(asked, same(3), "left").select("kd", "z", "factors", "asked")
+    schema = f"kd long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<start:int,end:int>>, claims {_STRETCH}, proofs {_STRETCH}"
+    return saved(out.mapInArrow(_removed(texts), schema))
+
+
+def _contradicted(parsed: DataFrame) -> bool:
+    """Whether any factor differs from its source in words."""
+    said = lambda c: parsed.select(F.explode(c).alias("c")).select("c.*").distinct()
+    at = ["skd", "sth", "sstart", "n"]
+    proofs = said("proofs").withColumnRenamed("digest", "proof")
+    return bool(said("claims").join(proofs, at, "left").where("proof is null or digest <> proof").head(1))
+
+
 def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, texts: bool = True) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text and spans (start and end in words) for each row of docs.
 
     kept_text is null unless texts.
     """
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("kd"), F.xxhash64(F.col(text_col).cast("string")).alias("th"), F.col(text_col).cast("string").alias("text"))
-    anchors = source.select("kd", "text").mapInArrow(_anchors(window), "kd long, anchor long, n long")
-    repeated = saved(anchors.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
-    by_id = anchors.select("kd", "anchor").join(repeated, "anchor").groupBy("kd").agg(F.collect_list("anchor").alias("anchors"))
-    shared = source.select("kd", "th").groupBy("kd").agg((F.min("th") != F.max("th")).alias("shared")).where("shared")
-    wanted = by_id.join(shared, "kd", "left").select("kd", "anchors", F.coalesce("shared", F.lit(False)).alias("shared"))
-    # The texts are sent once: both joins below deal them by the same key, and Spark reuses that exchange. For this
-    # the first is an outer join too; documents without a wanted minimiser give no windows.
-    packed = source.mapInArrow(_packed, "kd long, th long, z binary")
-    windows = packed.join(wanted, "kd", "left").select("kd", "th", "z", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("shared", F.lit(False)).alias("shared"))
-    windows = windows.mapInArrow(_windows(window), "h1 long, h2 int, kd long, th long, start int, rest binary")
-    blocks = windows.repartition("h1").sortWithinPartitions("h1", "h2", "kd", "start")
-    starts = blocks.mapInArrow(_later, "kd long, th long, start int").groupBy("kd", "th").agg(F.collect_list("start").alias("starts"))
-    starts = starts.select(F.col("kd").alias("kd2"), F.col("th").alias("th2"), "starts")
-    out = packed.join(starts, (F.col("kd") == F.col("kd2")) & ((F.col("th2") == 0) | (F.col("th2") == F.col("th"))), "left")
-    out = out.select("kd", "z", "starts").mapInArrow(_removed(window, texts), "kd long, n_words long, n_removed long, kept_sha256 string, kept_text string, spans array<struct<start:int,end:int>>")
-    return out.select(F.when(F.col("kd") != NULL_ID, F.col("kd")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text", "spans")
+    for salt in range(TRIES):
+        out = _parse(docs, id_col, text_col, window, texts, salt)
+        if not _contradicted(out):
+            return out.select(F.when(F.col("kd") != NULL_ID, F.col("kd")).alias("doc_id"), "n_words", "n_removed", "kept_sha256", "kept_text", "spans")
+    raise RuntimeError(f"different windows met in every one of {TRIES} hashes")

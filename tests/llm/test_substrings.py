@@ -62,3 +62,20 @@ def test_one_id_for_two_texts(spark):
     rows = [(1, "a b " + p), (2, p), (2, "c " + p), (2, "d e f")]
     r = substrings.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["doc_id"], x["n_words"], x["n_removed"]) for x in r) == [(1, 32, 0), (2, 3, 0), (2, 30, 30), (2, 31, 30)]
+
+
+def test_windows_that_meet_in_the_hash_are_found(documents):
+    from terravane.llm import substrings
+
+    assert substrings._contradicted(substrings._parse(documents, "doc_id", "text", 20, False, 0, bits=6))
+    assert not substrings._contradicted(substrings._parse(documents, "doc_id", "text", 20, False, 1))
+
+
+def test_many_rows_without_an_id(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, f"{k} {passage}") for k in range(20)] + [(None, None), (5, f"x {passage}"), (5, f"y {passage}"), (6, passage)]
+    from terravane.llm import substrings
+
+    got = substrings.remove_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # Rows without an id stand at one place: none of them is earlier than another at the same start.
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in got) == [(0, 0, 0)] + [(0, 31, 0)] * 20 + [(5, 31, 30)] * 2 + [(6, 30, 30)]
