@@ -1,8 +1,7 @@
 """SQL of the text operators that SQL can say, for DuckDB.
 
 The others have none: fingerprints (XXH64 with a seed), learned models, compressed sizes and token ids are beyond SQL,
-spans need lookarounds, and a join of all windows is too slow on whole tables. Their tests hold them against plain
-versions.
+and spans need lookarounds. Their tests hold them against plain versions.
 """
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text,''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -32,4 +31,15 @@ DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOW}
  it AS (SELECT r, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS sha FROM hit GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit,0)::BIGINT AS n_hit, coalesce(n_items,0)::BIGINT AS n_items, coalesce(sha, sha256('')) AS items_sha256, coalesce(n_hit,0) > 0 AS contaminated FROM d LEFT JOIN cov USING (r) LEFT JOIN it USING (r)"""
 
-SQL: dict[str, str] = {"op5_quality_rules": QUALITY, "op6_decontaminate": DECONTAMINATE}
+#: Every row comes out of the store once, as it went in.
+SHARDING = """SELECT doc_id, sha256(text) AS text_sha256, sha256(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR),'NULL'), coalesce(text,'NULL'), coalesce(lang,'NULL'), coalesce(source,'NULL'), coalesce(CAST(n_chars AS VARCHAR),'NULL'))) AS row_sha256 FROM documents"""
+
+SUBSTRINGS = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+ g AS (SELECT r, doc_id, i, array_to_string(w[i:i+19], ' ') AS gram FROM (SELECT r, doc_id, w, unnest(range(1, len(w)-18)) AS i FROM d WHERE len(w) >= 20)),
+ l AS (SELECT r, i FROM (SELECT r, i, row(doc_id, i) AS here, min(row(doc_id, i)) OVER (PARTITION BY gram) AS first FROM g) WHERE here > first),
+ c AS (SELECT DISTINCT r, unnest(range(i, i+20)) AS j FROM l),
+ x AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w)+1)) AS j FROM d),
+ k AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM x ANTI JOIN c USING (r, j) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n,0))::BIGINT AS n_removed, sha256(coalesce(kept,'')) AS kept_sha256 FROM d LEFT JOIN k USING (r)"""
+
+SQL: dict[str, str] = {"op3_sharding": SHARDING, "op4_substrings": SUBSTRINGS, "op5_quality_rules": QUALITY, "op6_decontaminate": DECONTAMINATE}

@@ -5,7 +5,9 @@ shards of one size tier (sizes within a factor of `fan_in`) together, `fan_in` o
 target size, until no tier has enough left. A shard that has no others to go with, or is as large as the target by
 itself, is rewritten where it is in many small files. A manifest names the shards of one version; it is written aside and then
 renamed to its number, which fails if that version is there already, so that readers see a whole version or none and
-of two writers one wins. Texts are read and written by Spark without a shuffle; the driver handles names and sizes.
+of two writers one wins; the other takes its arrival to the next version. That holds where a rename is atomic and does
+not replace (HDFS, local disks); an object store without such a rename needs a lock around commit(). Texts are read and written
+by Spark without a shuffle, the merges of a step side by side; the driver handles names and sizes.
 
 Defined results: rows stay as they are, nulls, repeats and all; an empty arrival gives a shard without rows; column
 names of the store are those of the first arrival.
@@ -16,6 +18,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +27,12 @@ from pyspark.sql import functions as F
 TARGET = 128 << 20
 FAN_IN = 4
 SMALLEST = 1 << 20
+#: Jobs that compact() has the cluster run at a time.
+AT_A_TIME = 8
+#: How often a writer that comes second tries the next version.
+RETRIES = 20
+#: Seconds for which vacuum() spares shards that no manifest names yet.
+SPARED = 24 * 3600
 
 
 @dataclass(frozen=True)
@@ -100,21 +109,29 @@ class Store:
     def _write(self, df: DataFrame, name: str) -> None:
         df.write.option("compression", "zstd").parquet(f"{self.root}/shards/{name}")
 
+    def _add(self, fresh: list[Shard]) -> int:
+        """The newest version with fresh shards, whoever else commits meanwhile."""
+        for k in range(RETRIES):
+            version, shards = self.manifest()
+            try:
+                return self.commit(version, [*shards, *fresh])
+            except FileExistsError:
+                if k == RETRIES - 1:
+                    raise
+        raise AssertionError
+
     def append(self, arrival: DataFrame) -> int:
         """One arrival as a shard; the new version."""
         name = uuid.uuid4().hex
         self._write(arrival, name)
-        version, shards = self.manifest()
-        return self.commit(version, [*shards, self._shard(name)])
+        return self._add([self._shard(name)])
 
     def append_by(self, rows: DataFrame, arrival: Column) -> int:
         """Many arrivals written in one pass, a shard for each value of arrival, committed together."""
         batch, tag = uuid.uuid4().hex, "__terravane_arrival"
         at = f"{self.root}/shards/{batch}"
         rows.withColumn(tag, arrival).write.option("compression", "zstd").partitionBy(tag).parquet(at)
-        names = [f"{batch}/{n}" for n in self._names(at) if n.startswith(tag)]
-        version, shards = self.manifest()
-        return self.commit(version, [*shards, *map(self._shard, names)])
+        return self._add([self._shard(f"{batch}/{n}") for n in self._names(at) if n.startswith(tag)])
 
     def read(self, version: int | None = None, shards: list[Shard] | None = None, schema=None) -> DataFrame:
         """The rows of a version or of some shards."""
@@ -148,25 +165,33 @@ class Store:
         All runs of a step that don't share a shard are merged, then one manifest replaces their shards. A writer that
         was first makes commit() fail; nothing is lost then, and compact() can be called again.
         """
+
+        def merged(run: list[Shard]) -> Shard:
+            files = max(1, round(sum(s.size for s in run) / self.target))
+            name = uuid.uuid4().hex
+            self._write(self.read(shards=run, schema=schema).coalesce(files), name)
+            made = self._shard(name)
+            return replace(made, full=made.size >= self.target)
+
         while runs := self.runs(self.manifest()[1]):
             version, shards = self.manifest()
-            fresh = []
-            for run in runs:
-                total = sum(s.size for s in run)
-                files = max(1, round(total / self.target))
-                name = uuid.uuid4().hex
-                self._write(self.read(shards=run, schema=schema).coalesce(files), name)
-                made = self._shard(name)
-                fresh.append(replace(made, full=made.size >= self.target))
+            with ThreadPoolExecutor(AT_A_TIME) as pool:
+                fresh = list(pool.map(merged, runs))
             gone = {s.name for run in runs for s in run}
             self.commit(version, [s for s in shards if s.name not in gone] + fresh)
         return self.manifest()[0]
 
-    def vacuum(self) -> None:
-        """Delete shards that the newest version doesn't name; readers of older versions must be done."""
+    def vacuum(self, spared: float = SPARED) -> None:
+        """Delete shards that the newest version doesn't name and that were written more than `spared` seconds ago.
+
+        What another writer has written and not committed yet is younger, so it stays. Readers of older versions must
+        be done.
+        """
         named = {s.name for s in self.manifest()[1]}
+        latest = self.spark._jvm.System.currentTimeMillis() - int(spared * 1000)
         for batch in self._names(f"{self.root}/shards"):
             inner = [f"{batch}/{n}" for n in self._names(f"{self.root}/shards/{batch}") if n.startswith("__terravane_arrival")]
             for name in inner or [batch]:
-                if name not in named:
-                    self._fs.delete(self._path(f"{self.root}/shards/{name}"), True)
+                at = self._path(f"{self.root}/shards/{name}")
+                if name not in named and self._fs.getFileStatus(at).getModificationTime() <= latest:
+                    self._fs.delete(at, True)

@@ -71,3 +71,31 @@ def test_large_arrivals_are_merged_into_target_sized_files(spark, documents, tmp
         assert not store.runs(after) and len(files) <= max(1, sum(round(s.size / target) for s in before))
         assert sum(f["n"] for f in files) / len(files) >= min(target, sum(s.size for s in after)) / 2
         assert rows_of(store.read(schema=documents.schema)) == rows_of(documents)
+
+
+def test_a_second_writer_takes_the_next_version(spark, tmp_path):
+    df = spark.range(5)
+    a, b = (sharding.Store(spark, str(tmp_path / "s")) for _ in range(2))
+    real = a.commit
+
+    def late(base, shards):
+        if base == 0:
+            b.append(df)
+        return real(base, shards)
+
+    a.commit = late
+    assert a.append(df) == 2
+    assert a.read().count() == 10
+
+
+def test_vacuum_spares_what_is_not_committed_yet(spark, tmp_path):
+    store = sharding.Store(spark, str(tmp_path / "s"))
+    store.append(spark.range(3))
+    store._write(spark.range(4), "pending")
+    store.vacuum()
+    version, shards = store.manifest()
+    store.commit(version, [*shards, store._shard("pending")])
+    assert store.read().count() == 7
+    store._write(spark.range(4), "left")
+    store.vacuum(spared=0)
+    assert "left" not in store._names(f"{store.root}/shards") and store.read().count() == 7
