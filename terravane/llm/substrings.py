@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +42,6 @@ from .common import saved
 WINDOW = 20
 GRAM = 6
 TRIES = 5
-#: Places that a task holds before it sends them.
-HELD = 1 << 20
 PIECE = 8 << 20
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -186,43 +185,12 @@ def _windows(window: int, salt: int, bits: int):
     return run
 
 
-def _together(kd, th, start, skd, sth, sstart) -> pa.RecordBatch:
-    """Places with their sources -> a row for each document: its places, column after column, as bytes."""
-    order = np.lexsort((start, sth, skd, th, kd))
-    kd, th, start, skd, sth, sstart = (x[order] for x in (kd, th, start, skd, sth, sstart))
-    head = np.ones(len(kd), bool)
-    head[1:] = (np.diff(kd) != 0) | (np.diff(th) != 0)
-    heads = np.flatnonzero(head)
-    n = np.diff(np.append(heads, len(kd)))
-    of = np.repeat(heads, n)
-    i, n_of = np.arange(len(kd)) - of, np.repeat(n, n)
-    data = np.empty(24 * len(kd), np.uint8)
-    short, long = data.view("<i4"), data.view("<i8")
-    short[6 * of + i] = start
-    short[6 * of + n_of + i] = sstart
-    long[3 * of + n_of + i] = skd
-    long[3 * of + 2 * n_of + i] = sth
-    cuts = np.append(24 * heads, 24 * len(kd)).astype(np.int64)
-    places = pa.Array.from_buffers(pa.large_binary(), len(heads), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
-    return pa.RecordBatch.from_arrays([pa.array(kd[heads]), pa.array(th[heads]), places.cast(pa.binary())], ["kd", "th", "places"])
-
-
-def _apart(blobs: list[bytes]) -> list[np.ndarray]:
-    """start, sstart, skd and sth of all places of a document."""
-    cols: list[list[np.ndarray]] = [[], [], [], []]
-    for x in blobs:
-        n = len(x) // 24
-        cols[0].append(np.frombuffer(x, "<i4", n))
-        cols[1].append(np.frombuffer(x, "<i4", n, 4 * n))
-        cols[2].append(np.frombuffer(x, "<i8", n, 8 * n))
-        cols[3].append(np.frombuffer(x, "<i8", n, 16 * n))
-    return [np.concatenate(c) for c in cols]
-
-
 def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by window and place: every window that has an earlier place, with its first place."""
+    """From rows sorted by window and place: every window that has an earlier place, with its first place.
+
+    kd, th, at (the start in the upper half, that of the first place in the lower), skd and sth.
+    """
     key, first = None, (0, 0, 0)
-    held, n_held = [], 0
     for b in batches:
         if not b.num_rows:
             continue
@@ -243,13 +211,8 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             later = (places[:, 0] != source[:, 0]) | (places[:, 2] != source[:, 2])
             found.append(np.concatenate([places[later], source[later]], axis=1))
         key, first = (h1[-1], h2[-1]), tuple(at[-1])
-        held += found
-        n_held += sum(map(len, found))
-        if n_held >= HELD:
-            yield _together(*np.concatenate(held).T)
-            held, n_held = [], 0
-    if n_held:
-        yield _together(*np.concatenate(held).T)
+        kd, th, start, skd, sth, sstart = np.concatenate(found).T
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kd, th, start << 32 | sstart, skd, sth)], ["kd", "th", "at", "skd", "sth"])
 
 
 _FACTOR = "array<struct<start:int,n:int,skd:long,sth:long,sstart:int>>"
@@ -261,8 +224,9 @@ def _factors(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, ends = [[] for _ in range(5)], [0]
-            for blobs in batch.column(2):
-                start, sstart, skd, sth = _apart(blobs.as_py())
+            for at, skd, sth in zip(*(batch.column(k) for k in (2, 3, 4)), strict=True):
+                at, skd, sth = (x.values.to_numpy() for x in (at, skd, sth))
+                start, sstart = at >> 32, at & 0xFFFFFFFF
                 order = np.argsort(start, kind="stable")
                 start, sstart, skd, sth = (x[order] for x in (start, sstart, skd, sth))
                 new = np.ones(len(start), bool)
@@ -289,33 +253,43 @@ _STRETCH = "array<struct<skd:long,sth:long,sstart:int,n:int,digest:long>>"
 def _removed(texts: bool):
     """The result of each document, what it says of its factors (claims), and what of stretches that others copy (proofs)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    stretch = pa.list_(pa.struct([("skd", pa.int64()), ("sth", pa.int64()), ("sstart", pa.int32()), ("n", pa.int32()), ("digest", pa.int64())]))
+    keys = ("skd", "sth", "sstart", "n")
+
+    def stretches(lists: pa.Array, skd: pa.Array | None, digests: list[int]) -> pa.Array:
+        """The lists with a digest for each entry; skd is that of the row where the entries have none."""
+        entries = lists.flatten()
+        sizes = np.asarray(lists.value_lengths().fill_null(0))
+        ends = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+        kd = entries.field("skd") if skd is None else skd.take(pa.array(np.repeat(np.arange(len(lists)), sizes)))
+        return pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([kd, *(entries.field(k) for k in keys[1:]), pa.array(digests, pa.int64())], [*keys, "digest"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for kd, z, factors, asked in zip(batch.column(0), _unpacked(batch.column(1)), batch.column(2), batch.column(3), strict=True):
-                words = z.as_py().encode().split()
-                n_words, spans, keep, at = len(words), [], [], 0
-                claims, proofs = [], []
-                for f in factors.as_py() or ():
-                    end = f["start"] + f["n"]
-                    claims.append({k: f[k] for k in ("skd", "sth", "sstart", "n")} | {"digest": _digest(words[f["start"] : end])})
-                    if spans and f["start"] <= spans[-1]["end"]:
-                        spans[-1]["end"] = max(end, spans[-1]["end"])
+            kd, z, factors, asked = batch.columns
+            rows, claims, proofs = [], [], []
+            at_of = lambda lists, name: zip(lists.flatten().field(name).to_pylist(), lists.flatten().field("n").to_pylist(), strict=True)
+            of_factors, of_asked = at_of(factors, "start"), at_of(asked, "sstart")
+            n_factors, n_asked = (x.value_lengths().fill_null(0).to_pylist() for x in (factors, asked))
+            for i, text in enumerate(_unpacked(z)):
+                words = text.as_py().encode().split()
+                spans, keep, at = [], [], 0
+                for start, n in islice(of_factors, n_factors[i]):
+                    claims.append(_digest(words[start : start + n]))
+                    if spans and start <= spans[-1][1]:
+                        spans[-1][1] = max(start + n, spans[-1][1])
                     else:
-                        spans.append({"start": f["start"], "end": end})
-                for q in asked.as_py() or ():
-                    proofs.append({"skd": kd.as_py(), **q, "digest": _digest(words[q["sstart"] : q["sstart"] + q["n"]])})
-                for x in spans:
-                    keep += words[at : x["start"]]
-                    at = x["end"]
+                        spans.append([start, start + n])
+                proofs += [_digest(words[start : start + n]) for start, n in islice(of_asked, n_asked[i])]
+                for a, b in spans:
+                    keep += words[at:a]
+                    at = b
                 keep += words[at:]
-                text = b" ".join(keep)
-                rows.append((n_words, n_words - len(keep), hashlib.sha256(text).hexdigest(), text.decode() if texts else None, spans, claims, proofs))
-            cols = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), span, stretch, stretch)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], ["kd", "n_words", "n_removed", "kept_sha256", "kept_text", "spans", "claims", "proofs"])
+                kept = b" ".join(keep)
+                rows.append((len(words), len(words) - len(keep), hashlib.sha256(kept).hexdigest(), kept.decode() if texts else None, [{"start": a, "end": b} for a, b in spans]))
+            cols = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), span)
+            said = [stretches(factors, None, claims), stretches(asked, kd, proofs)]
+            yield pa.RecordBatch.from_arrays([kd, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), *said], ["kd", "n_words", "n_removed", "kept_sha256", "kept_text", "spans", "claims", "proofs"])
 
     return run
 
@@ -339,7 +313,7 @@ def _parse(docs: DataFrame, id_col: str, text_col: str, window: int, texts: bool
     windows = packed.join(wanted, ["kd", "kt"], "left").select("kd", "th", "z", F.coalesce("anchors", F.array().cast("array<long>")).alias("anchors"), F.coalesce("shared", F.lit(False)).alias("shared"))
     windows = windows.mapInArrow(_windows(window, salt, bits), "h1 long, h2 int, kd long, th long, start int, rest binary")
     blocks = windows.repartition("h1").sortWithinPartitions("h1", "h2", "kd", "start")
-    places = blocks.mapInArrow(_later, "kd long, th long, places binary").groupBy("kd", "th").agg(F.collect_list("places").alias("places"))
+    places = blocks.mapInArrow(_later, "kd long, th long, at long, skd long, sth long").groupBy("kd", "th").agg(*(F.collect_list(c).alias(c) for c in ("at", "skd", "sth")))
     factors = places.mapInArrow(_factors(window), f"kd long, th long, factors {_FACTOR}")
     # A null id's th is its kt; that of another row is 0 unless its id has several texts.
     key = lambda kd, th: [F.col(kd), F.when(F.col(kd) == NULL_ID, F.col(th)).otherwise(0)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,9 +11,9 @@ import pyarrow as pa
 #: Texts are taken in pieces of about this many bytes, which bounds the arrays of one step.
 PIECE = 1 << 21
 
-#: Two primes below 2 ** 31: a sum over PIECE bytes of byte * power stays below 2 ** 64.
-_PRIMES = (2_147_483_647, 2_147_483_629)
-_POWERS: dict[tuple[int, int], tuple[int, np.ndarray, np.ndarray]] = {}
+#: Words of more bytes are left to a cryptographic hash, one by one.
+HUGE = 4096
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def table(keep) -> np.ndarray:
@@ -24,28 +25,6 @@ def table(keep) -> np.ndarray:
 PLAIN = table(lambda b: 0 if b == 32 or 9 <= b <= 13 else (b or 255))
 
 
-def _up(base: int, prime: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    have = 1
-    while have < n:
-        more = min(have, n - have)
-        out[have : have + more] = out[:more] * np.uint64(pow(base, have, prime)) % np.uint64(prime)
-        have += more
-    return out
-
-
-def _powers(k: int, salt: int, n: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """The base of the k-th prime for a salt, its powers and those of its inverse."""
-    known = _POWERS.get((k, salt))
-    if known is None or len(known[1]) < n:
-        base = int(np.random.default_rng([20240601, k, salt]).integers(1 << 20, _PRIMES[k] - 1))
-        known = base, _up(base, _PRIMES[k], n), _up(pow(base, -1, _PRIMES[k]), _PRIMES[k], n)
-        if len(_POWERS) > 8:
-            _POWERS.clear()
-        _POWERS[k, salt] = known
-    return known
-
-
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column, and where each text starts (one more entry than texts); null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -84,35 +63,25 @@ def spans(mapped: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def hashes(mapped: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-    """A 64-bit hash of each word, equal for equal words wherever they stand.
+    """A 64-bit hash of each word, equal for equal words wherever they stand; other salts give other hashes.
 
-    It is made of two polynomials over prime fields at points drawn once for each salt, so that no pattern within
-    words makes them meet; other salts give other hashes.
+    Eight bytes at a time go through a finaliser. Words of up to eight bytes have different hashes always, and no
+    pattern within longer ones makes them meet.
     """
-    out = np.zeros(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, starts[at] + PIECE, "right")))
-        if to > at + 1 and (big := np.flatnonzero(ends[at:to] - starts[at:to] > PIECE // 2)).size:
-            to = at + max(1, int(big[0]))
-        lo, hi = int(starts[at]), int(ends[to - 1])
-        for k, prime in enumerate(_PRIMES):
-            p = np.uint64(prime)
-            base, up, down = _powers(k, salt, min(hi - lo, PIECE) + 1)
-            if hi - lo > PIECE // 2 and to == at + 1:
-                total = 0
-                for x in range(lo, hi, PIECE):  # a single huge word, block by block
-                    part = mapped[x : min(x + PIECE, hi)]
-                    total += int((part * up[: len(part)]).sum(dtype=np.uint64) % p) * pow(base, x - lo, prime)
-                h = np.array([total % prime], np.uint64)
-            else:
-                sums = np.zeros(hi - lo + 1, np.uint64)
-                np.cumsum(mapped[lo:hi] * up[: hi - lo], out=sums[1:])
-                s, e = starts[at:to] - lo, ends[at:to] - lo
-                h = (sums[e] - sums[s]) % p * down[s] % p
-            out[at:to] |= h << np.uint64(31 * k)
-        at = to
-    return mix(out)
+    padded = np.zeros(len(mapped) + 8, np.uint8)
+    padded[: len(mapped)] = mapped
+    eight = np.ndarray((len(mapped) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    n = ends - starts
+    out = mix((eight[starts] & _MASKS[np.minimum(n, 8)]) ^ np.uint64(0xA24BAED4963EE407 * (2 * salt + 1) % (1 << 64)))
+    more, k = np.flatnonzero(n > 8), 8
+    while len(more) and k < HUGE:
+        part = eight[starts[more] + k] & _MASKS[np.minimum(n[more] - k, 8)]
+        out[more] = mix(out[more] * np.uint64(0x9FB21C651E98DF25) + part)
+        k += 8
+        more = more[n[more] > k]
+    for i in more.tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(mapped[starts[i] : ends[i]].tobytes(), digest_size=8, key=salt.to_bytes(4, "little")).digest(), "little")
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:

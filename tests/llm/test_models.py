@@ -94,7 +94,7 @@ def test_words_of_equal_polynomials_differ():
 def test_a_huge_word_has_the_hash_of_its_bytes():
     from terravane.llm import words as W
 
-    for n in (W.PIECE // 2 - 1, W.PIECE // 2 + 1, 2 * W.PIECE + 5):
+    for n in (8, 16, 18, W.HUGE, W.HUGE + 2, 2 * W.PIECE + 6):
         texts = pa.array([f"x {'ab' * (n // 2)} y", "ab" * (n // 2), "ab" * (n // 2 - 1) + "ba"])
         h, doc, _ = ppm._tokens(texts)
         assert h[1] == h[3] != h[4] and doc.tolist() == [0, 0, 0, 1, 2]
