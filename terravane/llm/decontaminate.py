@@ -7,8 +7,9 @@ other block allows m - 1. Where the shift is zero, the hash of that block at the
 patterns, which are compared word by word, and at last as strings. Texts are cut into runs of words that overlap by
 m - 1, and numpy moves the windows of all runs of a batch together.
 
-Only the patterns are broadcast, in blocks of at most `block_bytes` of benchmark text; a larger benchmark takes several
-passes over the documents, whose results are united by a saved number of the row.
+Only the patterns are broadcast, as arrays, in blocks of about `block_bytes` of benchmark text (some 20 bytes of
+arrays for each byte of it; an item that is longer by itself is in one block). A larger benchmark takes several passes over the
+documents, one after the other and each saved, whose results are united by a saved number of the row.
 
 Defined results: null and empty texts have no words; a null item text has no pattern; repeated rows give a row each,
 however many passes there are; items without an id are left out of occurrences(), as in its SQL, while
@@ -26,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import numbered
+from .common import numbered, saved
 
 WINDOW = 10
 RUN = 256
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
 
 def _byte(b: int) -> int:
@@ -50,37 +51,56 @@ class Patterns:
     """Shift tables and buckets for the windows of some items."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int = WINDOW):
-        texts = pa.array([t or "" for _, t in items], pa.string())
+        texts = pa.array([t or "" for _, t in items], pa.large_string())
         data, at = W.flat(texts)
         low = BYTES[data]
-        s, e, first = W.spans(low, at)
-        h = W.hashes(low, s, e)
-        raw = low.tobytes()
-        self.n_words = 0
-        found: dict[int, dict[tuple, set]] = {}
-        for k, (item, _) in enumerate(items):
-            a, b = int(first[k]), int(first[k + 1])
-            m = min(window, b - a)
-            for i in range(a, b - m + 1 if m else a):
-                found.setdefault(m, {}).setdefault(tuple(raw[s[j] : e[j]] for j in range(i, i + m)), set()).add((str(item), tuple(h[i : i + m].tolist())))
-        self.groups = [self._group(m, x) for m, x in sorted(found.items())]
-
-    @staticmethod
-    def _group(m: int, found: dict[tuple, set]) -> dict:
-        strings = sorted(found)
-        hashed = np.array([next(iter(found[x]))[1] for x in strings], np.uint64).reshape(len(strings), m)
+        self.names = [str(i) for i, _ in items]
+        self.s, self.e, first = W.spans(low, at)
+        self.low = low.tobytes()
+        h = W.hashes(low, self.s, self.e)
+        n = np.diff(first)
+        length = np.minimum(n, window)
+        self.groups = []
+        for m in np.unique(length[length > 0]).tolist():
+            some = np.flatnonzero(length == m)
+            count = n[some] - m + 1
+            item = np.repeat(some, count)
+            begin = np.repeat(first[:-1][some], count) + np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
+            self.groups.append(self._group(m, h, begin, item))
+
+    def words(self, begin: int, m: int) -> list[bytes]:
+        return [self.low[self.s[i] : self.e[i]] for i in range(begin, begin + m)]
+
+    def _group(self, m: int, h: np.ndarray, begin: np.ndarray, item: np.ndarray) -> dict:
+        hashed = h[begin[:, None] + np.arange(m)]
+        hashed, inverse = np.unique(hashed, axis=0, return_inverse=True)
+        inverse = inverse.reshape(-1)
+        # Windows of equal hashes are one pattern if their words are equal too, and several if not.
+        order = np.argsort(inverse, kind="stable")
+        heads = np.searchsorted(inverse[order], np.arange(len(hashed)))
+        lead = begin[order[heads]]
+        extra: dict[tuple[int, tuple[bytes, ...]], int] = {}
+        pattern, leads, rows = inverse.copy(), lead.tolist(), list(range(len(hashed)))
+        for k in np.flatnonzero(begin != lead[inverse]).tolist():
+            said = self.words(int(begin[k]), m)
+            if said != self.words(int(lead[inverse[k]]), m):
+                key = (int(inverse[k]), tuple(said))
+                if key not in extra:
+                    extra[key] = len(leads)
+                    leads.append(int(begin[k]))
+                    rows.append(int(inverse[k]))
+                pattern[k] = extra[key]
+        hashed = hashed[rows]
         size = min(2, m)
-        shift: dict[int, int] = {}
-        for q in range(size - 1, m):
-            keys = hashed[:, q] if size == 1 else _pair(hashed[:, q - 1], hashed[:, q])
-            for x in keys.tolist():
-                shift[x] = m - 1 - q  # later positions of a block give smaller shifts
-        last = hashed[:, m - 1] if size == 1 else _pair(hashed[:, m - 2], hashed[:, m - 1])
-        buckets: dict[int, list[int]] = {}
-        for i, x in enumerate(last.tolist()):
-            buckets.setdefault(x, []).append(i)
-        order = sorted(shift)
-        return {"m": m, "size": size, "strings": strings, "hashed": hashed, "keys": np.array(order, np.uint64), "shifts": np.array([shift[x] for x in order], np.int64), "buckets": buckets, "items": [sorted({i for i, _ in found[x]}) for x in strings]}
+        block = lambda q: hashed[:, q] if size == 1 else _pair(hashed[:, q - 1], hashed[:, q])
+        # Of a block that stands at several places the last one says how far the window may move.
+        keys = np.concatenate([block(q) for q in range(m - 1, size - 2, -1)])
+        shifts = np.repeat(np.arange(m - size + 1), len(hashed))
+        keys, at = np.unique(keys, return_index=True)
+        last = block(m - 1)
+        bucket = np.argsort(last, kind="stable")
+        pairs = np.unique(np.stack([pattern, item], axis=1), axis=0)
+        return {"m": m, "size": size, "hashed": hashed, "leads": np.array(leads, np.int64), "keys": keys, "shifts": shifts[at], "bucket_keys": last[bucket], "bucket": bucket, "item": pairs[:, 1], "items": np.searchsorted(pairs[:, 0], np.arange(len(leads) + 1))}
 
 
 def _ends(h: np.ndarray, first: np.ndarray, g: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -124,18 +144,20 @@ def search(texts: pa.Array, patterns: Patterns) -> tuple[np.ndarray, np.ndarray,
         cuts = np.flatnonzero(np.diff(keys)) + 1 if len(keys) else []
         for some in np.split(ends, cuts) if len(keys) else []:
             key = h[some[0]] if g["size"] == 1 else _pair(h[some[:1] - 1], h[some[:1]])[0]
-            for p in g["buckets"].get(int(key), ()):
+            lo, hi = np.searchsorted(g["bucket_keys"], key, "left"), np.searchsorted(g["bucket_keys"], key, "right")
+            for p in g["bucket"][lo:hi].tolist():
                 here = some
                 for q in range(m):
                     here = here[h[here - (m - 1 - q)] == g["hashed"][p, q]]
-                want = g["strings"][p]
+                want = patterns.words(int(g["leads"][p]), m)
                 sure = [x for x in here.tolist() if all(low[s[x - m + 1 + q] : e[x - m + 1 + q]].tobytes() == want[q] for q in range(m))]
                 if sure:
+                    named = [patterns.names[i] for i in g["item"][g["items"][p] : g["items"][p + 1]].tolist()]
                     x = np.array(sure)
                     np.add.at(cover, x - m + 1, 1)
                     np.add.at(cover, x + 1, -1)
                     for d in np.unique(np.searchsorted(first, x, "right") - 1).tolist():
-                        items.setdefault(d, set()).update(g["items"][p])
+                        items.setdefault(d, set()).update(named)
     hit = np.cumsum(cover[:-1]) > 0
     total = np.concatenate([[0], np.cumsum(hit)])
     return np.diff(first), total[first[1:]] - total[first[:-1]], items, hit
@@ -179,7 +201,9 @@ def _in_passes(rows: DataFrame, text_col: str, items: DataFrame, blocks: int, wi
     schema = f"{ROW} long, n_words long, n_hit long, items array<string>, hits array<long>"
     each = None
     for k in range(blocks):
-        some = texts.mapInArrow(_searcher(_patterns(items, k, blocks, window), True), schema)
+        patterns = _patterns(items, k, blocks, window)
+        some = saved(texts.mapInArrow(_searcher(patterns, True), schema))
+        patterns.unpersist()
         each = some if each is None else each.unionByName(some)
     by = each.groupBy(ROW).agg(F.max("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_list("hits"))).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return by.select(ROW, "n_words", F.size("h").cast("long").alias("n_hit"), "items")
@@ -224,5 +248,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         return rows.join(clean.select(ROW), ROW, "left_semi").select(*(rows[c] for c in docs.columns))
     out = docs
     for k in range(blocks):
-        out = out.mapInArrow(_cleaner(_patterns(items, k, blocks, window), most, docs.columns.index(text_col)), docs.schema)
+        patterns = _patterns(items, k, blocks, window)
+        out = out.mapInArrow(_cleaner(patterns, most, docs.columns.index(text_col)), docs.schema)
+        if blocks > 1:
+            out = saved(out)
+            patterns.unpersist()
     return out
