@@ -78,3 +78,27 @@ SHAPE_BASES = ["morphology", "depression_shape", "terrain_derivative", "bathymet
 
 # The ellipsoid of 1984.
 WGS84_A, WGS84_F = 6378137.0, 1 / 298.257223563
+
+# Weights, caps and shares of scores; fixed values.
+TILE_WEIGHTS = {"water": 0.6, "coast": 0.8}
+RANK_WEIGHTS = {"best": 0.5, "risk": 0.3, "nodes": 0.2}
+#: Kind of evidence: the most that it adds to a cell's score, its weight, and whether it counts as it is (or by logarithm).
+ZONE_CAPS = {
+    "cave": (3.0, 3.0, True),
+    "groundwater": (2.5, 0.75, False),
+    "mine": (2.0, 0.9, False),
+    "industrial": (0.75, 0.25, False),
+    "utility": (0.5, 0.08, False),
+    "history": (0.25, 0.05, False),
+}
+MISSION_WEIGHTS = {
+    "corridor_alignment": 0.20,
+    "infrastructure_proximity": 0.18,
+    "altitude_profile": 0.15,
+    "hover_behavior": 0.12,
+    "operator_identity": 0.10,
+    "repeat_frequency": 0.08,
+    "time_pattern": 0.08,
+    "speed_profile": 0.06,
+    "duration_profile": 0.03,
+}
