@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,13 +24,23 @@ def time_key(value: Column, upper: bool = False) -> Column:
     """
     text = F.trim(value)
     pattern = r"^(\d{4})(?:-(\d{2})(?:-(\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2}))?)?)?)?"
-    part = lambda i: F.nullif(F.regexp_extract(text, pattern, i), F.lit(""))
-    month = F.coalesce(part(2), F.lit("12" if upper else "01"))
-    last = F.when(month == "02", "29").when(month.isin("04", "06", "09", "11"), "30").otherwise("31")
-    day = F.coalesce(part(3), last if upper else F.lit("01"))
-    clock = [F.coalesce(part(i), F.lit(x)) for i, x in ((4, "23" if upper else "00"), (5, "59" if upper else "00"), (6, "59" if upper else "00"))]
-    key = F.concat(part(1), F.lit("-"), month, F.lit("-"), day, F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2])
-    return F.when(month.between("01", "12") & day.between("01", "31"), key)
+    parts = F.array(*(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")) for i in range(1, 7)))
+
+    def key(p: Column, month: Column, day: Column) -> Column:
+        clock = [F.coalesce(p[i], F.lit(x)) for i, x in ((3, "23" if upper else "00"), (4, "59" if upper else "00"), (5, "59" if upper else "00"))]
+        said = F.concat(p[0], F.lit("-"), month, F.lit("-"), day, F.lit("T"), clock[0], F.lit(":"), clock[1], F.lit(":"), clock[2])
+        return F.when(month.between("01", "12") & day.between("01", "31"), said)
+
+    def with_day(p: Column, month: Column) -> Column:
+        last = F.when(month == "02", "29").when(month.isin("04", "06", "09", "11"), "30").otherwise("31")
+        return once(F.coalesce(p[2], last if upper else F.lit("01")), lambda day: key(p, month, day))
+
+    return once(parts, lambda p: once(F.coalesce(p[1], F.lit("12" if upper else "01")), lambda month: with_day(p, month)))
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with value computed once for each row however often body names it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def band(value: Column, steps: list[tuple[float, str]], rest: str) -> Column:

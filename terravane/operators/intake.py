@@ -16,9 +16,12 @@ from ..functions.texts import band
 CANDIDATE = ["id", "kind", "lon", "lat", "confidence", "corridor_id", "flight_id", "aircraft", "connecting", "alignment"]
 
 
-def nearness_class(lon: Column, lat: Column) -> Column:
-    """MBIL-3 to MBIL-0 by distance to the nearest municipal centre; MBIL-X outside the region or without a place."""
-    km = geo.nearest_of(lon, lat, fixed.MUNICIPAL_CENTRES) * 111.0
+def nearness_class(lon: Column, lat: Column, degrees: Column | None = None) -> Column:
+    """MBIL-3 to MBIL-0 by distance to the nearest municipal centre; MBIL-X outside the region or without a place.
+
+    degrees is that distance where a column already holds it.
+    """
+    km = (geo.nearest_of(lon, lat, fixed.MUNICIPAL_CENTRES) if degrees is None else degrees) * 111.0
     known = lon.isNotNull() & lat.isNotNull() & geo.in_box(lon, lat, fixed.REGION)
     by_distance = F.transform(F.array(km), lambda k: F.when(k < 5.0, "MBIL-3").when(k < 10.0, "MBIL-2").when(k < 15.0, "MBIL-1").otherwise("MBIL-0"))[0]
     return F.when(F.coalesce(known, F.lit(False)), by_distance).otherwise("MBIL-X")
@@ -56,20 +59,36 @@ def places(points: DataFrame, cell: float = 0.05) -> DataFrame:
 def corridors(found: DataFrame, flights: DataFrame, near: float = 0.1) -> DataFrame:
     """Pairs of places (id, lon, lat) that two flights or more connect in either direction, within `near` degrees.
 
-    Each end of a flight meets the places in its cell and the eight around it; no pair of places is tried that no
-    flight connects.
+    Flights are counted by their pair of end points, each distinct end point meets the places in its cell and the
+    eight around it once, and end points with the same places around them are then one. What is expanded to pairs
+    of places grows with the places and not with the flights; no pair is tried that no flight connects.
     """
     side = lambda c: F.sequence(F.floor(F.col(c) / near) - 1, F.floor(F.col(c) / near) + 1)
     spread = found.select(F.col("id").alias("place"), "lon", "lat", F.explode(side("lon")).alias("x"), side("lat").alias("ys")).select("place", "lon", "lat", "x", F.explode("ys").alias("y"))
-
-    def end(prefix: str) -> DataFrame:
-        f = flights.select("flight_id", F.col(f"{prefix}_lon").alias("flon"), F.col(f"{prefix}_lat").alias("flat")).where("flon is not null and flat is not null")
-        f = f.withColumns({"x": F.floor(F.col("flon") / near), "y": F.floor(F.col("flat") / near)})
-        hit = f.join(spread, ["x", "y"]).where((F.abs(F.col("flon") - F.col("lon")) <= near) & (F.abs(F.col("flat") - F.col("lat")) <= near))
-        return hit.select("flight_id", F.col("place").alias(prefix))
-
-    both = end("origin").join(end("dest"), "flight_id").where("origin <> dest")
-    pairs = both.groupBy(F.least("origin", "dest").alias("place_a"), F.greatest("origin", "dest").alias("place_b")).agg(F.count(F.lit(1)).alias("connecting")).where("connecting >= 2")
+    ends = ["origin_lon", "origin_lat", "dest_lon", "dest_lat"]
+    counted = flights.where(" and ".join(f"{c} is not null" for c in ends)).groupBy(*ends).agg(F.count(F.lit(1)).alias("n"))
+
+    def point(prefix: str) -> DataFrame:
+        return counted.select(F.col(f"{prefix}_lon").alias("plon"), F.col(f"{prefix}_lat").alias("plat"))
+
+    at = point("origin").union(point("dest")).distinct().withColumns({"x": F.floor(F.col("plon") / near), "y": F.floor(F.col("plat") / near)})
+    hit = at.join(spread, ["x", "y"]).where((F.abs(F.col("plon") - F.col("lon")) <= near) & (F.abs(F.col("plat") - F.col("lat")) <= near))
+    around = hit.groupBy("plon", "plat").agg(F.array_sort(F.collect_list("place")).alias("near"))
+    # Of end points with the same places around them, the least stands for all.
+    named = around.withColumn("rep", F.min(F.struct("plon", "plat")).over(Window.partitionBy("near")))
+    reps = named.select(F.col("rep.plon").alias("plon"), F.col("rep.plat").alias("plat"), "near").distinct()
+    rep_of = lambda p: named.select(F.col("plon").alias(f"{p}_lon"), F.col("plat").alias(f"{p}_lat"), F.col("rep").alias(p))
+    alike = counted.join(rep_of("origin"), ["origin_lon", "origin_lat"]).join(rep_of("dest"), ["dest_lon", "dest_lat"]).groupBy("origin", "dest").agg(F.sum("n").alias("n"))
+
+    def spelled(df: DataFrame, p: str) -> DataFrame:
+        """df with a row for each place around its end point p, in p's stead."""
+        own = reps.select(F.col("plon").alias("rlon"), F.col("plat").alias("rlat"), "near")
+        keep = [c for c in df.columns if c != p]
+        return df.join(own, (F.col(f"{p}.plon") == F.col("rlon")) & (F.col(f"{p}.plat") == F.col("rlat"))).select(*keep, F.explode("near").alias(p))
+
+    one = spelled(alike, "origin").groupBy("origin", "dest").agg(F.sum("n").alias("n"))
+    both = spelled(one, "dest").where("origin <> dest")
+    pairs = both.groupBy(F.least("origin", "dest").alias("place_a"), F.greatest("origin", "dest").alias("place_b")).agg(F.sum("n").alias("connecting")).where("connecting >= 2")
     a = found.select(F.col("id").alias("place_a"), F.col("lon").alias("lon_a"), F.col("lat").alias("lat_a"))
     b = found.select(F.col("id").alias("place_b"), F.col("lon").alias("lon_b"), F.col("lat").alias("lat_b"))
     mid = pairs.join(a, "place_a").join(b, "place_b").withColumns({"lon": (F.col("lon_a") + F.col("lon_b")) / 2.0, "lat": (F.col("lat_a") + F.col("lat_b")) / 2.0})
@@ -94,17 +113,18 @@ def context(c: DataFrame) -> DataFrame:
         urban = urban | geo.in_box(lon, lat, box)
     role = F.when(F.col("kind") == "ilap", "path").when(F.col("kind") == "corridor", "edge").when(F.col("kind") == "aasb_edge", "airport_link").otherwise("node")
     anchored = F.upper(F.coalesce("corridor_id", F.lit(""))).rlike("|".join(fixed.AIRPORTS))
-    c = c.withColumns(
+    centre = "__centre_degrees"
+    c = c.withColumn(centre, geo.nearest_of(lon, lat, fixed.MUNICIPAL_CENTRES)).withColumns(
         {
-            "nearness": nearness_class(lon, lat),
+            "nearness": nearness_class(lon, lat, F.col(centre)),
             "water": F.when(geo.nearest_of(lon, lat, fixed.WATER) <= fixed.WATER_DEGREES, "yes").otherwise("no"),
             "utility": F.when(geo.nearest_of(lon, lat, fixed.UTILITY) <= fixed.UTILITY_DEGREES, "yes").otherwise("no"),
             "terrain": F.when(lon.isNull() | lat.isNull(), "unknown").when(~lat.between(fixed.REGION[1], fixed.REGION[3]), "offshore").when(urban, "urban").when((lon <= fixed.REGION[0]) | (lon >= fixed.REGION[2]), "coastal").otherwise("inland"),
             "role": role,
             "assertion": F.when((F.col("kind") == "aasb_edge") | anchored, "public_record").otherwise("derived_observation"),
-            "boundary_m": geo.nearest_of(lon, lat, fixed.MUNICIPAL_CENTRES) * 111000.0,
+            "boundary_m": F.col(centre) * 111000.0,
         }
-    )
+    ).drop(centre)
     return c.withColumn("corridor_flag", (F.col("kind") == "corridor") & F.col("nearness").isin("MBIL-2", "MBIL-3"))
 
 
