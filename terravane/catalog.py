@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import grids, layers, records, scoring, surfaces, tracks
+from .plans import grids, layers, records, review, scoring, surfaces, tracks
 
-_MODULES = (tracks, layers, records, surfaces, grids, scoring)
+_MODULES = (tracks, layers, records, surfaces, grids, scoring, review)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

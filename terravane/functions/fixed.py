@@ -102,3 +102,20 @@ MISSION_WEIGHTS = {
     "speed_profile": 0.06,
     "duration_profile": 0.03,
 }
+
+# Names of the rungs 0 to 4, kinds of evidence that prove identity, bases that only suggest one, bands of confidence.
+RUNGS = ["ANOMALY", "FEATURE", "OPENING", "PASSAGE", "CONNECTION"]
+IDENTITY_EVIDENCE = ["STABLE_SOURCE_ID", "EXPLICIT_PROVIDER_CROSSWALK", "AUTHORITATIVE_LINEAGE", "EXACT_SOURCE_GEOMETRY_KEY"]
+HEURISTIC_BASES = ["proximity_only", "nearest_only", "name_only", "normalized_name_only", "same_category", "source_absence"]
+CONFIDENCE_BANDS = [(85, "high_confidence_change"), (70, "corroborated_change"), (50, "supported_candidate"), (30, "candidate")]
+CONFIDENCE_LEAST = "weak_signal"
+
+# Flags that keep a shape from more than a candidate, and the weights of a depression's score.
+WEAK_SHAPES = ["SEAM_OVERLAP", "MOSTLY_INTERPOLATED", "BELOW_UNCERTAINTY", "UNCERTAINTY_UNKNOWN"]
+#: Measure: what counts as full, points for a full one.
+DEPRESSION_WEIGHTS = {"significance": (10.0, 35.0), "depth_to_diameter": (0.3, 25.0), "circularity": (1.0, 15.0), "wall_slope": (35.0, 10.0)}
+DEPRESSION_INNER = 15.0
+
+# Changes that coarse images can show, and from which resolution on images are coarse.
+COARSE_CHANGES = ["EXPANSION", "CONTRACTION", "SURFACE_COVER_CHANGE"]
+COARSE_ABOVE_M = 5.0
