@@ -14,6 +14,13 @@ SPACE = r"[\x20\x09-\x0D]"
 SPACE_CHARS = " \t\n\x0b\f\r"
 
 
+def _own_folder(spark: SparkSession) -> None:
+    """A temporary checkpoint folder, for a session on one machine only; a cluster has to name a shared one."""
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terravane-checkpoint-"))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """df, computed once and kept in the cluster's shared checkpoint folder.
 
@@ -22,7 +29,7 @@ def saved(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terravane-checkpoint-"))
+        _own_folder(spark)
     return df.checkpoint(eager=True)
 
 
@@ -32,7 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
     if where:
         return where
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terravane-checkpoint-"))
+        _own_folder(spark)
     return spark.sparkContext.getCheckpointDir()
 
 
