@@ -222,3 +222,10 @@ def cell_accounting(cells: DataFrame) -> DataFrame:
     filled = F.count_if(valid & F.coalesce("interpolated", F.lit(False)))
     n = F.count_if(valid)
     return cells.agg(F.count(F.lit(1)).alias("total"), n.alias("valid"), (F.count(F.lit(1)) - n).alias("no_data"), F.when(told, filled).alias("interpolated"), F.when(told, n - filled).alias("measured"))
+
+
+def first_met(domains: Column, conditions: Sequence[tuple[str, Sequence[str]]]) -> Column:
+    """The name of the first condition whose required domains are all among domains; null if none is. Null domains are none."""
+    have = F.coalesce(domains, F.array().cast("array<string>"))
+    met = [F.when(F.size(F.array_except(F.array(*map(F.lit, need)).cast("array<string>"), have)) == 0, F.lit(name)) for name, need in conditions]
+    return F.coalesce(*met, F.lit(None).cast("string"))

@@ -144,7 +144,7 @@ def promotable_edges(spark: SparkSession, sf: str) -> DataFrame:
 SQL["promotable_edges"] = "SELECT l_orderkey AS feature, l_partkey AS other FROM lineitem WHERE l_partkey%5 IN (1,3) OR (l_partkey+l_linenumber)%5 IN (1,3)"
 
 
-def scene_pairs(spark: SparkSession, sf: str) -> DataFrame:
+def scene_overlap(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as sites with a chip around each and two scenes that are shifted."""
     k, x, y = F.col("id"), F.col("lon"), F.col("lat")
     box = lambda dx, dy, r: (x + dx - r, y + dy - r, x + dx + r, y + dy + r)
@@ -156,7 +156,7 @@ def scene_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _SIDE = "greatest(0.0::DOUBLE, {0}+0.01::DOUBLE-greatest({0}-0.01::DOUBLE, {0}+s-0.02::DOUBLE))"
-SQL["scene_pairs"] = f"""WITH {site_sql()}, p AS (SELECT id, lon, lat, id%40/1000.0::DOUBLE AS s, CASE WHEN id%6<>0 THEN (id%30)::DOUBLE END AS b, (id%7+1)::DOUBLE AS a FROM sites)
+SQL["scene_overlap"] = f"""WITH {site_sql()}, p AS (SELECT id, lon, lat, id%40/1000.0::DOUBLE AS s, CASE WHEN id%6<>0 THEN (id%30)::DOUBLE END AS b, (id%7+1)::DOUBLE AS a FROM sites)
  SELECT id, round(least(1.0::DOUBLE, {_SIDE.format("lon")}*{_SIDE.format("lat")}/(((lon+0.01::DOUBLE)-(lon-0.01::DOUBLE))*((lat+0.01::DOUBLE)-(lat-0.01::DOUBLE)))),6) AS covered,
  round(CASE WHEN b IS NULL OR b = 0 THEN 0.5::DOUBLE ELSE least(a,b)/greatest(a,b) END,6) AS scale, CASE WHEN b <= {fixed.COARSE_ABOVE_M} THEN 'EXPANSION,VEGETATION_LOSS' ELSE 'EXPANSION' END AS shown FROM p"""
 
@@ -194,10 +194,24 @@ def cell_accounting(spark: SparkSession, sf: str) -> DataFrame:
 SQL["cell_accounting"] = """WITH e AS (SELECT event_id%5<>0 AND event_id%7<>0 AS ok, event_id%6=0 AS i FROM events)
  SELECT count(*) AS total, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS no_data, count(*) FILTER (ok AND i) AS interpolated, count(*) FILTER (ok AND NOT i) AS measured FROM e"""
 
+#: Conditions of routing in their order, each with the domains that it needs.
+CONDITIONS = [("water and road", ("water", "road")), ("any coast", ("coast",)), ("road and power", ("road", "power"))]
+_DOMAINS = ("water", "road", "coast", "power")
+
+
+def met_conditions(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts with the domains whose divisor (2 to 5) their key has."""
+    k = F.col("p_partkey")
+    domains = F.array_compact(F.array(*(F.when(k % (i + 2) == 0, d) for i, d in enumerate(_DOMAINS))))
+    return table(spark, sf, "part").select(k.alias("id"), R.first_met(domains, CONDITIONS).alias("condition"))
+
+
+SQL["met_conditions"] = "SELECT p_partkey AS id, CASE WHEN p_partkey%6=0 THEN 'water and road' WHEN p_partkey%4=0 THEN 'any coast' WHEN p_partkey%15=0 THEN 'road and power' END AS condition FROM part"
+
 QUERIES = {
     f.__name__: f
     for f in (
         promotion, adjudication, depression_scores, route_reconciliation, place_density, compared_keys,
-        promotable_edges, scene_pairs, candidate_fields, run_deltas, cell_accounting,
+        promotable_edges, scene_overlap, candidate_fields, run_deltas, cell_accounting, met_conditions,
     )
 }

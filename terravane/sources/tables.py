@@ -13,9 +13,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def saved(df: DataFrame) -> DataFrame:
-    """df, computed once into spark.checkpoint.dir; a folder of this machine only where none is set."""
+    """df, computed once into spark.checkpoint.dir; where none is set, a folder of this machine, and an error on a cluster."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="terravane-checkpoint-"))
     return df.checkpoint(eager=True)
 

@@ -55,3 +55,9 @@ def test_every_query_is_known():
     without = set(catalog.queries()) - set(catalog.oracle_sql())
     assert without == {"track_hypotheses", "intake_greedy_dedup", "match_scores", "ellipsoid_pairs", "kmeans_profiles"}
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
+
+
+def test_names_are_unique():
+    names = [n for m in catalog._MODULES for n in m.QUERIES]
+    assert len(names) == len(set(names))
+    assert all(set(m.SQL) <= set(m.QUERIES) for m in catalog._MODULES)
