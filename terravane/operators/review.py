@@ -225,7 +225,10 @@ def cell_accounting(cells: DataFrame) -> DataFrame:
 
 
 def first_met(domains: Column, conditions: Sequence[tuple[str, Sequence[str]]]) -> Column:
-    """The name of the first condition whose required domains are all among domains; null if none is. Null domains are none."""
+    """The name of the first condition whose required domains are all among domains; null if none is.
+
+    Null domains are none; a condition that requires nothing is never met.
+    """
     have = F.coalesce(domains, F.array().cast("array<string>"))
-    met = [F.when(F.size(F.array_except(F.array(*map(F.lit, need)).cast("array<string>"), have)) == 0, F.lit(name)) for name, need in conditions]
+    met = [F.when(F.size(F.array_except(F.array(*map(F.lit, need)).cast("array<string>"), have)) == 0, F.lit(name)) for name, need in conditions if need]
     return F.coalesce(*met, F.lit(None).cast("string"))

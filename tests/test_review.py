@@ -65,3 +65,9 @@ def test_unknown_measures_count_nothing(spark):
     assert one.select(R.scale_ratio(none, F.lit(2.0))).first()[0] == 0.5
     box = [F.lit(v) for v in (0.0, 0.0, 1.0, 1.0)]
     assert one.select(R.covered_share(box, box, [none, *box[1:]])).first()[0] is None
+
+
+def test_conditions_in_order(spark):
+    df = spark.createDataFrame([(["a", "b"],), (["b"],), ([],), (None,)], "d array<string>")
+    got = [r[0] for r in df.select(R.first_met(F.col("d"), [("none", ()), ("both", ("b", "a")), ("one", ("b",))])).collect()]
+    assert got == ["both", "one", None, None]
