@@ -119,3 +119,10 @@ DEPRESSION_INNER = 15.0
 # Changes that coarse images can show, and from which resolution on images are coarse.
 COARSE_CHANGES = ["EXPANSION", "CONTRACTION", "SURFACE_COVER_CHANGE"]
 COARSE_ABOVE_M = 5.0
+
+# Corridors as (name, (lon, lat, lon, lat), width in nautical miles).
+CORRIDORS = [
+    ("PREPA_SOUTH", (-67.2, 18.0, -65.3, 18.0), 5.0),
+    ("MONA_PATROL", (-67.8, 18.5, -67.0, 18.5), 15.0),
+    ("CENTRAL_GRID", (-66.5, 18.5, -66.0, 18.0), 8.0),
+]
