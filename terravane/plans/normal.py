@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, geo, normal
-from ..operators import linkage, proximity, validation
+from ..operators import joins, linkage, proximity, shapes, validation
 from ..sources.tables import table
 from .common import POINTS, hav_sql, points, rounded, site_sql, sites
 
@@ -181,4 +181,17 @@ SQL["turn_texts"] = r"""SELECT conv_id, turn, md5(substr(regexp_replace(regexp_r
  md5(CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || chr(10) || '... [context truncated]' ELSE text END) AS context_md5 FROM conversations"""
 
 
-QUERIES = {f.__name__: f for f in (zone_entries, near_features, corridors_flown, unusual_flights, road_refs, road_conflicts, identities, tile_frames, image_boxes, review_queue, postal_designations, turn_texts)}
+def polygon_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers as boxes on a grid of whole numbers, against themselves in other sizes."""
+    k, q = F.col("s_suppkey"), lambda m, n: F.floor((F.col("s_suppkey") * m % n) / 20).cast("double")
+    at = table(spark, sf, "supplier").select(k.alias("polygon_id"), q(37, 1800).alias("x0"), q(53, 700).alias("y0"))
+    boxed = lambda w, h: joins.boxes_as_edges(at.withColumns({"x1": F.col("x0") + w, "y1": F.col("y0") + h}))
+    return shapes.relations(boxed(F.col("polygon_id") % 3 + 1, F.lit(2)), boxed(F.lit(2), F.col("polygon_id") % 4 + 1), 4.0)
+
+
+SQL["polygon_pairs"] = """WITH p AS (SELECT s_suppkey AS id, (s_suppkey*37%1800)//20 AS x, (s_suppkey*53%700)//20 AS y FROM supplier), a AS (SELECT id, x AS x0, y AS y0, x+id%3+1 AS x1, y+2 AS y1 FROM p), b AS (SELECT id, x AS x0, y AS y0, x+2 AS x1, y+id%4+1 AS y1 FROM p),
+ j AS (SELECT a.id, b.id AS other_id, a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1 AS shared, a.x0 <= b.x0 AND a.y0 <= b.y0 AND a.x1 >= b.x1 AND a.y1 >= b.y1 AS has, b.x0 <= a.x0 AND b.y0 <= a.y0 AND b.x1 >= a.x1 AND b.y1 >= a.y1 AS isin
+ FROM a JOIN b ON a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1) SELECT id, other_id, true AS intersects, has AS contains, isin AS within, NOT shared AS touches, false AS crosses, shared AND NOT has AND NOT isin AS overlaps FROM j"""
+
+
+QUERIES = {f.__name__: f for f in (zone_entries, near_features, corridors_flown, unusual_flights, road_refs, road_conflicts, identities, tile_frames, image_boxes, review_queue, postal_designations, turn_texts, polygon_pairs)}
