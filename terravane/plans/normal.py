@@ -181,6 +181,19 @@ SQL["turn_texts"] = r"""SELECT conv_id, turn, md5(substr(regexp_replace(regexp_r
  md5(CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || chr(10) || '... [context truncated]' ELSE text END) AS context_md5 FROM conversations"""
 
 
+CASES = ["Fue hallada sana y salva, edad 34", "No ha sido localizada; tiene 12 años", "Encontrado fallecido tras buscarlo hace 5 años", "Lleva 3 años perdida; tiene 40 años", "Aún no la han encontrado", "Cadáver hallado. Edad: 61"]
+
+
+def case_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Status and age of reports; the SQL has what a reader takes from each sentence."""
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(k.alias("id"), F.when(k % 7 < 6, F.element_at(F.array(*map(F.lit, CASES)), (k % 7 % 6 + 1).cast("int"))).alias("text"))
+    return c.select("id", normal.case_status(F.col("text")).alias("status"), normal.age(F.col("text")).alias("age"))
+
+
+SQL["case_fields"] = """SELECT c_custkey AS id, ['resolved_alive','active','resolved_deceased','active','active','resolved_deceased','active'][c_custkey%7+1] AS status, ['34','12','','40','','61',''][c_custkey%7+1] AS age FROM customer"""
+
+
 def polygon_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Suppliers as boxes on a grid of whole numbers, against themselves in other sizes."""
     k, q = F.col("s_suppkey"), lambda m, n: F.floor((F.col("s_suppkey") * m % n) / 20).cast("double")
@@ -194,4 +207,4 @@ SQL["polygon_pairs"] = """WITH p AS (SELECT s_suppkey AS id, (s_suppkey*37%1800)
  FROM a JOIN b ON a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1) SELECT id, other_id, true AS intersects, has AS contains, isin AS within, NOT shared AS touches, false AS crosses, shared AND NOT has AND NOT isin AS overlaps FROM j"""
 
 
-QUERIES = {f.__name__: f for f in (zone_entries, near_features, corridors_flown, unusual_flights, road_refs, road_conflicts, identities, tile_frames, image_boxes, review_queue, postal_designations, turn_texts, polygon_pairs)}
+QUERIES = {f.__name__: f for f in (zone_entries, near_features, corridors_flown, unusual_flights, road_refs, road_conflicts, identities, tile_frames, image_boxes, review_queue, postal_designations, turn_texts, case_fields, polygon_pairs)}
