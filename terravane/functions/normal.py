@@ -70,10 +70,14 @@ def has_namespace(value: Column, prefix: str) -> Column:
 def road_band(number: Column) -> Column:
     """The band a road's number lies in, or unknown."""
     n = F.nullif(F.regexp_extract(F.trim(F.coalesce(number.cast("string"), F.lit(""))), r"^\d{1,9}$", 0), F.lit("")).cast("int")
-    out = F.lit("unknown")
-    for low, high, name in reversed(ROAD_BANDS):
-        out = F.when(n.between(low, high), name).otherwise(out)
-    return out
+
+    def read(n: Column) -> Column:
+        out = F.lit("unknown")
+        for low, high, name in reversed(ROAD_BANDS):
+            out = F.when(n.between(low, high), name).otherwise(out)
+        return out
+
+    return once(n, read)
 
 
 def road_parts(number: Column) -> Column:
@@ -97,10 +101,14 @@ def kilometre(text: Column) -> Column:
 
 def road_class(text: Column) -> Column:
     """primary, secondary or tertiary if a text says so, else empty."""
-    t, out = F.upper(plain_letters(text)), F.lit("")
-    for name, words in reversed(ROAD_CLASSES):
-        out = F.when(t.rlike(words), name).otherwise(out)
-    return out
+
+    def read(t: Column) -> Column:
+        out = F.lit("")
+        for name, words in reversed(ROAD_CLASSES):
+            out = F.when(t.rlike(words), name).otherwise(out)
+        return out
+
+    return once(F.upper(plain_letters(text)), read)
 
 
 def road_id(family: Column, record: Column, number: Column, name: Column) -> Column:
