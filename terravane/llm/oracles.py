@@ -42,4 +42,31 @@ SUBSTRINGS = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS}
  k AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept FROM x ANTI JOIN c USING (r, j) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n,0))::BIGINT AS n_removed, sha256(coalesce(kept,'')) AS kept_sha256 FROM d LEFT JOIN k USING (r)"""
 
-SQL: dict[str, str] = {"op3_sharding": SHARDING, "op4_substrings": SUBSTRINGS, "op5_quality_rules": QUALITY, "op6_decontaminate": DECONTAMINATE}
+_KEPT = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _vector_codes(rounds: int = 4) -> str:
+    """Every round as tables: a (the nearest entry of each part) and b (the entries), by exact integer distances."""
+    near = """SELECT r, part, min(row(d, e)) AS hit FROM (SELECT p.r, p.part, b.e, list_sum(list_transform(list_zip(p.s, b.s), lambda z: (z[1]-z[2])*(z[1]-z[2])))::BIGINT AS d FROM p JOIN {b} b USING (part)) GROUP BY r, part"""
+    steps = [
+        f"k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024*CAST(x AS DOUBLE)) AS BIGINT)) AS x, row_number() OVER (ORDER BY vec_id) - 1 AS r FROM embeddings WHERE {_KEPT})",
+        "p AS MATERIALIZED (SELECT r, part, x[part*(len(x)//4)+1:(part+1)*(len(x)//4)] AS s FROM k, (SELECT unnest(range(4)) AS part))",
+        "b0 AS MATERIALIZED (SELECT part, r AS e, s FROM p WHERE r < 256)",
+    ]
+    for i in range(rounds):
+        steps.append(f"a{i} AS MATERIALIZED ({near.format(b=f'b{i}')})")
+        steps.append(f"m{i} AS (SELECT part, e, list(v ORDER BY j) AS s FROM (SELECT part, e, j, CAST(floor(sum(v)::DOUBLE / count(*)) AS BIGINT) AS v FROM (SELECT a{i}.part, hit[2] AS e, unnest(s) AS v, unnest(range(1, len(s)+1)) AS j FROM a{i} JOIN p USING (r, part)) GROUP BY part, e, j) GROUP BY part, e)")
+        steps.append(f"b{i + 1} AS MATERIALIZED (SELECT part, e, coalesce(m{i}.s, b{i}.s) AS s FROM b{i} LEFT JOIN m{i} USING (part, e))")
+    steps.append(f"f AS ({near.format(b=f'b{rounds}')})")
+    steps.append("c AS (SELECT r, string_agg(lower(printf('%02x', hit[2])), '' ORDER BY part) AS code, sum(hit[1])::BIGINT AS error FROM f GROUP BY r)")
+    steps.append(f"h AS (SELECT sha256(string_agg(array_to_string(s, ','), ',' ORDER BY part, e)) AS sha FROM b{rounds})")
+    return "WITH " + ",\n ".join(steps) + "\nSELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256 FROM k JOIN c USING (r), h"
+
+
+VECTOR_DUPS = f"""WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS x, {_KEPT} AND label IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok FROM embeddings),
+ u AS MATERIALIZED (SELECT r, vec_id, label, x, sqrt(list_dot_product(x, x)) AS size FROM v WHERE ok),
+ l AS MATERIALIZED (SELECT a.r AS p, b.r AS q FROM u a JOIN u b ON a.label = b.label AND len(a.x) = len(b.x) AND a.r <> b.r WHERE list_dot_product(a.x, b.x) / (a.size * b.size) >= 0.98),
+ w AS (SELECT r, r AS s FROM v UNION SELECT w.r, l.q FROM w JOIN l ON l.p = w.s)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.p = v.r)::BIGINT AS n_links, c.least AS component_id, v.vec_id = c.least AS kept FROM v JOIN (SELECT w.r, min(t.vec_id) AS least FROM w JOIN v t ON t.r = w.s GROUP BY w.r) c USING (r)"""
+
+SQL: dict[str, str] = {"op3_sharding": SHARDING, "op4_substrings": SUBSTRINGS, "op5_quality_rules": QUALITY, "op6_decontaminate": DECONTAMINATE, "op11_vector_codes": _vector_codes(), "op12_vector_dups": VECTOR_DUPS}

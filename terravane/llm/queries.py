@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing, ppm, quality_model, quality_rules, secrets, sharding, simhash, substrings
+from . import decontaminate, language, packing, ppm, quality_model, quality_rules, secrets, sharding, simhash, substrings, vector_codes, vector_dups, whitening
 from .common import shared_folder, table
 
 
@@ -76,6 +76,18 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(docs, quality_model.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+def op12_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dups.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
