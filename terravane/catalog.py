@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import grids, layers, normal, records, review, scoring, surfaces, tracks
+from .plans import basins, grids, layers, normal, records, review, scoring, surfaces, tracks
 
-_MODULES = (tracks, layers, records, surfaces, grids, scoring, review, normal)
+_MODULES = (tracks, layers, records, surfaces, basins, grids, scoring, review, normal)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -82,26 +82,13 @@ def accounting(cells: DataFrame) -> DataFrame:
     return cells.agg(F.count("value").alias("n_data"), F.count_if(F.col("value").isNull()).alias("n_missing"))
 
 
-def fill(cells: DataFrame, most_rounds: int = 10_000) -> DataFrame:
-    """Heights with every depression filled to its spill level.
-
-    Planchon-Darboux relaxation between checkpoints: water starts high inside and at the ground on the border and
-    beside missing cells, and sinks to the greater of its ground and its lowest neighbour until nothing changes.
-    Correct for any tiling; the number of rounds grows with the longest winding path, so it suits moderate rasters.
-    """
-    from ..sources.tables import saved
-
-    ground = saved(cells.where("value is not null").select("row", "col", F.col("value").alias("g")))
-    steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) != (0, 0)]
-    near = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps)))
-    shifted = lambda d, c: d.select((F.col("row") + F.col("s.i")).alias("row"), (F.col("col") + F.col("s.j")).alias("col"), c)
-    full = shifted(ground.withColumn("s", near), F.lit(1).alias("one")).groupBy("row", "col").agg(F.count("one").alias("n"))
-    top = ground.agg(F.max("g")).first()[0]
-    water = saved(ground.join(full, ["row", "col"], "left").select("row", "col", "g", F.when(F.coalesce("n", F.lit(0)) < 8, F.col("g")).otherwise(F.lit(top)).alias("w")))
-    for _ in range(most_rounds):
-        low = shifted(water.withColumn("s", near), F.col("w").alias("x")).groupBy("row", "col").agg(F.min("x").alias("x"))
-        nxt = saved(water.join(low, ["row", "col"], "left").select("row", "col", "g", F.col("w").alias("old"), F.least("w", F.greatest("g", F.coalesce("x", F.col("w")))).alias("w")))
-        if nxt.where("w < old").isEmpty():
-            return nxt.select("row", "col", F.col("w").alias("value"), (F.col("w") - F.col("g")).alias("depth"))
-        water = nxt.select("row", "col", "g", "w")
-    raise RuntimeError("the relaxation has not come to rest")
+def fill(cells: DataFrame, tile: int = 256) -> DataFrame:
+    """row, col, value (filled to the spill level) and depth of the cells with data, wherever the raster begins and ends."""
+    from .basins import fill as filled
+
+    r0, c0, r1, c1 = cells.agg(F.min("row"), F.min("col"), F.max("row"), F.max("col")).first()
+    if r0 is None:
+        return cells.select("row", "col", F.col("value").cast("double").alias("value"), F.lit(0.0).alias("depth"))
+    moved = cells.select((F.col("row") - r0).alias("row"), (F.col("col") - c0).alias("col"), "value")
+    done = filled(moved, (r1 - r0 + 1, c1 - c0 + 1), tile)
+    return done.select((F.col("row") + r0).alias("row"), (F.col("col") + c0).alias("col"), F.col("filled").alias("value"), "depth")
