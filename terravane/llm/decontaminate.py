@@ -8,12 +8,13 @@ patterns, which are compared word by word, and at last as strings. Texts are cut
 m - 1, and numpy moves the windows of all runs of a batch together.
 
 Only the patterns are broadcast, as arrays, in blocks of about `block_bytes` of benchmark text (some 20 bytes of
-arrays for each byte of it; an item that is longer by itself is in one block). A larger benchmark takes several passes over the
+arrays for each byte of it); an item of more than LONG_ITEM words is cut into pieces that share `window` - 1 words, so
+that no item fills more than a block. A larger benchmark takes several passes over the
 documents, one after the other and each saved, whose results are united by a saved number of the row.
 
 Defined results: null and empty texts have no words; a null item text has no pattern; repeated rows give a row each,
-however many passes there are; items without an id are left out of occurrences(), as in its SQL, while
-drop_contaminated() looks for their passages too; other columns are ignored.
+however many passes there are; the windows of items without an id make words hit but name no item, in every entry
+of this module alike; repeated items count once; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from .common import numbered, saved
 WINDOW = 10
 RUN = 256
 BLOCK_BYTES = 4 << 20
+LONG_ITEM = 65_536
 
 
 def _byte(b: int) -> int:
@@ -54,7 +56,7 @@ class Patterns:
         texts = pa.array([t or "" for _, t in items], pa.large_string())
         data, at = W.flat(texts)
         low = BYTES[data]
-        self.names = [str(i) for i, _ in items]
+        self.names = [i for i, _ in items]
         self.s, self.e, first = W.spans(low, at)
         self.low = low.tobytes()
         h = W.hashes(low, self.s, self.e)
@@ -152,7 +154,7 @@ def search(texts: pa.Array, patterns: Patterns) -> tuple[np.ndarray, np.ndarray,
                 want = patterns.words(int(g["leads"][p]), m)
                 sure = [x for x in here.tolist() if all(low[s[x - m + 1 + q] : e[x - m + 1 + q]].tobytes() == want[q] for q in range(m))]
                 if sure:
-                    named = [patterns.names[i] for i in g["item"][g["items"][p] : g["items"][p + 1]].tolist()]
+                    named = [patterns.names[i] for i in g["item"][g["items"][p] : g["items"][p + 1]].tolist() if patterns.names[i] is not None]
                     x = np.array(sure)
                     np.add.at(cover, x - m + 1, 1)
                     np.add.at(cover, x + 1, -1)
@@ -184,6 +186,16 @@ def _searcher(patterns, with_hits: bool):
 ROW = "__terravane_row"
 
 
+def _items(benchmark: DataFrame, item_col: str, text_col: str, window: int, long_item: int = LONG_ITEM) -> DataFrame:
+    """item (null where there is no id) and text, each once; very long texts in pieces that hold every window."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    said = F.filter(F.split(low, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+    cut = F.transform(F.sequence(F.lit(1), F.size("w") - window + 1, F.lit(long_item)), lambda at: F.array_join(F.slice("w", at, long_item + window - 1), " "))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), text.alias("text"), F.when(F.octet_length(text) > 2 * long_item, said).alias("w"))
+    return items.select("item", F.explode(F.when(F.size("w") > long_item + window, cut).otherwise(F.array("text"))).alias("text")).distinct()
+
+
 def _blocks(items: DataFrame, block_bytes: int) -> int:
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     return max(1, -(-size // block_bytes))
@@ -211,7 +223,7 @@ def _in_passes(rows: DataFrame, text_col: str, items: DataFrame, blocks: int, wi
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit and items (sorted ids as strings) for each row of docs."""
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("text")).where("item is not null")
+    items = _items(benchmark, item_col, item_text_col, window)
     blocks = _blocks(items, block_bytes)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     if blocks == 1:
@@ -239,7 +251,7 @@ def _cleaner(patterns, most: float, text_index: int):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, most: float = 0.0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs with at most a share `most` of their words inside benchmark windows."""
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    items = _items(benchmark, "item_id", "text", window)
     blocks = _blocks(items, block_bytes)
     if blocks > 1 and most:
         # The words that the blocks hit have to be united before their share is known.

@@ -22,7 +22,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fai
 
 _LOW = r"list_filter(regexp_split_to_array(translate(coalesce(text,''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 
-DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOW} AS w FROM documents), b AS (SELECT item_id, {_LOW} AS w FROM benchmark WHERE item_id IS NOT NULL),
+DECONTAMINATE = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOW} AS w FROM documents), b AS (SELECT item_id, {_LOW} AS w FROM benchmark),
  p AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(10, len(w)) AS m, array_to_string(w[i:i+least(10, len(w))-1], ' ') AS gram FROM (SELECT item_id, w, unnest(range(1, len(w)-least(10, len(w))+2)) AS i FROM b WHERE len(w) > 0)),
  lens AS (SELECT DISTINCT m FROM p),
  x AS (SELECT r, m, i, array_to_string(w[i:i+m-1], ' ') AS gram FROM (SELECT r, w, m, unnest(range(1, len(w)-m+2)) AS i FROM d, lens WHERE len(w) >= m)),

@@ -6,21 +6,25 @@ target size, until no tier has enough left. A shard that has no others to go wit
 itself, is rewritten where it is in many small files. A manifest names the shards of one version; it is written aside and then
 renamed to its number, which fails if that version is there already, so that readers see a whole version or none and
 of two writers one wins; the other takes its arrival to the next version. That holds where a rename is atomic and does
-not replace (HDFS, local disks); an object store without such a rename needs a lock around commit(). Texts are read and written
-by Spark without a shuffle, the merges of a step side by side; the driver handles names and sizes.
+not replace (HDFS; on a local disk the writers of one driver are kept apart by a lock); an object store without such a rename
+needs a lock around commit(). Several compactions may run at once: one whose shards another has replaced meanwhile
+drops what it made and plans anew. Texts are read and written by Spark without a shuffle, the merges of a step side by
+side; the driver handles names and sizes.
 
 Defined results: rows stay as they are, nulls, repeats and all; an empty arrival gives a shard without rows; column
-names of the store are those of the first arrival.
+names of the store are those of the first arrival; a column named __terravane_arrival is refused by append_by().
 """
 
 from __future__ import annotations
 
 import json
 import math
+import threading
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +37,7 @@ AT_A_TIME = 8
 RETRIES = 20
 #: Seconds for which vacuum() spares shards that no manifest names yet.
 SPARED = 24 * 3600
+_COMMITS = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -98,9 +103,12 @@ class Store:
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
         try:
-            context.rename(aside, final, options)
-        except Exception as e:
+            with _COMMITS:
+                context.rename(aside, final, options)
+        except Py4JJavaError as e:
             self._fs.delete(aside, False)
+            if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+                raise
             raise FileExistsError(f"version {base + 1} is there already") from e
         return base + 1
 
@@ -109,12 +117,17 @@ class Store:
     def _write(self, df: DataFrame, name: str) -> None:
         df.write.option("compression", "zstd").parquet(f"{self.root}/shards/{name}")
 
-    def _add(self, fresh: list[Shard]) -> int:
-        """The newest version with fresh shards, whoever else commits meanwhile."""
+    def _put(self, fresh: list[Shard], gone: set[str] = frozenset()) -> int | None:
+        """The version after the newest one, with fresh shards in place of those in gone, whoever else commits meanwhile.
+
+        None, and no version, if the newest one does not hold all of gone any more.
+        """
         for k in range(RETRIES):
             version, shards = self.manifest()
+            if not gone <= {s.name for s in shards}:
+                return None
             try:
-                return self.commit(version, [*shards, *fresh])
+                return self.commit(version, [*(s for s in shards if s.name not in gone), *fresh])
             except FileExistsError:
                 if k == RETRIES - 1:
                     raise
@@ -124,14 +137,16 @@ class Store:
         """One arrival as a shard; the new version."""
         name = uuid.uuid4().hex
         self._write(arrival, name)
-        return self._add([self._shard(name)])
+        return self._put([self._shard(name)])
 
     def append_by(self, rows: DataFrame, arrival: Column) -> int:
         """Many arrivals written in one pass, a shard for each value of arrival, committed together."""
         batch, tag = uuid.uuid4().hex, "__terravane_arrival"
+        if tag in rows.columns:
+            raise ValueError(f"{tag} names the folders of arrivals; rename that column")
         at = f"{self.root}/shards/{batch}"
         rows.withColumn(tag, arrival).write.option("compression", "zstd").partitionBy(tag).parquet(at)
-        return self._add([self._shard(f"{batch}/{n}") for n in self._names(at) if n.startswith(tag)])
+        return self._put([self._shard(f"{batch}/{n}") for n in self._names(at) if n.startswith(tag)])
 
     def read(self, version: int | None = None, shards: list[Shard] | None = None, schema=None) -> DataFrame:
         """The rows of a version or of some shards."""
@@ -162,8 +177,9 @@ class Store:
     def compact(self, schema=None) -> int:
         """Merge runs until none is left; the version that holds the result.
 
-        All runs of a step that don't share a shard are merged, then one manifest replaces their shards. A writer that
-        was first makes commit() fail; nothing is lost then, and compact() can be called again.
+        All runs of a step that don't share a shard are merged, then one manifest replaces their shards. Where another
+        compaction has replaced one of a run's shards first, that run's own copy is deleted and the rest is planned anew;
+        arrivals that come meanwhile stay beside what is merged.
         """
 
         def merged(run: list[Shard]) -> Shard:
@@ -174,11 +190,12 @@ class Store:
             return replace(made, full=made.size >= self.target)
 
         while runs := self.runs(self.manifest()[1]):
-            version, shards = self.manifest()
             with ThreadPoolExecutor(AT_A_TIME) as pool:
                 fresh = list(pool.map(merged, runs))
-            gone = {s.name for run in runs for s in run}
-            self.commit(version, [s for s in shards if s.name not in gone] + fresh)
+            if self._put(fresh, {s.name for run in runs for s in run}) is None:
+                for run, made in zip(runs, fresh, strict=True):
+                    if self._put([made], {s.name for s in run}) is None:
+                        self._fs.delete(self._path(f"{self.root}/shards/{made.name}"), True)
         return self.manifest()[0]
 
     def vacuum(self, spared: float = SPARED) -> None:

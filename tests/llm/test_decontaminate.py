@@ -66,3 +66,37 @@ def test_rows_and_shares_do_not_depend_on_blocks(spark):
         for n in (1 << 25, 100):
             kept = D.drop_contaminated(docs, bench, most=most, block_bytes=n)
             assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == want
+
+
+def test_items_without_an_id_hit_and_name_nothing(spark):
+    """In the query's entry, in the stage's and in SQL, in one pass and in several."""
+    import duckdb
+    import pandas as pd
+
+    from terravane.llm.oracles import SQL
+
+    thirty = " ".join(f"t{i}" for i in range(30))
+    items = [(None, thirty), (None, thirty), (7, "only these three"), *((k, f"none{k} of these") for k in range(10, 30))]
+    rows = [(1, thirty), (2, "say only these three words"), (3, f"{thirty} only these three"), (4, "clean"), (5, None)]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("d", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    con.register("b", pd.DataFrame({"item_id": pd.array([i for i, _ in items], "Int64"), "text": [t for _, t in items]}))
+    con.execute("CREATE VIEW documents AS SELECT * FROM d")
+    con.execute("CREATE VIEW benchmark AS SELECT * FROM b")
+    q = con.sql(f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({SQL['op6_decontaminate']}) ORDER BY doc_id").fetchall()
+    assert [r[2:4] for r in q] == [(30, 0), (3, 1), (33, 1), (0, 0), (0, 0)]
+    for n in (1 << 25, 60):
+        assert [tuple(r) for r in D.digest(D.occurrences(docs, bench, block_bytes=n)).orderBy("doc_id").collect()] == q
+        assert sorted(r["doc_id"] for r in D.drop_contaminated(docs, bench, block_bytes=n).collect()) == [4, 5]
+
+
+def test_long_items_are_cut_without_losing_a_window(spark, documents, corpus):
+    long = " ".join(f"L{i}" for i in range(500))
+    items = [(1, long), (2, "short one"), (3, None)]
+    cut = D._items(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 10, long_item=40).collect()
+    pieces = [r["text"].split() for r in cut if r["item"] == "1"]
+    assert len(pieces) > 10 and max(map(len, pieces)) <= 49
+    windows = {tuple(p[i : i + 10]) for p in pieces for i in range(len(p) - 9)}
+    assert windows == {tuple(f"l{j}" for j in range(i, i + 10)) for i in range(491)}
+    assert sorted(r["text"] for r in cut if r["item"] != "1") == ["", "short one"]

@@ -99,3 +99,72 @@ def test_vacuum_spares_what_is_not_committed_yet(spark, tmp_path):
     store._write(spark.range(4), "left")
     store.vacuum(spared=0)
     assert "left" not in store._names(f"{store.root}/shards") and store.read().count() == 7
+
+
+def test_compactions_that_meet_double_nothing(spark, tmp_path, monkeypatch):
+    """Another store compacts between the plan of a step and its commit."""
+    monkeypatch.setattr(sharding, "SMALLEST", 1)
+    a, b = (sharding.Store(spark, str(tmp_path / "s"), fan_in=2) for _ in range(2))
+    for i in range(4):
+        a.append(spark.range(i, i + 1).coalesce(1))
+    real, met = a._write, []
+
+    def late(df, name):
+        real(df, name)
+        if not met:
+            met.append(b.compact())
+
+    a._write = late
+    a.compact()
+    assert met and rows_of(a.read()) == rows_of(spark.range(4))
+    named = {s.name for s in a.manifest()[1]}
+    a.vacuum(spared=0)
+    assert set(a._names(f"{a.root}/shards")) == named
+
+
+def test_a_step_whose_shards_are_gone_is_not_committed(spark, tmp_path):
+    store = sharding.Store(spark, str(tmp_path / "s"))
+    store.append(spark.range(3))
+    version, shards = store.manifest()
+    assert store._put([sharding.Shard("new", 1, False)], {"absent"}) is None
+    assert store.manifest() == (version, shards)
+
+
+def test_two_writers_and_two_compactions_at_once(spark, tmp_path, monkeypatch):
+    from concurrent.futures import ThreadPoolExecutor
+
+    monkeypatch.setattr(sharding, "SMALLEST", 1)
+    stores = [sharding.Store(spark, str(tmp_path / "s"), fan_in=2) for _ in range(4)]
+    stores[0].append(spark.range(100, 101).coalesce(1))
+
+    def write(store, start):
+        for i in range(5):
+            store.append(spark.range(start + i, start + i + 1).coalesce(1))
+
+    def compact(store):
+        for _ in range(3):
+            store.compact()
+
+    with ThreadPoolExecutor(4) as pool:
+        for f in [pool.submit(write, stores[0], 0), pool.submit(write, stores[1], 5), pool.submit(compact, stores[2]), pool.submit(compact, stores[3])]:
+            f.result()
+    assert sorted(r["id"] for r in stores[0].read().collect()) == [*range(10), 100]
+
+
+def test_other_failures_of_a_commit_are_not_taken_for_a_second_writer(spark, tmp_path):
+    from py4j.protocol import Py4JJavaError
+
+    store = sharding.Store(spark, str(tmp_path / "s"))
+    store.append(spark.range(1))
+    (tmp_path / "s/manifests/v00000002.json").mkdir()
+    (tmp_path / "s/manifests/v00000002.json/inside").write_text("x")
+    with pytest.raises((FileExistsError, Py4JJavaError)):
+        store.commit(1, [])
+    assert not [n for n in store._names(f"{store.root}/manifests") if n.startswith(".") and not n.endswith(".crc")]
+
+
+def test_the_folder_column_is_refused(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    with pytest.raises(ValueError):
+        sharding.Store(spark, str(tmp_path / "s")).append_by(spark.range(2).withColumn("__terravane_arrival", F.lit(1)), F.lit(1))
