@@ -1,18 +1,20 @@
 """A quality classifier learned from positive and unlabelled texts.
 
-Trusted positives are the training labels of quality 1; unlabelled texts are drawn from the corpus. A logistic model
-over measurements of a text minimises the non-negative unbiased risk
+Trusted positives are the training labels of quality 1; unlabelled texts are drawn from the corpus, whatever their
+labels. A logistic model over measurements of a text minimises the non-negative unbiased risk
 
     prior * E_pos[loss(f)] + max(0, E_unl[loss(-f)] - prior * E_pos[loss(-f)])
 
-with the class prior estimated from the training labels. Where the second term would be negative, a step is taken
-against it alone, as in the published method.
+Where the second term would be negative, a step is taken against it alone, as in the published method. No label other
+than 1 is used, not even for the prior: above any bound on a score, the share of the unlabelled is at least the prior
+times the share of the positives, and at a bound that only positives pass it is just that. So the prior is the least
+ratio of the two shares, with scores of a first model fitted to the other half of the samples.
 
-At most `sample` positives and `sample` unlabelled texts are measured for the fit, chosen by a hash of their ids; all
-texts are scored.
+At most `sample` positives and `sample` unlabelled texts reach the driver for the fit. They are drawn among distinct
+pairs of id and text by a hash of these, so repeated rows count once; all texts are scored.
 
 Defined results: null and empty texts are measured as texts without words; if no positive label is there, every score
-is the prior (0.5 without labels); rows with a null id are scored, not learned from; other columns are ignored.
+is 0.5; rows with a null id are scored, not learned from; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .common import saved
 from .language import held_out
 
 SAMPLE = 20_000
@@ -124,6 +127,11 @@ class Model:
 
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> Model:
     """Full-batch Adam on the non-negative risk, with logistic loss."""
+    return _fit(positive, unlabelled, prior, steps, rate, decay)
+
+
+def _fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4, plain: bool = False) -> Model:
+    """As fit(); plain: both samples weigh the same and the unlabelled count as negatives, for an order of the scores only."""
     both = np.concatenate([positive, unlabelled]) if len(unlabelled) else positive
     n = 2 * len(FEATURES) + 1
     start = np.zeros(n)
@@ -140,7 +148,10 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int =
         negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
         g_pos = -prior * (p * sig(-fp)[:, None]).mean(axis=0)
         g_neg = (u * sig(fu)[:, None]).mean(axis=0) - prior * (p * sig(fp)[:, None]).mean(axis=0)
-        g = (g_pos + g_neg if negative >= 0 else -g_neg) + decay * w
+        if plain:
+            g = -(p * sig(-fp)[:, None]).mean(axis=0) / 2 + (u * sig(fu)[:, None]).mean(axis=0) / 2 + decay * w
+        else:
+            g = (g_pos + g_neg if negative >= 0 else -g_neg) + decay * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     model.weights = w
@@ -153,28 +164,54 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float64()))], ["role", "x"])
 
 
+def estimated_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among the unlabelled, from the two samples alone.
+
+    Each half of the samples is judged by a model fitted to the other half. Bounds that fewer than a tenth of the
+    positives pass are left out, as their ratios are mostly chance; of the rest the ratio with the least upper
+    bound (three deviations up) counts.
+    """
+    if len(positive) < 4 or len(unlabelled) < 4:
+        return 0.5
+    rng, found = np.random.default_rng(3), []
+    p_side, u_side = rng.permutation(len(positive)) % 2, rng.permutation(len(unlabelled)) % 2
+    for side in (0, 1):
+        model = _fit(positive[p_side != side], unlabelled[u_side != side], 0.5, plain=True)
+        p, u = (np.sort(model.score(x)) for x in (positive[p_side == side], unlabelled[u_side == side]))
+        at = np.quantile(p, np.linspace(0.0, 0.9, 46))
+        passed_p = 1 - np.searchsorted(p, at, "left") / len(p)
+        passed_u = 1 - np.searchsorted(u, at, "left") / len(u)
+        ratio = passed_u / np.maximum(passed_p, 1e-9)
+        spread = ratio * np.sqrt((1 - passed_u) / np.maximum(passed_u * len(u), 1) + (1 - passed_p) / np.maximum(passed_p * len(p), 1))
+        found.append(ratio[np.argmin(ratio + 3 * spread)])
+    return float(np.clip(np.mean(found), 0.01, 0.99))
+
+
+def drawn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+    """role (1: positive, 2: unlabelled) and text of at most `sample` texts of either role, none of them held out."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("h"), text.alias("text")).where(~held_out("id") & F.col("id").isNotNull())
+    marks = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")).where((F.col("quality") == 1) & F.col("id").isNotNull())
+    trusted = rows.select("id", "h").join(marks.select("id").distinct(), "id", "left_semi")
+    chosen = None
+    for role, pairs in ((1, trusted), (2, rows.select("id", "h"))):
+        some = pairs.distinct().orderBy(F.xxhash64("id", "h", F.lit(role)), "id", "h").limit(sample).select("id", "h", F.lit(role).alias("role"))
+        chosen = some if chosen is None else chosen.unionByName(some)
+    # No more than 2 * sample rows are broadcast, and the same number comes out: repeats of a pair go before they are measured.
+    found = rows.join(F.broadcast(saved(chosen)), ["id", "h"])
+    return found.dropDuplicates(["role", "id", "h"]).select("role", "text")
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """The model of docs and labels; rows that held_out() names are never learned from."""
-    marks = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("quality")).where(~held_out("id") & F.col("id").isNotNull() & F.col("quality").isNotNull())
-    n_pos, n_all = marks.agg(F.coalesce(F.sum(F.when(F.col("quality") == 1, 1).otherwise(0)), F.lit(0)), F.count(F.lit(1))).first()
-    prior = min(0.99, max(0.01, n_pos / n_all)) if n_all else 0.5
-    if not n_pos:
-        return fit(np.zeros((0, len(FEATURES))), np.zeros((0, len(FEATURES))), prior)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(~held_out("id") & F.col("id").isNotNull())
-    n_docs = rows.count()
-    share = lambda seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    # At most about `sample` ids, whatever the tables hold.
-    chosen = marks.where((F.col("quality") == 1) & (share(1) < min(1.0, sample / max(1, n_pos)))).select("id").distinct()
-    drawn = rows.withColumn("unl", share(2) < min(1.0, sample / max(1, n_docs)))
-    drawn = drawn.join(F.broadcast(chosen.withColumn("pos", F.lit(True))), "id", "left").where("unl or pos")
-    parts = drawn.select((F.when(F.col("pos"), 1).otherwise(0) + F.when(F.col("unl"), 2).otherwise(0)).alias("role"), "text")
-    got = parts.mapInArrow(_measured, "role int, x array<double>").toPandas()
+    got = drawn(docs, labels, id_col, text_col, sample).mapInArrow(_measured, "role int, x array<double>").toPandas()
     role = got["role"].to_numpy()
     x = np.stack(got["x"].to_list()) if len(got) else np.zeros((0, len(FEATURES)))
     # Rows come in no fixed order; the fit is to be the same every time.
     order = np.lexsort(x.T) if len(x) else np.zeros(0, np.int64)
     role, x = role[order], x[order]
-    return fit(x[role % 2 == 1], x[role >= 2], prior)
+    positive, unlabelled = x[role == 1], x[role == 2]
+    return fit(positive, unlabelled, estimated_prior(positive, unlabelled) if len(positive) else 0.5)
 
 
 def _score(model):

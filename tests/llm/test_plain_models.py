@@ -1,6 +1,7 @@
 """Chosen languages, measurements of quality and the positive-unlabelled risk against plain versions of each."""
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -132,3 +133,32 @@ def test_fit_is_at_the_least_risk():
             assert plain_risk(model, positive, unlabelled, model.weights + sign * step / np.linalg.norm(step))[0] > least - 1e-3
     score = model.score(unlabelled)
     assert np.mean((score >= 0.5)[:250]) > 0.7 and np.mean((score < 0.5)[250:]) > 0.85
+
+
+def test_prior_of_a_mixture():
+    """From positives and unlabelled rows alone, within 0.05 of the share that was mixed in."""
+    rng = np.random.default_rng(5)
+    d = len(Q.FEATURES)
+    for share in (0.2, 0.5, 0.8):
+        n = int(share * 8_000)
+        unlabelled = np.concatenate([rng.standard_normal((n, d)) + 0.7, rng.standard_normal((8_000 - n, d)) - 0.7])
+        assert abs(Q.estimated_prior(rng.standard_normal((4_000, d)) + 0.7, unlabelled) - share) < 0.05
+
+
+def test_copies_do_not_reach_the_driver(spark):
+    """However often an id is repeated, at most `sample` texts of either role are drawn, and both roles get some."""
+    from pyspark.sql import functions as F
+
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs = spark.range(20_000).select(F.lit(ids[0]).cast("long").alias("doc_id"), F.lit("the same again").alias("text"))
+    docs = docs.union(spark.createDataFrame([(i, f"text number {i}") for i in ids[1:]], "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, 1) for i in ids[:20]] + [(ids[0], 1)], "doc_id long, quality int")
+    for sample in (4, 1_000):
+        got = Q.drawn(docs, labels, sample=sample).groupBy("role").count().collect()
+        assert {r["role"]: r["count"] for r in got} == {1: min(sample, 20), 2: min(sample, len(ids))}
+
+
+def test_labels_other_than_one_are_not_used(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    a, b = Q.learn(docs, labels), Q.learn(docs, labels.where("quality = 1"))
+    assert a.prior == b.prior and np.array_equal(a.weights, b.weights)
