@@ -53,7 +53,7 @@ def test_same_rows(spark, duck, name):
 
 def test_every_query_is_known():
     without = set(catalog.queries()) - set(catalog.oracle_sql())
-    assert without == {"track_hypotheses", "intake_greedy_dedup", "match_scores", "ellipsoid_pairs", "kmeans_profiles"}
+    assert without == {"track_hypotheses", "intake_greedy_dedup", "match_scores", "ellipsoid_pairs", "kmeans_profiles", "identity_edges", "identity_assets"}
     assert set(catalog.oracle_sql()) <= set(catalog.queries())
 
 
