@@ -29,6 +29,8 @@ from .components import components
 TILE = 32_768
 SHINGLE = 4
 SEED = 42
+#: Salts for the join of fingerprints with their component, one of which may hold most of them.
+SALTS = 16
 
 
 def fingerprint(text: str | None) -> int:
@@ -139,9 +141,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, fp and component_id (the smallest id reachable over links) for each row of docs."""
     fps = saved(fingerprints(docs, id_col, text_col))
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    rooted = classes.join(_roots(classes, radius), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = saved(rooted.join(least, "root").select("fp", "component_id"))
+    salted = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")
+    rooted = classes.join(_roots(classes, radius), "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"), salted.alias("salt"))
+    # A component's least id goes to each salt, so that one component does not land in one task.
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = saved(rooted.join(least, ["root", "salt"]).select("fp", "component_id"))
+    # A fingerprint that very many rows share is split by Spark as the join runs: the other side has one row for it.
     return fps.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
