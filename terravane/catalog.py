@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import basins, grids, layers, ledger, normal, records, review, scoring, surfaces, tracks
+from .plans import basins, features, grids, layers, ledger, normal, records, review, scoring, surfaces, tracks
 
-_MODULES = (tracks, layers, records, surfaces, basins, grids, scoring, review, ledger, normal)
+_MODULES = (tracks, layers, records, surfaces, basins, grids, scoring, review, ledger, features, normal)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
