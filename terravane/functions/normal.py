@@ -160,15 +160,30 @@ def case_status(text: Column) -> Column:
     return once(F.lower(plain_letters(text)), lambda t: F.when(said(t, DEAD), "resolved_deceased").when(said(t, FOUND), "resolved_alive").otherwise("active"))
 
 
+#: A cue of time gone by with up to three words after it, at the end of what stands before a number (fixed values).
+GONE_BY = r"\b(hace|lleva|desde|por)\b(?:\s+\w+){0,3}\s*$"
+
+
 def age(text: Column) -> Column:
-    """The age a Spanish text names, as text: after `edad`, else the first years that are not time gone by; else empty."""
+    """The age a Spanish text names, as text: after `edad`, else the first years that are not time gone by; else empty.
+
+    Years are time gone by if a cue stands within the 30 characters before the number, three words away at most.
+    """
 
     def read(t: Column) -> Column:
         said = F.regexp_extract(t, r"edad\s*:?\s*(\d{1,3})", 1)
-        years = r"(\d{1,3})\s*anos"
-        # Time gone by is struck out before the first years are read.
-        rest = F.regexp_replace(t, r"\b(?:hace|lleva|desde|por)\b(?:\s+\w+){0,3}?\s*\d{1,3}\s*anos", " ")
-        return F.when(said != "", said).otherwise(F.regexp_extract(rest, years, 1))
+        years = r"\d{1,3}\s*anos"
+        before = F.split(t, years)
+        head = F.slice(before, F.lit(1), F.size(before) - 1)
+        spread = F.zip_with(head, F.regexp_extract_all(t, F.lit(f"({years})"), F.lit(1)), lambda h, m: F.struct(h.alias("h"), m.alias("m")))
+        first = F.struct(F.lit("").alias("s"), F.lit("").alias("age"))
+
+        def step(acc: Column, x: Column) -> Column:
+            gone = F.right(F.concat(acc["s"], x["h"]), F.lit(30)).rlike(GONE_BY)
+            found = F.when((acc["age"] == "") & ~gone, F.regexp_extract(x["m"], r"\d{1,3}", 0)).otherwise(acc["age"])
+            return F.struct(F.right(F.concat(acc["s"], x["h"], x["m"]), F.lit(60)).alias("s"), found.alias("age"))
+
+        return F.when(said != "", said).otherwise(F.aggregate(spread, first, step)["age"])
 
     return once(F.lower(plain_letters(text)), read)
 

@@ -10,8 +10,9 @@ from ..operators import corridors as K
 from ..operators import parts as P
 from ..operators import registration as R
 from ..operators import scenarios as Z
+from ..sources import exports as X
 from ..sources.tables import table
-from .common import rounded, site_sql, sites
+from .common import FLIGHTS, flights, rounded, site_sql, sites
 
 SQL: dict[str, str] = {}
 _EDGE = ("ax", "ay", "bx", "by")
@@ -178,4 +179,41 @@ SQL["common_heights"] = f"""WITH {site_sql("supplier")}, v AS (SELECT id, balanc
  j AS (SELECT v.*, o, a, tu, CASE WHEN datum IS NULL THEN 'UNKNOWN_DATUM' WHEN datum = 'MSL_ASSUMED' THEN 'ASSUMED_DATUM' WHEN datum = 'PRVD02' THEN 'SAME_REFERENCE' WHEN k IS NULL THEN 'NO_TRANSFORM' WHEN k > 1 THEN 'AMBIGUOUS' ELSE 'TRANSFORMED' END AS state FROM v LEFT JOIN m USING (id))
  SELECT id, round(CASE state WHEN 'SAME_REFERENCE' THEN up WHEN 'TRANSFORMED' THEN up+o END,6) AS elevation, round(CASE state WHEN 'SAME_REFERENCE' THEN u WHEN 'TRANSFORMED' THEN sqrt(u*u+tu*tu) END,6) AS uncertainty, state, CASE WHEN state = 'TRANSFORMED' THEN a END AS authority FROM j"""
 
-QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights)}
+
+def _flown(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("flight_id")
+    f = flights(spark, sf).select(
+        k, F.when(k % 5 > 0, F.col("callsign")).alias("callsign"), F.col("origin").alias("origin_airport"), F.col("dest").alias("destination_airport"), F.col("takeoff").cast("string").alias("takeoff_time"), F.col("minutes").alias("flight_duration_minutes"),
+        F.col("mission").alias("mission_type"), F.when(k % 7 > 0, F.col("origin_lon")).alias("origin_lon"), "origin_lat", "dest_lon", F.when(k % 11 > 0, F.col("dest_lat")).otherwise(0.0).alias("dest_lat"),
+    )
+    return f
+
+
+def _images(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("event_id")
+    return table(spark, sf, "events").select(F.format_string("S%08d", k).alias("screenshot_id"), F.col("user_id").cast("string").alias("flight_id"), F.concat(F.lit("/img/"), k.cast("string")).alias("image_path"), F.when(k % 3 > 0, (k % 100) / 100.0).alias("ocr_confidence"), F.when(k % 4 == 0, "manual").alias("coordinate_method"), F.when(k % 2 == 0, 0.0).otherwise(0.9).alias("coordinate_confidence"))
+
+
+def airspace_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Flights as they are exported, with their first image."""
+    return X.airspace_events(_flown(spark, sf), _images(spark, sf)).select("flight_id", "callsign", "operator", "takeoff_time", "flight_duration_minutes", "origin_lon", "dest_lat", "screenshot_id", "source_path", "ocr_confidence", "coordinate_method", "coordinate_confidence", "review_status")
+
+
+_IMG = """img AS (SELECT min(event_id) AS e, CAST(user_id AS VARCHAR) AS of FROM events GROUP BY user_id)"""
+SQL["airspace_events"] = f"""WITH {FLIGHTS}, {_IMG} SELECT CAST(flight_id AS VARCHAR) AS flight_id, CASE WHEN flight_id % 5 > 0 THEN callsign ELSE '' END AS callsign, '' AS operator, CAST(takeoff AS VARCHAR) AS takeoff_time, minutes AS flight_duration_minutes,
+ CASE WHEN flight_id % 7 > 0 THEN origin_lon ELSE 0.0 END AS origin_lon, CASE WHEN flight_id % 11 > 0 THEN dest_lat ELSE 0.0 END AS dest_lat, coalesce(printf('S%08d', e), '') AS screenshot_id, coalesce('/img/' || e, '') AS source_path,
+ CASE WHEN e % 3 > 0 THEN (e % 100)/100.0::DOUBLE ELSE 0.0 END AS ocr_confidence, CASE WHEN e % 4 = 0 THEN 'manual' ELSE 'fixed_pr_bounds' END AS coordinate_method, CASE WHEN e % 2 = 1 THEN 0.9::DOUBLE ELSE 0.65::DOUBLE END AS coordinate_confidence, 'pending' AS review_status
+ FROM flights LEFT JOIN img ON of = CAST(flight_id AS VARCHAR)"""
+
+
+def airspace_airports(spark: SparkSession, sf: str) -> DataFrame:
+    """Each airport once, where the first flight that names it puts it."""
+    return rounded(X.airports(_flown(spark, sf), _images(spark, sf)).select("feature_id", "name", "lon", "lat", "screenshot_id"), "lon", "lat")
+
+
+SQL["airspace_airports"] = f"""WITH {FLIGHTS}, {_IMG}, e AS (SELECT CAST(flight_id AS VARCHAR) AS f, 0 AS k, 'origin_' || origin AS feature_id, origin AS name, origin_lon AS lon, origin_lat AS lat FROM flights WHERE flight_id % 7 > 0
+ UNION ALL SELECT CAST(flight_id AS VARCHAR), 1, 'dest_' || dest, dest, dest_lon, dest_lat FROM flights WHERE flight_id % 11 > 0),
+ r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY f, k) AS n FROM e WHERE lon <> 0 AND lat <> 0)
+ SELECT feature_id, name, round(lon,6) AS lon, round(lat,6) AS lat, coalesce(printf('S%08d', img.e), '') AS screenshot_id FROM r LEFT JOIN img ON of = f WHERE n = 1"""
+
+QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights, airspace_events, airspace_airports)}

@@ -181,17 +181,25 @@ SQL["turn_texts"] = r"""SELECT conv_id, turn, md5(substr(regexp_replace(regexp_r
  md5(CASE WHEN length(text) > 50 THEN substr(text, 1, 50) || chr(10) || '... [context truncated]' ELSE text END) AS context_md5 FROM conversations"""
 
 
-CASES = ["Fue hallada sana y salva, edad 34", "No ha sido localizada; tiene 12 años", "Encontrado fallecido tras buscarlo hace 5 años", "Lleva 3 años perdida; tiene 40 años", "Aún no la han encontrado", "Cadáver hallado. Edad: 61"]
+CASES = ["Fue hallada sana y salva, edad {a}", "No ha sido localizada; tiene {a} años", "Encontrado fallecido tras buscarlo hace {b} años", "Lleva casi {b} años perdida, dijo ayer su madre; cumplía {a} años", "Aún no la han encontrado", "Cadáver hallado. Edad: {a}", "Desapareció hace {b} años tiene {a} años", "Desde hace unos {b} años; el joven de {a} años, o {b} años"]
+STATES = ["resolved_alive", "active", "resolved_deceased", "active", "active", "resolved_deceased", "active", "active"]
 
 
 def case_fields(spark: SparkSession, sf: str) -> DataFrame:
-    """Status and age of reports; the SQL has what a reader takes from each sentence."""
+    """Status and age of reports whose sentences name one or two numbers of years."""
     k = F.col("c_custkey")
-    c = table(spark, sf, "customer").select(k.alias("id"), F.when(k % 7 < 6, F.element_at(F.array(*map(F.lit, CASES)), (k % 7 % 6 + 1).cast("int"))).alias("text"))
+    text = F.when(k % 9 < 8, F.element_at(F.array(*map(F.lit, CASES)), (k % 9 % 8 + 1).cast("int")))
+    text = F.replace(F.replace(text, F.lit("{a}"), _text(k % 97)), F.lit("{b}"), _text(k % 31))
+    c = table(spark, sf, "customer").select(k.alias("id"), text.alias("text"))
     return c.select("id", normal.case_status(F.col("text")).alias("status"), normal.age(F.col("text")).alias("age"))
 
 
-SQL["case_fields"] = """SELECT c_custkey AS id, ['resolved_alive','active','resolved_deceased','active','active','resolved_deceased','active'][c_custkey%7+1] AS status, ['34','12','','40','','61',''][c_custkey%7+1] AS age FROM customer"""
+# The rule for years is computed: all numbers of years in turn, and for each what stands in the 30 characters before it.
+SQL["case_fields"] = f"""WITH c AS (SELECT c_custkey AS id, CASE WHEN c_custkey%9 < 8 THEN replace(replace({CASES}[c_custkey%9+1], '{{a}}', CAST(c_custkey%97 AS VARCHAR)), '{{b}}', CAST(c_custkey%31 AS VARCHAR)) END AS t FROM customer),
+ p AS (SELECT id, lower(strip_accents(t)) AS t, regexp_split_to_array(lower(strip_accents(t)), '[0-9]{{1,3}}\\s*anos') AS h, regexp_extract_all(lower(strip_accents(t)), '[0-9]{{1,3}}\\s*anos') AS m FROM c),
+ w AS (SELECT id, i, regexp_extract(m[i], '[0-9]+') AS n, right(list_reduce(list_prepend('', list_transform(range(1, i+1), lambda j: h[j] || CASE WHEN j < i THEN m[j] ELSE '' END)), lambda x, y: x || y), 30) AS before FROM (SELECT *, unnest(range(1, len(m)+1)) AS i FROM p)),
+ a AS (SELECT id, min_by(n, i) AS n FROM w WHERE NOT regexp_matches(before, '\\b(hace|lleva|desde|por)\\b(\\s+\\w+){{0,3}}\\s*$') GROUP BY id)
+ SELECT id, CASE WHEN t IS NULL THEN 'active' ELSE {STATES}[id%9+1] END AS status, CASE WHEN t IS NULL THEN '' WHEN regexp_matches(t, 'edad\\s*:?\\s*[0-9]') THEN regexp_extract(t, 'edad\\s*:?\\s*([0-9]{{1,3}})', 1) ELSE coalesce(a.n, '') END AS age FROM p LEFT JOIN a USING (id)"""
 
 
 def polygon_pairs(spark: SparkSession, sf: str) -> DataFrame:

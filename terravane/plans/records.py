@@ -204,12 +204,13 @@ SQL["name_links"] = f"""WITH t AS (SELECT p_partkey AS id, list_distinct(list_fi
 
 def linkage_groups(spark: SparkSession, sf: str) -> DataFrame:
     rows = sites(spark, sf).select("id", F.concat(F.lit("src"), (F.col("id") % 3).cast("string")).alias("source"), "lon", "lat", "nation", F.floor("balance").cast("long").alias("b"))
-    return rounded(L.linkage_groups(rows, F.concat_ws("|", F.col("nation").cast("string"), F.floor(F.col("b") / 500).cast("string"))), "box_km", places=4)
+    return L.linkage_groups(rows, F.concat_ws("|", F.col("nation").cast("string"), F.floor(F.col("b") / 500).cast("string")))
 
 
 SQL["linkage_groups"] = f"""WITH {site_sql()}, k AS (SELECT *, CAST(nation AS VARCHAR) || '|' || CAST(CAST(floor(floor(balance)/500) AS BIGINT) AS VARCHAR) AS k, id%3 AS src FROM sites),
- g AS (SELECT k, count(*) AS n_rows, count(DISTINCT src) AS n_sources, min(lon) AS a, max(lon) AS b, min(lat) AS c, max(lat) AS d FROM k GROUP BY k HAVING count(*) >= 2 AND count(DISTINCT src) >= 2)
- SELECT substr(sha256(k),1,12) AS group_id, n_rows, n_sources, round({hav_sql("a", "c", "b", "d", geo.EARTH_M)}/1000.0,4) AS box_km FROM g"""
+ g AS (SELECT k, count(*) AS n_rows, count(DISTINCT src) AS n_sources FROM k GROUP BY k HAVING count(DISTINCT src) >= 2),
+ f AS (SELECT a.k, round(max({hav_sql("a.lon", "a.lat", "b.lon", "b.lat", geo.EARTH_M)})/1000.0,3) AS far FROM k a JOIN k b ON a.k = b.k AND a.id < b.id GROUP BY a.k)
+ SELECT id, substr(sha256(k),1,12) AS group_id, n_rows::BIGINT AS n_rows, n_sources, far AS disagreement_km FROM k JOIN g USING (k) LEFT JOIN f USING (k)"""
 
 
 def redacted_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -139,3 +139,58 @@ def test_heights_are_moved_or_refused(spark):
     refused = {3: "NO_TRANSFORM", 4: "NO_TRANSFORM", 5: "ASSUMED_DATUM", 6: "UNKNOWN_DATUM", 7: "NOT_A_NUMBER", 8: "NOT_A_NUMBER", 9: "AMBIGUOUS", 10: "UNKNOWN_DATUM", 11: "NOT_A_NUMBER"}
     assert {k: (None, None, s, None) for k, s in refused.items()}.items() <= got.items()
     assert got[1] == (5.0, 0.3, "SAME_REFERENCE", None) and got[2][0] == -5.25 and got[2][1] == pytest.approx(0.5) and got[2][2:] == ("TRANSFORMED", "agency")
+
+
+def test_exports_fill_what_is_missing(spark, tmp_path):
+    from terravane.sources import exports as X
+
+    flights = spark.createDataFrame([("f1", "N1", "SJU", "BQN", 18.4, -66.0, 18.5, -67.1, 50), ("f2", None, "SJU", "", 1.0, 2.0, 0.0, -67.0, None)], "flight_id string, callsign string, origin_airport string, destination_airport string, origin_lat double, origin_lon double, dest_lat double, dest_lon double, flight_duration_minutes int")
+    images = spark.createDataFrame([("s2", "f1", "N1", "/b", None, 0.0), ("s1", "f1", "N1", "/a", 0.5, 0.8), ("s3", "", "N9", "/c", 0.1, 0.1)], "screenshot_id string, flight_id string, callsign string, image_path string, ocr_confidence double, coordinate_confidence double")
+    profiles = spark.createDataFrame([("N1", 7), ("N9", None)], "callsign string, total_flights long")
+    alerts = spark.createDataFrame([("a1", "f1"), ("a2", "zz")], "alert_id string, flight_id string")
+    tables = {"flights": flights, "screenshots": images, "aircraft_profiles": profiles, "alerts": alerts, "track_points": spark.createDataFrame([(1, "f2")], "id long, flight_id string"), "mission_scores": spark.createDataFrame([("f1", 0.5)], "flight_id string, total_score double")}
+    manifest = X.export_all(tables, f"file://{tmp_path}/out")
+    assert {r["stream"] for r in manifest.collect()} == {"airports", "route_lines"}
+    read = lambda n: spark.read.parquet(f"file://{tmp_path}/out/{n}").collect()
+    events = {r["flight_id"]: r for r in read("airspace_events")}
+    assert events["f1"]["screenshot_id"] == "s1" and events["f1"]["source_path"] == "/a" and events["f1"]["coordinate_confidence"] == 0.8 and events["f1"]["operator"] == ""
+    assert events["f2"]["screenshot_id"] == "" and events["f2"]["coordinate_confidence"] == 0.65 and events["f2"]["flight_duration_minutes"] == 0 and events["f2"]["callsign"] == ""
+    assert {r["screenshot_id"]: r["coordinate_confidence"] for r in read("screenshot_evidence")} == {"s1": 0.8, "s2": 0.65, "s3": 0.1}
+    assert {r["callsign"]: (r["flight_count"], r["screenshot_id"]) for r in read("aircraft_profiles")} == {"N1": (7, "s1"), "N9": (0, "")}
+    assert {r["alert_id"]: r["screenshot_id"] for r in read("anomaly_index")} == {"a1": "s1", "a2": ""} and read("mission_inferences")[0]["total_score"] == 0.5 and read("track_points")[0]["latitude"] == 0.0
+    assert [tuple(r)[:4] for r in X.airports(flights, images).orderBy("name").collect()] == [("dest_BQN", "BQN", -67.1, 18.5), ("origin_SJU", "SJU", -66.0, 18.4)]
+    (route,) = X.routes(flights, images).collect()
+    assert route["flight_id"] == "f1" and [tuple(p) for p in route["points"]] == [(-66.0, 18.4), (-67.1, 18.5)]
+
+
+def test_ages_and_time_gone_by(spark):
+    from pyspark.sql import functions as F
+
+    from terravane.functions import normal
+
+    want = {
+        "hace 5 años tiene 40 años": "", "Hace 5 años, dicen que ella tiene ya cumplidos 40 años": "40", "lleva casi 3 años perdida": "", "tiene 12 años": "12", "edad: 7, hace 3 años": "7", "desde hace unos 5 años y 30 años": "30", "por fin a sus 20 años": "", "120 años": "120", "2005 años": "005", "": "",
+        "hace mucho tiempo que no se sabe nada, 33 años": "33",
+    }
+    df = spark.createDataFrame([(t,) for t in want], "t string")
+    assert {r["t"]: r["a"] for r in df.select("t", normal.age(F.col("t")).alias("a")).collect()} == want
+
+
+def test_farthest_places_equal_all_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from terravane.operators import linkage
+
+    rng = random.Random(8)
+    rows = [(i, f"s{i % 3}", f"k{i % 9}", -66.0 + rng.uniform(-8, 8), 18.0 + rng.uniform(-8, 8)) for i in range(300)] + [(400, "s1", "two", 1.0, 2.0), (401, "s2", "two", None, 2.0), (402, "s1", "one", 1.0, 2.0), (403, "s1", "one", 3.0, 2.0), (404, "s1", None, 1.0, 1.0), (405, "s2", "same", 5.0, 5.0), (406, "s3", "same", 5.0, 5.0)]
+    got = {r["id"]: r for r in linkage.linkage_groups(spark.createDataFrame(rows, "id long, source string, k0 string, lon double, lat double"), F.col("k0")).collect()}
+    assert set(got) == {*range(300), 400, 401, 405, 406} and got[400]["disagreement_km"] is None and got[405]["disagreement_km"] == 0.0
+
+    def km(a, b):
+        p, q = math.radians(b[4] - a[4]) / 2, math.radians(b[3] - a[3]) / 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(math.sin(p) ** 2 + math.cos(math.radians(a[4])) * math.cos(math.radians(b[4])) * math.sin(q) ** 2))
+
+    for g in range(9):
+        own = [r for r in rows[:300] if r[2] == f"k{g}"]
+        assert got[own[0][0]]["disagreement_km"] == pytest.approx(max(km(a, b) for a in own for b in own), abs=6e-4)
+        assert got[own[0][0]]["n_rows"] == len(own) and got[own[0][0]]["n_sources"] == len({r[1] for r in own})
