@@ -6,6 +6,7 @@ of places at their ends, and positional duplicates go by a greedy rule within co
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,38 +57,68 @@ def places(points: DataFrame, cell: float = 0.05) -> DataFrame:
     return g.drop("xx", "yy", "xy").withColumn("confidence", overall).withColumn("priority", band(F.col("confidence"), [(0.7, "HIGH"), (0.4, "MEDIUM")], "LOW"))
 
 
+#: Distinct end points of flights in one task of corridors(), and places whose flights it sums at a time.
+END_POINTS, PLACES = 1024, 1024
+PARTED = 32_768
+
+
+def _summed(kind: str):
+    """Flights from place a to end point (x, y), and the places b around end points, to flights from a to b: one product of matrices."""
+
+    def run(flown: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        ends, b_end = np.unique(around["plon"].to_numpy() + 1j * around["plat"].to_numpy(), return_inverse=True)
+        places, b_place = np.unique(around["place"].to_numpy(), return_inverse=True)
+        starts, a_place = np.unique(flown["a"].to_numpy(), return_inverse=True)
+        at = flown["plon"].to_numpy() + 1j * flown["plat"].to_numpy()
+        known = np.isin(at, ends)
+        at, a_place, n = np.searchsorted(ends, at[known]), a_place[known], flown["n"].to_numpy(float)[known]
+        near = np.zeros((len(ends), len(places)))
+        near[b_end, b_place] = 1.0
+        order = np.argsort(a_place, kind="stable")
+        out = []
+        for low in range(0, len(starts), PLACES):
+            some = order[np.searchsorted(a_place[order], low) : np.searchsorted(a_place[order], low + PLACES)]
+            from_a = np.zeros((min(PLACES, len(starts) - low), len(ends)))
+            np.add.at(from_a, (a_place[some] - low, at[some]), n[some])
+            total = from_a @ near
+            i, j = np.nonzero(total)
+            out.append(pd.DataFrame({"origin": starts[low + i], "dest": places[j], "n": total[i, j].astype(np.int64)}))
+        return pd.concat(out) if out else pd.DataFrame({"origin": starts[:0], "dest": starts[:0], "n": np.zeros(0, np.int64)})
+
+    return run, f"origin {kind}, dest {kind}, n long"
+
+
 def corridors(found: DataFrame, flights: DataFrame, near: float = 0.1) -> DataFrame:
     """Pairs of places (id, lon, lat) that two flights or more connect in either direction, within `near` degrees.
 
-    Flights are counted by their pair of end points, each distinct end point meets the places in its cell and the
-    eight around it once, and end points with the same places around them are then one. What is expanded to pairs
-    of places grows with the places and not with the flights; no pair is tried that no flight connects.
+    Flights are counted by their pair of end points. Each is given the places around its origin, and what then leaves
+    one place for one end point is summed. Of the destinations' side nothing is spelled out: end points of one cell
+    meet the places around them as matrices, at most END_POINTS of them and about PARTED places of origin in a task,
+    however many flights they end.
     """
     side = lambda c: F.sequence(F.floor(F.col(c) / near) - 1, F.floor(F.col(c) / near) + 1)
     spread = found.select(F.col("id").alias("place"), "lon", "lat", F.explode(side("lon")).alias("x"), side("lat").alias("ys")).select("place", "lon", "lat", "x", F.explode("ys").alias("y"))
     ends = ["origin_lon", "origin_lat", "dest_lon", "dest_lat"]
-    counted = flights.where(" and ".join(f"{c} is not null" for c in ends)).groupBy(*ends).agg(F.count(F.lit(1)).alias("n"))
-
-    def point(prefix: str) -> DataFrame:
-        return counted.select(F.col(f"{prefix}_lon").alias("plon"), F.col(f"{prefix}_lat").alias("plat"))
-
-    at = point("origin").union(point("dest")).distinct().withColumns({"x": F.floor(F.col("plon") / near), "y": F.floor(F.col("plat") / near)})
-    hit = at.join(spread, ["x", "y"]).where((F.abs(F.col("plon") - F.col("lon")) <= near) & (F.abs(F.col("plat") - F.col("lat")) <= near))
-    around = hit.groupBy("plon", "plat").agg(F.array_sort(F.collect_list("place")).alias("near"))
-    # Of end points with the same places around them, the least stands for all.
-    named = around.withColumn("rep", F.min(F.struct("plon", "plat")).over(Window.partitionBy("near")))
-    reps = named.select(F.col("rep.plon").alias("plon"), F.col("rep.plat").alias("plat"), "near").distinct()
-    rep_of = lambda p: named.select(F.col("plon").alias(f"{p}_lon"), F.col("plat").alias(f"{p}_lat"), F.col("rep").alias(p))
-    alike = counted.join(rep_of("origin"), ["origin_lon", "origin_lat"]).join(rep_of("dest"), ["dest_lon", "dest_lat"]).groupBy("origin", "dest").agg(F.sum("n").alias("n"))
-
-    def spelled(df: DataFrame, p: str) -> DataFrame:
-        """df with a row for each place around its end point p, in p's stead."""
-        own = reps.select(F.col("plon").alias("rlon"), F.col("plat").alias("rlat"), "near")
-        keep = [c for c in df.columns if c != p]
-        return df.join(own, (F.col(f"{p}.plon") == F.col("rlon")) & (F.col(f"{p}.plat") == F.col("rlat"))).select(*keep, F.explode("near").alias(p))
-
-    one = spelled(alike, "origin").groupBy("origin", "dest").agg(F.sum("n").alias("n"))
-    both = spelled(one, "dest").where("origin <> dest")
+    counted = flights.where(" and ".join(f"{c} is not null" for c in ends)).groupBy(*(F.col(c).cast("double").alias(c) for c in ends)).agg(F.count(F.lit(1)).alias("n"))
+
+    def hits(points: DataFrame) -> DataFrame:
+        at = points.withColumns({"x": F.floor(F.col("plon") / near), "y": F.floor(F.col("plat") / near)})
+        return at.join(spread, ["x", "y"]).where((F.abs(F.col("plon") - F.col("lon")) <= near) & (F.abs(F.col("plat") - F.col("lat")) <= near)).select("plon", "plat", "x", "y", "place")
+
+    point = lambda p: counted.select(F.col(f"{p}_lon").alias("plon"), F.col(f"{p}_lat").alias("plat")).distinct()
+    leaving = hits(point("origin")).select(F.col("plon").alias("origin_lon"), F.col("plat").alias("origin_lat"), F.col("place").alias("a"))
+    flown = counted.join(leaving, ["origin_lon", "origin_lat"]).groupBy("a", F.col("dest_lon").alias("plon"), F.col("dest_lat").alias("plat")).agg(F.sum("n").alias("n"))
+    arriving = point("dest").withColumns({"x": F.floor(F.col("plon") / near), "y": F.floor(F.col("plat") / near)})
+    cuts = arriving.groupBy("x", "y").agg(F.ceil(F.count(F.lit(1)) / END_POINTS).alias("cuts"))
+    cut = F.pmod(F.xxhash64("plon", "plat"), F.col("cuts"))
+    dealt = flown.withColumns({"x": F.floor(F.col("plon") / near), "y": F.floor(F.col("plat") / near)}).join(cuts, ["x", "y"]).select("x", "y", cut.alias("cut"), "a", "plon", "plat", "n")
+    around = hits(point("dest")).join(cuts, ["x", "y"]).select("x", "y", cut.alias("cut"), "plon", "plat", "place")
+    # With very many places a task sums the flights from a part of them only.
+    parts = max(1, -(-found.count() // PARTED))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(parts)))
+    around = around.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    key = ["x", "y", "cut", "part"]
+    both = dealt.groupBy(*key).cogroup(around.groupBy(*key)).applyInPandas(*_summed(dict(found.dtypes)["id"])).where("origin <> dest")
     pairs = both.groupBy(F.least("origin", "dest").alias("place_a"), F.greatest("origin", "dest").alias("place_b")).agg(F.sum("n").alias("connecting")).where("connecting >= 2")
     a = found.select(F.col("id").alias("place_a"), F.col("lon").alias("lon_a"), F.col("lat").alias("lat_a"))
     b = found.select(F.col("id").alias("place_b"), F.col("lon").alias("lon_b"), F.col("lat").alias("lat_b"))

@@ -197,3 +197,34 @@ def test_streams(spark, tmp_path):
     q = stream.without_repeats(a).writeStream.format("memory").queryName("kept").option("checkpointLocation", f"{tmp_path}/c2").trigger(availableNow=True).start()
     assert q.awaitTermination(60)
     assert sorted(r["callsign"] for r in spark.table("kept").collect()) == [1, 2]
+
+
+def test_route_corridors_equal_all_pairs(spark, monkeypatch):
+    import random
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from terravane.operators import intake
+
+    rng = random.Random(3)
+    spot = lambda: (round(rng.uniform(-66.4, -65.9), 2), round(rng.uniform(18.0, 18.4), 2))
+    places = [(i, *spot()) for i in range(40)]
+    flown = [(*spot(), *spot()) for _ in range(300)]
+    want = Counter()
+    for ox, oy, dx, dy in flown:
+        at = [[i for i, x, y in places if abs(x - px) <= 0.1 and abs(y - py) <= 0.1] for px, py in ((ox, oy), (dx, dy))]
+        for a in at[0]:
+            for b in at[1]:
+                if a != b:
+                    want[min(a, b), max(a, b)] += 1
+    found = spark.createDataFrame(places, "id long, lon double, lat double")
+    flights = spark.createDataFrame([*flown, (None, 1.0, 2.0, 3.0)], "origin_lon double, origin_lat double, dest_lon double, dest_lat double")
+    for ends, some, parts in ((1024, 1024, 32_768), (5, 3, 7)):
+        monkeypatch.setattr(intake, "END_POINTS", ends)
+        monkeypatch.setattr(intake, "PLACES", some)
+        monkeypatch.setattr(intake, "PARTED", parts)
+        got = {(r["place_a"], r["place_b"]): r["connecting"] for r in intake.corridors(found, flights).collect()}
+        assert got == {k: n for k, n in want.items() if n >= 2}
+    named = intake.corridors(found.withColumn("id", F.concat(F.lit("p"), F.col("id").cast("string"))), flights)
+    assert named.count() == sum(n >= 2 for n in want.values()) and intake.corridors(found.limit(0), flights).count() == 0
