@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import coordinates as C
 from ..operators import corridors as K
+from ..operators import linkage as L
 from ..operators import parts as P
 from ..operators import registration as R
 from ..operators import scenarios as Z
@@ -216,4 +217,19 @@ SQL["airspace_airports"] = f"""WITH {FLIGHTS}, {_IMG}, e AS (SELECT CAST(flight_
  r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY f, k) AS n FROM e WHERE lon <> 0 AND lat <> 0)
  SELECT feature_id, name, round(lon,6) AS lon, round(lat,6) AS lat, coalesce(printf('S%08d', img.e), '') AS screenshot_id FROM r LEFT JOIN img ON of = f WHERE n = 1"""
 
-QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights, airspace_events, airspace_airports)}
+
+def project_places(spark: SparkSession, sf: str) -> DataFrame:
+    """customer as projects whose titles name a place, supplier as places with two names."""
+    c, s = sites(spark, sf), sites(spark, sf, "supplier")
+    k = F.col("id")
+    title = F.when(k % 10 == 0, "").when(k % 10 == 1, F.concat(F.lit("SITIO "), (k % 300).cast("string"))).otherwise(F.concat(F.lit("Obras en el Sitio "), (k % 300).cast("string"), F.lit(" Norté")))
+    projects = c.select("id", title.alias("name"), F.when(k % 4 > 0, F.concat(F.lit("M"), (k % 3).cast("string"))).alias("municipality"))
+    references = s.select(F.concat(F.lit("R"), k.cast("string")).alias("ref_id"), (k * 7 % 1001).alias("ord"), F.concat(F.lit("m"), (k % 3).cast("string")).alias("municipality"), F.array(F.concat(F.lit("sitio "), k.cast("string")), F.concat(F.lit("gran sitio "), (k * 2).cast("string"), F.lit(" sur"))).alias("names"))
+    return L.contained_names(projects, references).select("id", "ref_id")
+
+
+SQL["project_places"] = """WITH p AS (SELECT c_custkey AS id, CASE WHEN c_custkey%10 = 0 THEN '' WHEN c_custkey%10 = 1 THEN 'sitio ' || c_custkey%300 ELSE 'obras en el sitio ' || c_custkey%300 || ' norte' END AS t, CASE WHEN c_custkey%4 > 0 THEN c_custkey%3 END AS m FROM customer),
+ r AS (SELECT 'R' || s_suppkey AS ref_id, s_suppkey*7%1001 AS ord, s_suppkey%3 AS m, unnest(['sitio ' || s_suppkey, 'gran sitio ' || s_suppkey*2 || ' sur']) AS n FROM supplier)
+ SELECT id, min_by(ref_id, row(ord, ref_id)) AS ref_id FROM p LEFT JOIN r ON t <> '' AND (p.m IS NULL OR p.m = r.m) AND (contains(t, n) OR contains(n, t)) GROUP BY id"""
+
+QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights, airspace_events, airspace_airports, project_places)}

@@ -194,3 +194,19 @@ def test_farthest_places_equal_all_pairs(spark):
         own = [r for r in rows[:300] if r[2] == f"k{g}"]
         assert got[own[0][0]]["disagreement_km"] == pytest.approx(max(km(a, b) for a in own for b in own), abs=6e-4)
         assert got[own[0][0]]["n_rows"] == len(own) and got[own[0][0]]["n_sources"] == len({r[1] for r in own})
+
+
+def test_contained_names_equal_all_pairs(spark):
+    from terravane.operators import linkage
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randrange(0, 6)))
+    projects = [(i, " ".join((word(), word())), rng.choice(["X", "y", "", None])) for i in range(150)] + [(900, None, "x"), (901, "AB", None), (901, "AB", None)]
+    references = [(f"r{j}", rng.randrange(20), rng.choice(["x", "Y", ""]), [word(), None, word() + " " + word()]) for j in range(25)]
+    plain = lambda t: " ".join((t or "").lower().replace("é", "e").split())
+    want = []
+    for i, t, m in projects:
+        fit = [(o, r) for r, o, m2, names in references if plain(t) and (not plain(m) or plain(m2) == plain(m)) and any(plain(n) and (plain(n) in plain(t) or plain(t) in plain(n)) for n in names)]
+        want.append((i, min(fit)[1] if fit else None))
+    got = linkage.contained_names(spark.createDataFrame(projects, "id long, name string, municipality string"), spark.createDataFrame(references, "ref_id string, ord long, municipality string, names array<string>"))
+    assert sorted(((r["id"], r["ref_id"]) for r in got.collect()), key=repr) == sorted(want, key=repr)
