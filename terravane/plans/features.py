@@ -11,6 +11,7 @@ from ..operators import linkage as L
 from ..operators import parts as P
 from ..operators import registration as R
 from ..operators import scenarios as Z
+from ..operators import vectortiles as V
 from ..sources import exports as X
 from ..sources.tables import table
 from .common import FLIGHTS, flights, rounded, site_sql, sites
@@ -232,4 +233,15 @@ SQL["project_places"] = """WITH p AS (SELECT c_custkey AS id, CASE WHEN c_custke
  r AS (SELECT 'R' || s_suppkey AS ref_id, s_suppkey*7%1001 AS ord, s_suppkey%3 AS m, unnest(['sitio ' || s_suppkey, 'gran sitio ' || s_suppkey*2 || ' sur']) AS n FROM supplier)
  SELECT id, min_by(ref_id, row(ord, ref_id)) AS ref_id FROM p LEFT JOIN r ON t <> '' AND (p.m IS NULL OR p.m = r.m) AND (contains(t, n) OR contains(n, t)) GROUP BY id"""
 
-QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights, airspace_events, airspace_airports, project_places)}
+
+def point_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """customer as points in vector tiles of zoom 12, at most four to a tile, and bytes that they take at least."""
+    p = F.array(F.array(F.struct("lon", "lat")))
+    made = V.tiles(sites(spark, sf).select(F.col("id").alias("feature_id"), F.lit("point").alias("kind"), p.alias("parts"), F.create_map(F.lit("nation"), F.col("nation").cast("string")).alias("properties")), 12, limit=4)
+    return made.select("x", "y", "n_features", (F.octet_length("mvt") > 20 * F.col("n_features")).alias("has_bytes"))
+
+
+SQL["point_tiles"] = f"""WITH {site_sql()}, t AS (SELECT id, floor((lon+180)/360*4096)::BIGINT AS x, floor((1-asinh(tan(radians(lat)))/pi())/2*4096)::BIGINT AS y FROM sites)
+ SELECT x, y, least(4, count(*))::BIGINT AS n_features, true AS has_bytes FROM t GROUP BY ALL"""
+
+QUERIES = {f.__name__: f for f in (area_features, features_near, projected_sites, corridor_candidates, scenario_ranks, image_registrations, common_heights, airspace_events, airspace_airports, project_places, point_tiles)}
