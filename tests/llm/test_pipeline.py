@@ -122,7 +122,7 @@ def test_sql_gives_the_same_rows(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.queries()[name](spark, SF)
     want = con.sql(oracles.SQL[name])

@@ -236,18 +236,3 @@ def test_whitening_of_odd_rows(spark):
     assert by[(20, 1)]["deviation"] is None and by[(21, 1)]["whitened"] is None and by[(None, 1)]["deviation"] == by[(1, 1)]["deviation"]
     huge = whitening.whiten(frame(spark, [(i, [float(i) * 2.0**41], 0) for i in range(5)])).collect()
     assert all(r["whitened"] is not None for r in huge) and {r["deviation"] for r in huge} == {0, None}
-
-
-@pytest.mark.parametrize("name", ["op11_vector_codes", "op12_vector_dups"])
-def test_sql_of_the_queries(spark, name):
-    import duckdb
-
-    from terravane.llm import queries
-
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
-    df = queries.queries()[name](spark, SF)
-    got = sorted((tuple(r[c] for c in sorted(df.columns)) for r in df.collect()), key=repr)
-    sql = con.sql(queries.oracle_sql()[name])
-    order = sorted(range(len(sql.columns)), key=lambda i: sql.columns[i])
-    assert got == sorted((tuple(r[i] for i in order) for r in sql.fetchall()), key=repr)
