@@ -1,5 +1,8 @@
 """Fixed values that results depend on, in one place."""
 
+# The type in which means are taken that must not depend on the order of rows.
+EXACT = "decimal(28,15)"
+
 # Centres of municipalities, (lat, lon).
 MUNICIPAL_CENTRES = [
     (18.4655, -66.1057), (18.0099, -66.6140), (18.4279, -66.7177), (18.4906, -67.1414), (18.3990, -65.9732),

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import geo
+from ..functions import fixed, geo
 from ..functions.texts import hours
 
 # Limits of plausible motion, and of the region's box.
@@ -171,9 +171,12 @@ def hypotheses(points: DataFrame) -> DataFrame:
 
 
 def consensus(frames: DataFrame, fields: list[str], key: str = "callsign") -> DataFrame:
-    """For each key and field the value most frames agree on, ties by mean confidence, then by value."""
+    """For each key and field the value most frames agree on, ties by mean confidence, then by value.
+
+    Means are of decimals (15 places), so that equal ones tie in whatever order frames are added.
+    """
     each = frames.select(key, "confidence", F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields))).alias("v")).select(key, "confidence", "v.*").where("value is not null and value <> ''")
-    votes = each.groupBy(key, "field", "value").agg(F.count(F.lit(1)).alias("n_votes"), F.avg("confidence").alias("mean_confidence"))
+    votes = each.groupBy(key, "field", "value").agg(F.count(F.lit(1)).alias("n_votes"), F.avg(F.col("confidence").try_cast(fixed.EXACT)).alias("mean_confidence"))
     over = Window.partitionBy(key, "field")
     ranked = votes.withColumns({"r": F.row_number().over(over.orderBy(F.desc("n_votes"), F.desc("mean_confidence"), "value")), "n_frames": F.sum("n_votes").over(over)})
     return ranked.where("r = 1").select(key, "field", "value", "n_votes", (F.col("n_votes") / F.col("n_frames")).alias("agreement"))
