@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -85,3 +85,8 @@ def near_sql(lon: str, lat: str, places) -> str:
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
+
+
+def rounded_half(c: Column, places: int) -> Column:
+    """Rounded as the SQL's engine does, after the shift of the point: Spark rounds the shortest decimal that reads as the number, which can lie on the other side of a half."""
+    return F.round(c * float(10**places)) / float(10**places)

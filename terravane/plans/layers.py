@@ -11,7 +11,7 @@ from ..operators import area as R
 from ..operators import intake as I
 from ..operators import joins as J
 from ..sources.tables import table
-from .common import FLIGHTS, POINTS, flights, hav_sql, near_sql, points, rounded, site_sql, sites
+from .common import FLIGHTS, POINTS, flights, hav_sql, near_sql, points, rounded, rounded_half, site_sql, sites
 
 SQL: dict[str, str] = {}
 
@@ -304,7 +304,7 @@ SQL["page_after"] = f"WITH {site_sql()} SELECT id, name FROM sites WHERE id > 40
 
 def ranked_targets(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(F.max("l_discount").alias("max_score"), F.avg("l_quantity").alias("mean_risk"), F.count(F.lit(1)).alias("n_nodes"))
-    score = F.round(0.5 * F.col("max_score") + 0.3 * F.col("mean_risk") / 100.0 + 0.2 * F.least(F.col("n_nodes") / 20.0, F.lit(1.0)), 4)
+    score = rounded_half(0.5 * F.col("max_score") + 0.3 * F.col("mean_risk") / 100.0 + 0.2 * F.least(F.col("n_nodes") / 20.0, F.lit(1.0)), 4)
     return R.rank(rows, score).select("id", "rank_score", F.col("rank").cast("long").alias("rank"))
 
 
