@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..sources.tables import saved
 from . import joins
 
 METRES_PER_NM = geo.EARTH_M / geo.EARTH_NM
@@ -34,9 +35,9 @@ def zone_entries(points: DataFrame, zones: DataFrame, most_nm: float, salts: int
     """
     fits = F.when(F.col("radius_nm") <= most_nm, F.col("radius_nm")).otherwise(F.raise_error(F.lit("a zone is wider than most_nm")))
     known = zones.where("radius_nm is not null").withColumn("radius_nm", fits)
-    met = near_features(points, known, most_nm, salts)
-    own = known.select(F.col("id").alias("feature_id"), "radius_nm")
-    return met.join(own, "feature_id").where("distance_nm <= radius_nm").select("id", "feature_id", "distance_nm")
+    pairs = saved(joins.place_pairs(points, known, most_nm * METRES_PER_NM * (1 + 1e-9), salts).withColumn("distance_nm", F.col("distance_m") / METRES_PER_NM).where(F.col("distance_nm") <= most_nm))
+    met = joins.spelled_places(pairs, points.select("id", "lon", "lat"), known.select("id", "lon", "lat", "radius_nm"))
+    return met.where("distance_nm <= radius_nm").select("id", F.col("other_id").alias("feature_id"), "distance_nm")
 
 
 def line_distance_nm(lon: Column, lat: Column, line: Sequence[float], axes_as_given: bool = False) -> Column:

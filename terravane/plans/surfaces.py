@@ -12,7 +12,7 @@ from ..operators import joins as J
 from ..operators import matching as M
 from ..operators import profiles as P
 from ..operators import terrain as T
-from ..sources.tables import table
+from ..sources.tables import saved, table
 from .common import points, rounded, site_sql, sites
 
 SQL: dict[str, str] = {}
@@ -153,9 +153,9 @@ def match_scores(spark: SparkSession, sf: str) -> DataFrame:
 def ellipsoid_pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Distances on the ellipsoid of pairs within 3 km on the sphere; tests hold the formula against known lines."""
     s, t = sites(spark, sf), sites(spark, sf, "supplier")
-    near = J.within_distance(s, t, 3_000.0)
-    j = near.join(s.select("id", F.col("lon").alias("a"), F.col("lat").alias("b")), "id").join(t.select(F.col("id").alias("other_id"), F.col("lon").alias("c"), F.col("lat").alias("e")), "other_id")
-    return j.select("id", "other_id", F.round(ellipsoidal("a", "b", "c", "e"), 4).alias("metres"))
+    near = J.place_pairs(s, t, 3_000.0)
+    pairs = saved(near.select("place", "other_place", F.round(ellipsoidal("place.lon", "place.lat", "other_place.lon", "other_place.lat"), 4).alias("metres")))
+    return J.spelled_places(pairs, s.select("id", "lon", "lat"), t.select("id", "lon", "lat")).select("id", "other_id", "metres")
 
 
 def kmeans_profiles(spark: SparkSession, sf: str) -> DataFrame:
