@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import saved
+from . import copies
 
 #: What is nearer than this, in the unit of the coordinates, counts as the same place.
 NEAR = 1e-7
@@ -70,16 +71,7 @@ def _cuts(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     return one.unionByName(two)
 
 
-def relations(left: DataFrame, right: DataFrame, cell: float = 0.25) -> DataFrame:
-    """id, other_id and the six predicates as booleans for all pairs of polygons that share a point.
-
-    left and right have polygon_id, ax, ay, bx, by: a row for each edge of closed rings, holes and several parts
-    included (see `joins.boxes_as_edges`). contains and within hold both for equal polygons; crosses is never true
-    between areas. cell should be about the size of a usual polygon: an edge goes to every cell of its box. Rows with
-    nulls, edges without length and repeated rows count as absent; other columns are ignored. Parts thinner than about
-    2e-7 are not seen.
-    """
-    a, b = _edges(left, "id"), _edges(right, "other_id")
+def _relations(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
     pairs = saved(_pairs(a, b, cell))
     cuts = saved(_cuts(a, b, cell).join(pairs, ["id", "other_id"], "left_semi"))
     sided = lambda df, key, side: pairs.join(df, key).select("id", "other_id", F.lit(side).alias("side"), *_EDGE)
@@ -105,6 +97,22 @@ def relations(left: DataFrame, right: DataFrame, cell: float = 0.25) -> DataFram
     return r.select("id", "other_id", F.lit(True).alias("intersects"), F.expr("both and not right_only").alias("contains"), F.expr("both and not left_only").alias("within"), F.expr("not both").alias("touches"), F.lit(False).alias("crosses"), F.expr("both and left_only and right_only").alias("overlaps"))
 
 
+def relations(left: DataFrame, right: DataFrame, cell: float = 0.25) -> DataFrame:
+    """id, other_id and the six predicates as booleans for all pairs of polygons that share a point.
+
+    left and right have polygon_id, ax, ay, bx, by: a row for each edge of closed rings, holes and several parts
+    included (see `joins.boxes_as_edges`). contains and within hold both for equal polygons; crosses is never true
+    between areas. cell should be about the size of a usual polygon: an edge goes to every cell of its box. Rows with
+    nulls, edges without length and repeated rows count as absent; other columns are ignored. Parts thinner than about
+    2e-7 are not seen. Equal outlines are compared once.
+    """
+    a, b = _edges(left, "id"), _edges(right, "other_id")
+    one, same = copies.one_of_each(a, "id", saved(copies.outlines(a, "id", _EDGE)))
+    two, same_b = copies.one_of_each(b, "other_id", saved(copies.outlines(b, "other_id", _EDGE)))
+    pairs = saved(_relations(one, two, cell).withColumnsRenamed({"id": "a", "other_id": "b"}))
+    return copies.spelled_pairs(pairs, same.withColumnRenamed("stands", "a"), same_b.withColumnRenamed("stands", "b"), "a", "b").select("id", "other_id", *PREDICATES)
+
+
 def joined(left: DataFrame, right: DataFrame, predicate: str = "intersects", cell: float = 0.25) -> DataFrame:
     """id and other_id of all pairs for which one of PREDICATES holds; another name raises ValueError."""
     if predicate not in PREDICATES:
