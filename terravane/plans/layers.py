@@ -58,15 +58,18 @@ SQL["route_corridors"] = f"""WITH {FLIGHTS}, {site_sql("supplier")},
  SELECT place_a, place_b, round(lon,6) AS lon, round(lat,6) AS lat, connecting, CASE WHEN connecting >= 5 THEN 'HIGH' WHEN connecting >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS label, {_class_sql("lon", "lat")} AS nearness FROM m"""
 
 
-def _candidates(spark: SparkSession, sf: str) -> DataFrame:
-    """Places, flights, corridors and sites as one relation."""
+def _candidates(spark: SparkSession, sf: str, counted: bool = False) -> DataFrame:
+    """Places, flights, corridors and sites as one relation; counted, with a row for all corridors between two coordinates and n_rows."""
     none = lambda t: F.lit(None).cast(t)
     pins = I.places(points(spark, sf)).select(F.concat_ws("_", F.lit("P"), F.col("lat_cell").cast("string"), F.col("lon_cell").cast("string")).alias("id"), F.lit("poi").alias("kind"), "lon", "lat", "confidence", none("string").alias("corridor_id"), none("long").alias("connecting"), none("double").alias("alignment"))
     f = flights(spark, sf)
     paths = f.select(F.concat(F.lit("F_"), F.col("flight_id").cast("string")).alias("id"), F.lit("ilap").alias("kind"), F.col("origin_lon").alias("lon"), F.col("origin_lat").alias("lat"), ((F.col("flight_id") % 100) / 100.0).alias("confidence"), F.concat(F.lit("ILAP_"), F.col("flight_id").cast("string")).alias("corridor_id"), none("long").alias("connecting"), ((F.col("flight_id") % 100) / 100.0).alias("alignment"))
-    c = I.corridors(sites(spark, sf, "supplier").select("id", "lon", "lat"), f).select(F.concat_ws("_", F.lit("C"), F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("id"), F.lit("corridor").alias("kind"), "lon", "lat", F.least(F.lit(1.0), F.col("connecting") / 5.0).alias("confidence"), F.concat_ws("|", F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("corridor_id"), "connecting", none("double").alias("alignment"))
+    ends = sites(spark, sf, "supplier").select("id", "lon", "lat")
+    pairs = I.corridor_classes(ends, f).withColumnsRenamed({"a": "place_a", "b": "place_b", "n_pairs": "n_rows"}) if counted else I.corridors(ends, f)
+    c = pairs.select(F.concat_ws("_", F.lit("C"), F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("id"), F.lit("corridor").alias("kind"), "lon", "lat", F.least(F.lit(1.0), F.col("connecting") / 5.0).alias("confidence"), F.concat_ws("|", F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("corridor_id"), "connecting", none("double").alias("alignment"), *(["n_rows"] if counted else []))
     s = sites(spark, sf).select(F.concat(F.lit("S_"), F.col("id").cast("string")).alias("id"), F.lit("poi").alias("kind"), "lon", "lat", ((F.col("id") % 97) / 97.0).alias("confidence"), none("string").alias("corridor_id"), none("long").alias("connecting"), none("double").alias("alignment"))
-    return pins.unionByName(paths).unionByName(c).unionByName(s)
+    others = pins.unionByName(paths).unionByName(s)
+    return (others.withColumn("n_rows", F.lit(1).cast("long")) if counted else others).unionByName(c)
 
 
 def intake(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +103,7 @@ SQL["intake"] = f"WITH {_CAND} SELECT id, kind, confidence, nearness, water, uti
 
 
 def gap_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(I.gap_audit(I.context(_candidates(spark, sf))), "share_mbil_0")
+    return rounded(I.gap_audit(I.context(_candidates(spark, sf, counted=True))), "share_mbil_0")
 
 
 SQL["gap_audit"] = f"""WITH {_CAND} SELECT count(*) AS total, count(*) FILTER (corridor_id IS NULL AND kind = 'poi') AS isolated, count(*) FILTER (water='no' AND utility='no') AS no_water_or_utility,
@@ -108,7 +111,8 @@ SQL["gap_audit"] = f"""WITH {_CAND} SELECT count(*) AS total, count(*) FILTER (c
 
 
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return I.distribution(intake(spark, sf), ["tier", "nearness", "terrain", "review_status"])
+    c = I.tiers(I.context(_candidates(spark, sf, counted=True).withColumn("confidence", F.round("confidence", 4))))
+    return I.distribution(c, ["tier", "nearness", "terrain", "review_status"])
 
 
 SQL["tier_distribution"] = f"WITH {_CAND} " + " UNION ALL ".join(f"SELECT '{c}' AS field, {c} AS value, count(*) AS n FROM tiered GROUP BY {c}" for c in ("tier", "nearness", "terrain", "review_status"))
