@@ -55,17 +55,18 @@ def lineage_roots(sources: DataFrame, parents: DataFrame, most_rounds: int = 1_0
     """source and root: the independent roots behind each source of sources (source, root), with parents (source, parent).
 
     A source with parents has the roots of those and not its own; one without has its trimmed root, if any. Unknown
-    parents add nothing, cycles end. Each round follows one link for all sources at once, and pairs seen before go.
+    parents add nothing, cycles end. Roots travel from the ends down to all that derive from them, a link a round, and
+    what a source knows already goes no further: no more is held than the answer, however many ancestors a source has.
     """
     known = sources.select("source", F.nullif(F.trim("root"), F.lit("")).alias("root")).dropDuplicates(["source"])
     links = saved(parents.select("source", "parent").where("parent is not null").distinct().join(known.select("source"), "source", "left_semi"))
-    seen = front = saved(known.select("source", F.col("source").alias("at")))
+    seen = front = saved(known.join(links, "source", "left_anti").where("root is not null").select("source", "root"))
     for k in range(most_rounds):
-        on = links.select(F.col("source").alias("at"), "parent")
-        front = saved(front.join(on, "at").select("source", F.col("parent").alias("at")).distinct().join(seen, ["source", "at"], "left_anti"))
+        # Merged by sorting: small fronts would all be broadcast, round by round, through the driver.
+        on = front.select(F.col("source").alias("parent"), "root").hint("merge")
+        front = saved(links.join(on, "parent").select("source", "root").distinct().join(seen.hint("merge"), ["source", "root"], "left_anti"))
         if front.isEmpty():
-            ends = known.join(links, "source", "left_anti").where("root is not null").select(F.col("source").alias("at"), "root")
-            return seen.join(ends, "at").select("source", "root").distinct()
+            return seen
         # Fronts are saved already, so their union is only a list of files; now and then it becomes one again.
         seen = seen.unionByName(front)
         seen = saved(seen) if k % 20 == 19 else seen
