@@ -93,19 +93,20 @@ def levels(nodes: DataFrame, parents: DataFrame) -> DataFrame:
     Level 0 has no parent; any other is one more than the greatest of its parents'. Null on a cycle and behind one, and
     where a parent is not among the nodes or lies behind such a one. Each round takes off one level.
     """
-    links = saved(parents.select("id", "parent").where("parent is not null").distinct().join(nodes.select("id").distinct(), "id", "left_semi"))
+    links = saved(parents.select("id", "parent").where("parent is not null").distinct().join(nodes.select("id").distinct().hint("merge"), "id", "left_semi"))
     waits = saved(links.groupBy("id").agg(F.count(F.lit(1)).alias("n")))
-    done = front = saved(nodes.select("id").distinct().join(waits, "id", "left_anti").withColumn("level", F.lit(0).cast("long")))
+    done = front = saved(nodes.select("id").distinct().join(waits.hint("merge"), "id", "left_anti").withColumn("level", F.lit(0).cast("long")))
     k = 0
     while not front.isEmpty():
         k += 1
-        off = links.join(front.select(F.col("id").alias("parent")), "parent").groupBy("id").agg(F.count(F.lit(1)).alias("gone"))
-        waits = saved(waits.join(off, "id", "left").select("id", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n")))
+        # Merged by sorting: small fronts would all be broadcast, round by round, through the driver.
+        off = links.join(front.select(F.col("id").alias("parent")).hint("merge"), "parent").groupBy("id").agg(F.count(F.lit(1)).alias("gone"))
+        waits = saved(waits.join(off.hint("merge"), "id", "left").select("id", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n")))
         front = saved(waits.where("n = 0").select("id", F.lit(k).cast("long").alias("level")))
         waits = waits.where("n > 0")
         done = done.unionByName(front)
         done = saved(done) if k % 20 == 0 else done
-    return nodes.select("id").distinct().join(done, "id", "left")
+    return nodes.select("id").distinct().join(done.hint("merge"), "id", "left")
 
 
 # States of a path from the best to the worst, and the class of an edge that makes a path no better.

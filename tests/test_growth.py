@@ -29,3 +29,17 @@ def test_roots_travel_down_and_ancestors_are_not_listed(spark, monkeypatch):
     # 7 to 29 lie on a cycle that both roots reach.
     assert got == sorted([(0, "r0"), *((k, "r1") for k in range(1, 30)), *((k, "r0") for k in range(7, 30))])
     assert max(seen) <= len(got)
+
+
+def broadcasts(df):
+    return df._jdf.queryExecution().toString().count("BroadcastHashJoin")
+
+
+def test_levels_send_no_front_through_the_driver(spark, monkeypatch):
+    sent, step = [], ledger.saved
+    monkeypatch.setattr(ledger, "saved", lambda df: (sent.append(broadcasts(df)), step(df))[1])
+    nodes = spark.range(1, 200)
+    k = F.col("id")
+    got = ledger.levels(nodes, nodes.where("id > 1").select("id", F.floor(k / 2).alias("parent")).union(nodes.where("id = 150").select("id", F.lit(150).cast("long"))))
+    assert broadcasts(got) == 0 and sum(sent) == 0
+    assert {r["id"]: r["level"] for r in got.collect()} == {k: None if k == 150 else k.bit_length() - 1 for k in range(1, 200)}
