@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.texts import band
+from ..sources.tables import saved
 from .joins import ranked_fallback
 
 # Tier limits and weights of the score.
@@ -53,10 +54,28 @@ def fuse(candidates: DataFrame, contracts: DataFrame, max_deg: float = 0.08) ->
 
 
 def profile(records: DataFrame, by: list[str], amount: str = "amount") -> DataFrame:
-    """Count, sum, exact quantiles and maximum of the amounts that are not zero."""
-    q = lambda x: F.expr(f"percentile({amount}, {x})")
+    """Count, sum, exact quantiles and maximum of the amounts that are not zero.
+
+    Distinct amounts are counted and dealt to ranges of groups and amounts. How many lie before a range is known from its
+    neighbours' sums, so the amounts at the quantiles' positions are found without any task that holds a group's values.
+    """
     some = records.where((F.col(amount) != 0) & F.col(amount).isNotNull())
-    return some.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(amount).cast("decimal(28,4)")).cast("double").alias("total"), q(0.5).alias("p50"), q(0.9).alias("p90"), q(0.95).alias("p95"), q(0.99).alias("p99"), F.max(amount).alias("most"))
+    values = some.groupBy(F.struct(*by).alias("g"), F.col(amount).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    values = saved(values.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id()))
+    sums = values.groupBy("g", "part").agg(F.sum("c").alias("c"))
+    all_of = Window.partitionBy("g")
+    ahead = sums.select("g", "part", F.sum("c").over(all_of).alias("n"), (F.sum("c").over(all_of.orderBy("part")) - F.col("c")).alias("ahead"))
+    last = F.col("ahead") + F.sum("c").over(Window.partitionBy("g", "part").orderBy("v"))
+    placed = values.join(ahead, ["g", "part"]).withColumn("last", last)
+    at = {name: (F.col("n") - 1) * x for name, x in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99))}
+    holds = lambda k: F.max(F.when((k < F.col("last")) & (k >= F.col("last") - F.col("c")), F.col("v").cast("double")))
+    found = placed.groupBy("g", "n").agg(
+        F.sum(F.col("v").cast("decimal(28,4)") * F.col("c")).cast("double").alias("total"), F.max("v").alias("most"),
+        *(holds(f(p)).alias(f"{k}_{x}") for k, p in at.items() for f, x in ((F.floor, "low"), (F.ceil, "high"))),
+    )
+    low, high = (lambda k: F.col(f"{k}_low")), (lambda k: F.col(f"{k}_high"))
+    q = lambda k: F.when(F.floor(at[k]) == at[k], low(k)).otherwise((F.ceil(at[k]) - at[k]) * low(k) + (at[k] - F.floor(at[k])) * high(k))
+    return found.select(*(F.col(f"g.{c}").alias(c) for c in by), "n", "total", *(q(k).alias(k) for k in at), "most")
 
 
 def difference(new: DataFrame, old: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -43,3 +43,16 @@ def test_levels_send_no_front_through_the_driver(spark, monkeypatch):
     got = ledger.levels(nodes, nodes.where("id > 1").select("id", F.floor(k / 2).alias("parent")).union(nodes.where("id = 150").select("id", F.lit(150).cast("long"))))
     assert broadcasts(got) == 0 and sum(sent) == 0
     assert {r["id"]: r["level"] for r in got.collect()} == {k: None if k == 150 else k.bit_length() - 1 for k in range(1, 200)}
+
+
+def test_quantiles_are_found_without_holding_a_group(spark):
+    rng = random.Random(5)
+    rows = [(g, rng.choice([0.0, None, *(rng.randint(1, 300) / 4 for _ in range(5))])) for g in ("a", "b", None) for _ in range(700)] + [("c", 2.5)]
+    df = spark.createDataFrame(rows, "g string, amount double").repartition(3)
+    out = contracts.profile(df, ["g"])
+    assert "percentile" not in out._jdf.queryExecution().toString()
+    got = {r["g"]: r for r in out.collect()}
+    want = df.where("amount <> 0").groupBy("g").agg(F.count("*").alias("n"), F.sum(F.col("amount").cast("decimal(28,4)")).cast("double").alias("total"), F.max("amount").alias("most"), *(F.expr(f"percentile(amount, {x})").alias(k) for k, x in (("p50", 0.5), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99)))).collect()
+    assert len(got) == len(want) == 4
+    for w in want:
+        assert [got[w["g"]][k] for k in w.asDict() if k != "g"] == pytest.approx([w[k] for k in w.asDict() if k != "g"], rel=1e-15)
