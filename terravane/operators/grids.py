@@ -92,7 +92,8 @@ def group_scores(nodes: DataFrame, key: str = "cluster") -> DataFrame:
     contradictions takes 10. Lone nodes stay below 30, groups of one role or domain below 70, those without a good tier
     below 85. Empty texts are no values.
     """
-    kinds = lambda c: F.countDistinct(F.nullif(F.col(c), F.lit("")))
+    # Sets go through one shuffle with the other figures; several counts of distinct values would send each row once for every one.
+    kinds = lambda c: F.size(F.collect_set(F.nullif(F.col(c), F.lit("")))).cast("long")
     points = F.coalesce(*(F.when(F.col("tier") == t, v) for t, v in TIER_POINTS.items()), F.lit(0))
     g = nodes.groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), kinds("role").alias("n_roles"), kinds("domain").alias("n_domains"), kinds("function").alias("n_functions"), F.max(points).alias("best"),

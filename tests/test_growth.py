@@ -56,3 +56,11 @@ def test_quantiles_are_found_without_holding_a_group(spark):
     assert len(got) == len(want) == 4
     for w in want:
         assert [got[w["g"]][k] for k in w.asDict() if k != "g"] == pytest.approx([w[k] for k in w.asDict() if k != "g"], rel=1e-15)
+
+
+def test_kinds_of_a_group_are_counted_without_repeating_its_rows(spark):
+    rows = [(1, "a", "x", "", "T1", None), (1, "b", "x", None, "T6", 1), (1, "", "y", "f", "T6", 1), (2, None, None, None, None, None)]
+    got = grids.group_scores(spark.createDataFrame(rows, "cluster long, role string, domain string, function string, tier string, contradictions int"))
+    assert "Expand" not in got._jdf.queryExecution().toString()
+    assert {r["cluster"]: (r["n"], r["n_roles"], r["n_domains"], r["n_functions"]) for r in got.collect()} == {1: (3, 2, 2, 1), 2: (1, 0, 0, 0)}
+    assert dict(got.dtypes)["n_roles"] == "bigint"
