@@ -29,10 +29,14 @@ def components(edges: DataFrame) -> DataFrame:
         now = nxt.select("node", "root")
 
 
+def members(roots: DataFrame) -> DataFrame:
+    """root and size of every component (node, root), with its members in order."""
+    return roots.groupBy("root").agg(F.count(F.lit(1)).alias("n_nodes"), F.array_sort(F.collect_list("node")).alias("nodes"))
+
+
 def chains(edges: DataFrame) -> DataFrame:
     """root and size of every component, with its members in order."""
-    g = components(edges).groupBy("root").agg(F.count(F.lit(1)).alias("n_nodes"), F.array_sort(F.collect_list("node")).alias("nodes"))
-    return g
+    return members(components(edges))
 
 
 def propagate(nodes: DataFrame, edges: DataFrame, decay: float = 0.5, rounds: int = 1) -> DataFrame:
@@ -58,9 +62,9 @@ def simple_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, most:
     return out
 
 
-def degrees(edges: DataFrame) -> DataFrame:
-    """node, out-degree and in-degree over distinct edges."""
-    both = edges.select("u", "v").distinct()
+def degrees(edges: DataFrame, repeated: bool = True) -> DataFrame:
+    """node, out-degree and in-degree over distinct edges; repeated=False says that no edge comes twice, so that none has to be held."""
+    both = edges.select("u", "v").distinct() if repeated else edges
     ends = both.select(F.col("u").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")).union(both.select("v", F.lit(0), F.lit(1)))
     return ends.groupBy("node").agg(F.sum("o").alias("n_out"), F.sum("i").alias("n_in"))
 

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.operators import contracts, evidence, grids, ledger
+from terravane.operators import contracts, evidence, graph, grids, joins, ledger
 
 
 def saved_rows(monkeypatch, module):
@@ -64,3 +64,22 @@ def test_kinds_of_a_group_are_counted_without_repeating_its_rows(spark):
     assert "Expand" not in got._jdf.queryExecution().toString()
     assert {r["cluster"]: (r["n"], r["n_roles"], r["n_domains"], r["n_functions"]) for r in got.collect()} == {1: (3, 2, 2, 1), 2: (1, 0, 0, 0)}
     assert dict(got.dtypes)["n_roles"] == "bigint"
+
+
+def test_chains_of_near_points_list_no_pair_of_points(spark, monkeypatch):
+    seen = saved_rows(monkeypatch, joins)
+    rows = [(k, 0.01 * (k % 3) + (5.0 if k > 60 else 0.0), 0.0) for k in range(80)] + [(80, 9.0, 9.0), (81, None, 0.0)]
+    p = spark.createDataFrame(rows, "id long, lon double, lat double")
+    got = sorted(tuple(r) for r in joins.near_roots(p, 1_200.0).collect())
+    assert max(seen) <= 81
+    want = graph.components(joins.within_distance(p, p, 1_200.0).where("id < other_id").select(F.col("id").alias("u"), F.col("other_id").alias("v")))
+    assert got == sorted(tuple(r) for r in want.collect()) and {r for _, r in got} == {0, 61}
+    assert [(r["root"], r["n_nodes"], r["nodes"][:2]) for r in graph.members(joins.near_roots(p, 1_200.0).withColumnRenamed("id", "node")).orderBy("root").collect()] == [(0, 61, [0, 1]), (61, 19, [61, 62])]
+
+
+def test_degrees_hold_no_edge_where_none_comes_twice(spark):
+    e = spark.createDataFrame([(1, 2), (1, 3), (3, 2)], "u long, v long")
+    aggregates = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("HashAggregate")
+    once = graph.degrees(e, repeated=False)
+    assert aggregates(once) < aggregates(graph.degrees(e))
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, graph.degrees(e.union(e)).collect())) == [(1, 2, 0), (2, 0, 2), (3, 1, 1)]
