@@ -19,8 +19,9 @@ from pyspark.sql.types import DoubleType
 from ..functions import geo
 from ..functions.texts import MARKED, PLAIN
 from ..sources.tables import saved
+from . import copies
 from .graph import components
-from .joins import within_distance
+from .joins import place_pairs
 
 # Words that name the sort of place and not the place.
 GENERIC = ("well", "pozo", "spring", "quarry", "cantera", "pr", "puerto rico")
@@ -92,57 +93,105 @@ def _by_number(records: DataFrame, rules: list) -> DataFrame | None:
     return out
 
 
-def identity_edges(records: DataFrame, rules: list, salts: int = 1) -> DataFrame:
-    """id, other_id, relation, binding, confidence, distance_m and similarity for each pair that a rule joins.
+def _spots(records: DataFrame, names: tuple[str, ...], place: str, key: str) -> DataFrame:
+    """id, place and name key of the records of some sources that have a place."""
+    at = F.struct(F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"))
+    return records.where(F.col("source").isin(*names) & F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", F.struct(at.alias(place), name_key(F.col("name")).alias(key)).alias(key))
 
-    records have id (distinct), source, name, number, lon, lat and ord. Rows without a place meet by number only, and
-    their distance is null. A pair that several rules join has a row for each. salts splits crowded cells.
+
+def _spot_pairs(records: DataFrame, rules: list[PlaceRule], salts: int) -> DataFrame:
+    """rule, a and b (place and name key each), distance_m, similarity and binding of the pairs that rules keep.
+
+    Records with equal places and name keys have equal partners, so one of each is measured and compared.
     """
-    records = records.select("id", "source", "name", "number", "lon", "lat", "ord")
-    places = [r for r in rules if isinstance(r, PlaceRule)]
-    numbers = _by_number(records, [r for r in rules if not isinstance(r, PlaceRule)])
     met = None
-    if numbers is not None:
-        met = numbers.select("id", "other_id", "relation", F.lit(-1).alias("rule"))
-    for k, r in enumerate(places):
-        side = lambda names: records.where(F.col("source").isin(*names))
-        near = within_distance(side(r.left), side(r.right), r.metres, salts=salts).select("id", "other_id", F.lit(None).cast("string").alias("relation"), F.lit(k).alias("rule"))
-        met = near if met is None else met.unionByName(near)
-    if met is None:
-        raise ValueError("no rules")
-    a = records.select("id", name_key(F.col("name")).alias("a"), "lon", "lat")
-    b = records.select(F.col("id").alias("other_id"), name_key(F.col("name")).alias("b"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
-    # least() in the distance passes over nulls, so these have to be kept out.
-    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col("lon2").isNotNull() & F.col("lat2").isNotNull()
-    distance = F.when(placed, geo.haversine(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2")))
-    full = saved(met.join(a, "id").join(b, "other_id").withColumn("distance_m", distance))
-    ratios = full.select("a", "b").distinct().withColumn("similarity", matching_ratio("a", "b"))
-    full = full.join(ratios, ["a", "b"])
+    for k, r in enumerate(rules):
+        left, right = _spots(records, r.left, "place", "a").select("a").distinct(), _spots(records, r.right, "other_place", "b").select("b").distinct()
+        pairs = place_pairs(left.select("a.place.*"), right.select("b.other_place.*"), r.metres, salts)
+        one = pairs.join(left.select("a", "a.place"), "place").join(right.select("b", "b.other_place"), "other_place").select(F.lit(k).alias("rule"), "a", "b", "distance_m")
+        met = one if met is None else met.unionByName(one)
+    met = saved(met.select("*", F.col("a.a").alias("name"), F.col("b.b").alias("name2")))
+    ratios = met.select("name", "name2").distinct().withColumn("similarity", matching_ratio("name", "name2"))
     bound, keep = F.lit(False), F.lit(False)
-    for k, r in enumerate(places):
+    for k, r in enumerate(rules):
         ok = F.lit(False)
         for most, least in r.binds:
             ok = ok | ((F.col("distance_m") <= most) & (F.col("similarity") >= least))
         bound = F.when(F.col("rule") == k, ok).otherwise(bound)
         keep = F.when(F.col("rule") == k, ok | (F.col("distance_m") <= r.candidate_metres)).otherwise(keep)
-    by_number = F.col("rule") < 0
-    binding = by_number | bound
+    return saved(met.join(ratios, ["name", "name2"]).where(keep).select("rule", "a", "b", "distance_m", "similarity", bound.alias("binding")))
+
+
+def _number_edges(records: DataFrame, rules: list) -> DataFrame | None:
+    numbers = _by_number(records, rules)
+    if numbers is None:
+        return None
+    a = records.select("id", name_key(F.col("name")).alias("a"), "lon", "lat")
+    b = records.select(F.col("id").alias("other_id"), name_key(F.col("name")).alias("b"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
+    # least() in the distance passes over nulls, so these have to be kept out.
+    placed = F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col("lon2").isNotNull() & F.col("lat2").isNotNull()
+    distance = F.when(placed, geo.haversine(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2")))
+    full = saved(numbers.join(a, "id").join(b, "other_id").withColumn("distance_m", distance))
+    ratios = full.select("a", "b").distinct().withColumn("similarity", matching_ratio("a", "b"))
     similarity = F.when(F.col("relation") == "DUPLICATE_SOURCE_ROW", 1.0).otherwise(F.col("similarity"))
-    return full.where(by_number | keep).select(
-        "id",
-        "other_id",
-        F.when(by_number, F.col("relation")).when(binding, "GEOMETRY_NAME").otherwise("PROXIMITY_CANDIDATE").alias("relation"),
-        binding.alias("binding"),
-        F.when(by_number, "DIRECT").when(binding, "SUPPORTING").otherwise("CANDIDATE").alias("confidence"),
-        "distance_m",
-        similarity.alias("similarity"),
-    )
+    return full.join(ratios, ["a", "b"]).select("id", "other_id", "relation", F.lit(True).alias("binding"), F.lit("DIRECT").alias("confidence"), "distance_m", similarity.alias("similarity"))
+
+
+def _parted(records: DataFrame, rules: list) -> tuple[DataFrame, list, list]:
+    if not rules:
+        raise ValueError("no rules")
+    places = [r for r in rules if isinstance(r, PlaceRule)]
+    return records.select("id", "source", "name", "number", "lon", "lat", "ord"), [r for r in rules if not isinstance(r, PlaceRule)], places
+
+
+def identity_edges(records: DataFrame, rules: list, salts: int = 1) -> DataFrame:
+    """id, other_id, relation, binding, confidence, distance_m and similarity for each pair that a rule joins.
+
+    records have id (distinct), source, name, number, lon, lat and ord. Rows without a place meet by number only, and
+    their distance is null. A pair that several rules join has a row for each. salts splits crowded cells. Pairs of
+    places and names are judged once and spelled out for their records.
+    """
+    records, numbers, places = _parted(records, rules)
+    out = _number_edges(records, numbers)
+    judged = _spot_pairs(records, places, salts) if places else None
+    for k, r in enumerate(places):
+        right = _spots(records, r.right, "other_place", "b").withColumnRenamed("id", "other_id")
+        near = copies.spelled_pairs(judged.where(F.col("rule") == k), _spots(records, r.left, "place", "a"), right, "a", "b").select(
+            "id", "other_id", F.when(F.col("binding"), "GEOMETRY_NAME").otherwise("PROXIMITY_CANDIDATE").alias("relation"), "binding", F.when(F.col("binding"), "SUPPORTING").otherwise("CANDIDATE").alias("confidence"), "distance_m", "similarity"
+        )
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
+def identity_members(records: DataFrame, rules: list, salts: int = 1) -> DataFrame:
+    """id and canonical, as canonical_records() of all identity_edges() gives them, without spelling those out.
+
+    Where a pair of places and names binds, all records of both are one. So each is linked to the least of its own, and
+    those two to each other.
+    """
+    records, numbers, places = _parted(records, rules)
+    by_number = _by_number(records, numbers)
+    links = None if by_number is None else by_number.select(F.col("id").alias("u"), F.col("other_id").alias("v"))
+    judged = _spot_pairs(records, places, salts).where("binding") if places else None
+    for k, r in enumerate(places):
+        left, right = _spots(records, r.left, "place", "a"), _spots(records, r.right, "other_place", "b")
+        bound = judged.where(F.col("rule") == k).select("a", "b")
+        first = lambda df, c, name: df.groupBy(c).agg(F.min("id").alias(name))
+        across = bound.join(first(left, "a", "u"), "a").join(first(right, "b", "v"), "b").select("u", "v")
+        own = [df.join(bound.select(c).distinct(), c).join(first(df, c, "v"), c).select(F.col("id").alias("u"), "v") for df, c in ((left, "a"), (right, "b"))]
+        for df in (across, *own):
+            links = df if links is None else links.unionByName(df)
+    return _canonical(records, links)
+
+
+def _canonical(records: DataFrame, links: DataFrame) -> DataFrame:
+    return records.select("id").join(components(links).select(F.col("node").alias("id"), "root"), "id", "left").select("id", F.coalesce("root", "id").alias("canonical"))
 
 
 def canonical_records(records: DataFrame, edges: DataFrame) -> DataFrame:
     """id and canonical, the least id that binding edges reach, for every record."""
     bound = edges.where("binding").select(F.col("id").alias("u"), F.col("other_id").alias("v"))
-    return records.select("id").join(components(bound).select(F.col("node").alias("id"), "root"), "id", "left").select("id", F.coalesce("root", "id").alias("canonical"))
+    return _canonical(records, bound)
 
 
 def canonical_assets(records: DataFrame, edges: DataFrame, classes: dict[str, tuple[str, ...]], members: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.operators import contracts, evidence, graph, grids, joins, ledger
+from terravane.operators import contracts, evidence, graph, grids, identity, joins, ledger
 
 
 def saved_rows(monkeypatch, module):
@@ -83,3 +83,19 @@ def test_degrees_hold_no_edge_where_none_comes_twice(spark):
     once = graph.degrees(e, repeated=False)
     assert aggregates(once) < aggregates(graph.degrees(e))
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, graph.degrees(e.union(e)).collect())) == [(1, 2, 0), (2, 0, 2), (3, 1, 1)]
+
+
+def test_equal_names_at_a_place_are_judged_once(spark, monkeypatch):
+    seen = saved_rows(monkeypatch, identity)
+    rows = [(k, "WELLS" if k % 2 else "UTILITY", f"Pozo norte {k // 40}", "7" if k == 90 else None, 0.01 * (k // 40), 0.0, k) for k in range(80)]
+    rows += [(90, "SPRINGS", "x", "7", None, None, 1), (91, "MONITORING", "y", "7", 3.0, 3.0, 2), (92, "WELLS", "z", None, 4.0, 4.0, 3)]
+    df = spark.createDataFrame(rows, "id long, source string, name string, number string, lon double, lat double, ord long")
+    rules = [identity.NumberRule("SPRINGS", "MONITORING"), identity.PlaceRule(("WELLS",), ("UTILITY",), 1_200.0, ((1_200.0, 1.0),), 1_200.0)]
+    edges = identity.identity_edges(df, rules)
+    got = {(r["id"], r["other_id"]): (r["relation"], r["binding"]) for r in edges.collect()}
+    odd, even = range(1, 80, 2), range(0, 80, 2)
+    want = {(i, j): ("GEOMETRY_NAME", True) if i // 40 == j // 40 else ("PROXIMITY_CANDIDATE", False) for i in odd for j in even}
+    assert got == want | {(90, 91): ("AUTHORITATIVE_ID", True)}
+    members = identity.identity_members(df, rules)
+    assert {tuple(r) for r in members.collect()} == {tuple(r) for r in identity.canonical_records(df, edges).collect()}
+    assert max(seen) <= 4
