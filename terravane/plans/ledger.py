@@ -129,7 +129,9 @@ def identity_edges(spark: SparkSession, sf: str) -> DataFrame:
 def identity_assets(spark: SparkSession, sf: str) -> DataFrame:
     """What the records make when those that bind are one."""
     records = _records(spark, sf)
-    return I.canonical_assets(records, I.identity_edges(records, RULES), CLASSES)
+    # Members need no list of pairs, and direct confidence comes by numbers alone.
+    by_number = [r for r in RULES if not isinstance(r, I.PlaceRule)]
+    return I.canonical_assets(records, I.identity_edges(records, by_number), CLASSES, I.identity_members(records, RULES))
 
 
 QUERIES = {f.__name__: f for f in (lineage_faults, lineage_levels, path_states, given_paths, identity_edges, identity_assets)}
