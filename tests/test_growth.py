@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.operators import contracts, evidence, graph, grids, identity, joins, ledger
+from terravane.operators import contracts, copies, evidence, graph, grids, identity, joins, ledger, linkage
 
 
 def saved_rows(monkeypatch, module):
@@ -99,3 +99,15 @@ def test_equal_names_at_a_place_are_judged_once(spark, monkeypatch):
     members = identity.identity_members(df, rules)
     assert {tuple(r) for r in members.collect()} == {tuple(r) for r in identity.canonical_records(df, edges).collect()}
     assert max(seen) <= 4
+
+
+def test_links_of_equal_names_are_spelled_out_in_blocks(spark, monkeypatch):
+    sides, step = [], copies.spelled
+    monkeypatch.setattr(copies, "spelled", lambda x, y, key: (sides.append(key), step(x, y, key))[1])
+    monkeypatch.setattr(copies, "SIDE", 4)
+    monkeypatch.setattr(copies, "TASK", 50)
+    a = spark.createDataFrame([(k, "alpha beta gamma" if k < 20 else "delta") for k in range(22)], "id long, name string")
+    b = spark.createDataFrame([(k, "beta alpha" if k < 20 else "omega") for k in range(25)], "id long, name string")
+    got = [(r["id"], r["other_id"], round(r["similarity"], 6)) for r in linkage.similar_names(a, b, 0.5).collect()]
+    assert sorted(got) == [(i, j, 0.666667) for i in range(20) for j in range(20)]
+    assert sides == ["t2", "t"]
