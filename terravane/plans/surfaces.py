@@ -147,7 +147,7 @@ SQL["match_pairs"] = f"WITH {_PAIRS} SELECT d, l, round(distance,6) AS distance
 def match_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Greedy, so without SQL; tests/test_surfaces.py holds the matching against a plain walk."""
     d, lab = _detections(spark, sf)
-    return M.scores(d, lab, M.one_to_one(M.near_pairs(d, lab, 15.0)))
+    return M.scores(d, lab, M.matched(d, lab, 15.0))
 
 
 def ellipsoid_pairs(spark: SparkSession, sf: str) -> DataFrame:

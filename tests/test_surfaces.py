@@ -114,6 +114,36 @@ def test_one_to_one_is_the_walk_by_distance(spark):
     assert matching.one_to_one(near.where("false")).count() == 0
 
 
+def test_copies_match_by_groups(spark):
+    rng = random.Random(8)
+    spots = [(float(rng.randrange(12)), float(rng.randrange(12))) for _ in range(5)]
+    d = [(i, "ab"[rng.randrange(2)], *rng.choice(spots)) for i in range(24)] + [(500, None, 1.0, 1.0), (501, "a", None, 1.0), (None, "a", 1.0, 1.0)]
+    lab = [(i, "ab"[rng.randrange(2)], *rng.choice(spots), rng.choice((3.0, 6.0))) for i in range(26)] + [(500, "a", 1.0, 1.0, -1.0)]
+    of = lambda d: spark.createDataFrame(d, "d long, class string, x double, y double")
+    ll = spark.createDataFrame(lab, "l long, class string, x double, y double, radius double")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for by_class in (True, False):
+        at = lambda a, b: math.sqrt((a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2)
+        ready = [(a, b) for a in d for b in lab if a[0] is not None and a[2] is not None and (a[1] == b[1] and a[1] is not None or not by_class)]
+        used_d, used_l, want = set(), set(), []
+        for far, i, j in sorted((at(a, b), a[0], b[0]) for a, b in ready if at(a, b) <= b[4]):
+            if i not in used_d and j not in used_l:
+                used_d.add(i), used_l.add(j), want.append((i, j, far))
+        assert len(want) > 10 and rows(matching.matched(of(d), ll, 5.0, by_class)) == sorted(want)
+    twice = [*d[:6], (3, "a", 2.0, 2.0)]
+    assert rows(matching.matched(of(twice), ll, 5.0)) == rows(matching.one_to_one(matching.near_pairs(of(twice), ll, 5.0)))
+    assert matching.matched(of(d).where("false"), ll, 5.0).count() == 0
+
+
+def test_many_copies_need_no_row_for_each_pair(spark):
+    """100,000 equal detections and as many labels are ten thousand million pairs."""
+    n = 100_000
+    d = spark.range(n).selectExpr("id as d", "'a' as class", "1.0D as x", "1.0D as y")
+    lab = spark.range(n).selectExpr("id + 7 as l", "'a' as class", "2.0D as x", "1.0D as y", "5.0D as radius")
+    got = matching.matched(d, lab, 5.0)
+    assert got.count() == n and got.where("l <> d + 7 or distance <> 1.0").count() == 0
+
+
 def test_box_overlaps_come_once(spark):
     rows = lambda k: [(i, float(x), float(x % 7), float(x + 3), float(x % 7 + 4)) for i, x in enumerate(range(k, 30, 2))]
     b, a = rows(0), rows(1)
