@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,7 +91,8 @@ def effective_tiers(assertions: DataFrame, sources: DataFrame) -> DataFrame:
         F.bool_or(F.coalesce("held", F.lit(False)) & (F.coalesce("provenance", F.lit("")) != "UNREGISTERED")).alias("registered"),
         F.bool_or(F.coalesce("direct", F.lit(False))).alias("measured"),
     )
-    j = assertions.join(sums, "source_ids", "left")
+    # Hashed, since sorting all assertions for it would spill.
+    j = assertions.join(sums.hint("shuffle_hash"), "source_ids", "left")
     ok = F.coalesce("all_held", F.lit(False))
     bases = F.transform(F.coalesce("bases", F.array().cast("array<string>")), lambda b: F.lower(F.trim(b)))
     lit = lambda xs: F.array(*(F.lit(x) for x in xs))
@@ -102,19 +105,30 @@ def effective_tiers(assertions: DataFrame, sources: DataFrame) -> DataFrame:
     return j.withColumn("effective", worth).drop("all_held", "registered", "measured")
 
 
+_RUNGS = (("EXISTENCE", ("SUPPORTING", "DIRECT")), ("PHYSICAL_OPENING", ("DIRECT",)), ("ACCESSIBILITY", ("DIRECT",)), ("CONNECTIVITY", ("DIRECT",)))
+
+
+def rung_flags() -> dict[str, Column]:
+    """What a row of (dimension, effective) adds to its feature's rung; any row may set a flag."""
+    of = lambda d, tiers: (F.col("dimension") == d) & F.col("effective").isin(*tiers)
+    return {f"met_{d}": of(d, tiers) for d, tiers in _RUNGS} | {f"against_{d}": of(d, ("CONTRADICTED",)) for d, _ in _RUNGS}
+
+
+def rung_of(has: Callable[[str], Column]) -> Column:
+    """The rung of a feature from its flags: a contradiction is above all tiers, and each rung needs the one below."""
+    rung = F.lit(len(_RUNGS))
+    for i, (d, _) in reversed(list(enumerate(_RUNGS))):
+        rung = F.when(~has(f"met_{d}") | has(f"against_{d}"), i).otherwise(rung)
+    return rung.cast("long")
+
+
 def rungs(worth: DataFrame) -> DataFrame:
     """For each feature of worth (feature, dimension, effective): rung, 0 to 4, and its contradicted dimensions, sorted.
 
     A dimension has its greatest tier, a contradiction before all. The rungs are existence supported, then opening,
     accessibility and connectivity seen directly; each needs the one below.
     """
-    rank = F.array_position(F.array(*(F.lit(t) for t in fixed.TIERS)), F.col("effective"))
-    top = worth.groupBy("feature", "dimension").agg(F.max(rank).alias("r"))
-    pos = {t: i + 1 for i, t in enumerate(fixed.TIERS)}
-    met = lambda dim, tiers: F.coalesce(F.bool_or((F.col("dimension") == dim) & F.col("r").isin([pos[t] for t in tiers])), F.lit(False))
-    g = top.groupBy("feature").agg(
-        met("EXISTENCE", ("SUPPORTING", "DIRECT")).alias("a"), met("PHYSICAL_OPENING", ("DIRECT",)).alias("b"), met("ACCESSIBILITY", ("DIRECT",)).alias("c"), met("CONNECTIVITY", ("DIRECT",)).alias("d"),
-        F.concat_ws(",", F.array_sort(F.collect_set(F.when(F.col("r") == pos["CONTRADICTED"], F.col("dimension"))))).alias("contradicted"),
-    )
-    rung = F.when(~F.col("a"), 0).when(~F.col("b"), 1).when(~F.col("c"), 2).when(~F.col("d"), 3).otherwise(4)
-    return g.select("feature", rung.cast("long").alias("rung"), "contradicted")
+    sums = (F.coalesce(F.bool_or(test), F.lit(False)).alias(name) for name, test in rung_flags().items())
+    against = F.collect_set(F.when(F.col("effective") == "CONTRADICTED", F.col("dimension")))
+    g = worth.groupBy("feature").agg(*sums, F.concat_ws(",", F.array_sort(against)).alias("contradicted"))
+    return g.select("feature", rung_of(F.col).alias("rung"), "contradicted")

@@ -28,43 +28,55 @@ def permitted(features: DataFrame, assertions: DataFrame, cites: DataFrame, obse
     """
     if not producer.strip():
         raise ValueError("the producer has to be named")
+    # All that is said of a feature is a sum over rows of flags, so everything goes to its feature in one narrow shuffle. What
+    # is looked up is hashed, as it is far less than what looks it up: sorting that would spill.
     held_sources = sources.dropDuplicates(["source"]).select("source", "provenance", F.lit(True).alias("held"))
-    known = observations.dropDuplicates(["observation"]).select("observation", F.col("source").alias("o_source"), "located", F.lit(True).alias("o_held"))
-    seen = cites.select("feature", "observation").distinct().join(known, "observation", "left")
-    looks = seen.groupBy("feature").agg(_any(F.col("o_held").isNull()).alias("lost"), _any(F.col("located")).alias("located"))
+    provenance = F.coalesce(F.col("provenance"), F.lit(""))
+    backs = F.coalesce(F.col("held") & (provenance != "UNREGISTERED"), F.lit(False))
+    lists = assertions.select("source_ids").distinct().select("source_ids", F.explode("source_ids").alias("source")).join(held_sources, "source", "left")
+    lists = lists.groupBy("source_ids").agg(_any(backs).alias("backs"), F.collect_set(F.when(provenance != "REGISTERED", F.col("source").cast("string"))).alias("unsure"))
+    known = observations.dropDuplicates(["observation"]).select("observation", F.col("source"), "located", F.lit(True).alias("o_held")).join(held_sources, "source", "left")
+    known = known.select("observation", "o_held", "located", backs.alias("backs"))
 
     dims = ("EXISTENCE", "PHYSICAL_OPENING")
-    carrying = F.col("effective").isin("SUPPORTING", "DIRECT") & F.col("dimension").isin(*dims)
+    is_of = {d: F.col("dimension") == d for d in dims}
+    carrying = F.col("effective").isin("SUPPORTING", "DIRECT")
     independent = (F.col("adjudication") == "ACCEPTED") & (F.col("adjudicator") != "") & (F.trim("adjudicator") != producer.strip())
-    judged = assertions.where(carrying).groupBy("feature").agg(*(_any(F.col("dimension") == d).alias(f"has_{d}") for d in dims), *(_any((F.col("dimension") == d) & independent).alias(f"own_{d}") for d in dims))
-
-    named = assertions.select("feature", "dimension", carrying.alias("carrying"), F.explode("source_ids").alias("source"))
-    # Far fewer (feature, source) pairs than citations are joined with the sources.
-    pairs = named.groupBy("feature", "source").agg(*(_any(F.col("carrying") & (F.col("dimension") == d)).alias(f"in_{d}") for d in dims)).unionByName(
-        seen.where("o_source is not null").select("feature", F.col("o_source").alias("source"), *(F.lit(False).alias(f"in_{d}") for d in dims))
-    )
-    stated = pairs.join(held_sources, "source", "left")
-    loose = F.coalesce(F.col("provenance"), F.lit("")) != "REGISTERED"
-    cited = stated.groupBy("feature").agg(
-        _any(F.col("held") & (F.coalesce("provenance", F.lit("")) != "UNREGISTERED")).alias("backed"),
-        *(F.array_sort(F.collect_set(F.when(F.col(f"in_{d}") & loose, F.concat(F.lit(f"{d} cites source "), F.col("source").cast("string"), F.lit(" whose exact bytes are not registered"))))).alias(f"loose_{d}") for d in dims),
+    told = {
+        "backed": F.col("backs"),
+        **{f"has_{d}": is_of[d] & carrying for d in dims},
+        **{f"own_{d}": is_of[d] & carrying & independent for d in dims},
+        **evidence.rung_flags(),
+    }
+    seen = {"backed": F.col("backs"), "lost": F.col("o_held").isNull(), "located": F.col("located")}
+    bit = {name: 1 << i for i, name in enumerate(["asked", *dict.fromkeys([*told, *seen])])}
+    flags = lambda of: sum((F.when(test, bit[name]).otherwise(0) for name, test in of.items()), F.lit(0)).alias("flags")
+    has = lambda name: F.col("flags").bitwiseAND(bit[name]) != 0
+
+    # Without a feature nothing is said of one.
+    said = assertions.where("feature is not null").join(lists.hint("shuffle_hash"), "source_ids", "left")
+    loose = [F.when(is_of[d] & carrying & (F.size("unsure") > 0), F.col("unsure")).alias(f"loose_{d}") for d in dims]
+    rows = said.select("feature", flags(told), F.when(F.col("effective") == "CONTRADICTED", F.col("dimension")).alias("against"), *loose)
+    looks = cites.where("feature is not null").join(known.hint("shuffle_hash"), "observation", "left").select("feature", flags(seen))
+    rows = rows.unionByName(looks, True).unionByName(features.select("feature", F.lit(bit["asked"]).alias("flags")), True)
+    text = lambda d: lambda source: F.concat(F.lit(f"{d} cites source "), source, F.lit(" whose exact bytes are not registered"))
+    g = rows.repartition("feature").groupBy("feature").agg(
+        F.bit_or("flags").alias("flags"), F.concat_ws(",", F.array_sort(F.collect_set("against"))).alias("contradicted"), *(F.array_sort(F.transform(F.array_distinct(F.flatten(F.collect_set(f"loose_{d}"))), text(d))).alias(f"loose_{d}") for d in dims)
     )
-    j = features.select("feature").distinct()
-    for part in (evidence.rungs(assertions), judged, looks, cited):
-        j = j.join(part, "feature", "left")
-    rung = F.coalesce("rung", F.lit(0))
+    j = g.where(has("asked")).select("feature", "contradicted", *(f"loose_{d}" for d in dims), *(has(name).alias(name) for name in bit), evidence.rung_of(has).alias("rung"))
+    rung = F.col("rung")
     one = lambda c, text: F.when(F.coalesce(c, F.lit(False)), F.array(text)).otherwise(F.array().cast("array<string>"))
     name = F.element_at(F.array(*map(F.lit, fixed.RUNGS)), (rung + 1).cast("int"))
     found = [
         one(rung < 2, F.concat(F.lit("evidence reaches "), name, F.lit("; a verified access point needs a directly observed physical opening"))),
         one(F.col("contradicted") != "", F.concat(F.lit("contradicted dimensions: "), F.replace("contradicted", F.lit(","), F.lit(", ")))),
         one(F.col("lost"), F.lit("feature cites observations the registry does not hold")),
-        one(~F.coalesce("located", F.lit(False)), F.lit("no observation carries source-backed coordinates")),
+        one(~F.col("located"), F.lit("no observation carries source-backed coordinates")),
     ]
     for d in dims:
         found.append(one(F.col(f"has_{d}") & ~F.col(f"own_{d}"), F.lit(f"{d} has no assertion accepted by a reviewer independent of the producer")))
-        found.append(F.coalesce(f"loose_{d}", F.array().cast("array<string>")))
-    out = j.select("feature", F.coalesce("backed", F.lit(False)).alias("backed"), F.concat(*found).alias("blockers"))
+        found.append(F.col(f"loose_{d}"))
+    out = j.select("feature", "backed", F.concat(*found).alias("blockers"))
     return out.select("feature", F.when(~F.col("backed"), "PROVISIONAL_DISCOVERY").when(F.size("blockers") == 0, "VERIFIED").otherwise("CANDIDATE").alias("status"), "blockers")
 
 

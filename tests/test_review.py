@@ -71,3 +71,22 @@ def test_conditions_in_order(spark):
     df = spark.createDataFrame([(["a", "b"],), (["b"],), ([],), (None,)], "d array<string>")
     got = [r[0] for r in df.select(R.first_met(F.col("d"), [("none", ()), ("both", ("b", "a")), ("one", ("b",))])).collect()]
     assert got == ["both", "one", None, None]
+
+
+def test_permitted_brings_a_feature_together_once(spark):
+    features = spark.createDataFrame([(1,), (None,)], "feature long")
+    a = spark.createDataFrame(
+        [(1, "EXISTENCE", "SUPPORTING", "ACCEPTED", None, ["s9", "s2"]), (1, "EXISTENCE", "DIRECT", "ACCEPTED", "reviewer", ["s2"]), (None, "EXISTENCE", "DIRECT", "ACCEPTED", "reviewer", ["s2"]), (1, "EXISTENCE", None, None, None, None)],
+        "feature long, dimension string, effective string, adjudication string, adjudicator string, source_ids array<string>",
+    )
+    cites = spark.createDataFrame([(1, 10), (None, 10), (1, 12)], "feature long, observation long")
+    seen = spark.createDataFrame([(10, "s3", True), (12, None, None)], "observation long, source string, located boolean")
+    sources = spark.createDataFrame([("s2", None), ("s3", "UNREGISTERED")], "source string, provenance string")
+    found = R.permitted(features, a, cites, seen, sources, "maker")
+    got = {r.feature: (r.status, r.blockers) for r in found.collect()}
+    opening = "; a verified access point needs a directly observed physical opening"
+    loose = [f"EXISTENCE cites source {s} whose exact bytes are not registered" for s in ("s2", "s9")]
+    assert got[1] == ("CANDIDATE", ["evidence reaches FEATURE" + opening, *loose])
+    assert got[None] == ("PROVISIONAL_DISCOVERY", ["evidence reaches ANOMALY" + opening, "no observation carries source-backed coordinates"])
+    plan = R.permitted(features, a, cites, seen, sources, "maker")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(feature") == 1 and "ShuffledHashJoin" in plan
