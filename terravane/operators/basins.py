@@ -13,6 +13,7 @@ could drain into them is not closed. Regions join over sides and corners. A regi
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -271,12 +272,17 @@ def _hull_cells(r: np.ndarray, first: np.ndarray, last: np.ndarray) -> int:
 
 
 def hulls(outlines: DataFrame) -> DataFrame:
-    """label and hull (cells of its convex hull) of each region."""
+    """label and hull (cells of its convex hull) of each region.
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"label": part["label"].iloc[:1], "hull": [_hull_cells(part["row"].to_numpy(), part["c_first"].to_numpy(), part["c_last"].to_numpy())]})
+    Regions go to Python many at a time: most have a few lines, and a pandas group for each would cost more than its hull.
+    """
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield pd.DataFrame({"label": part["label"], "hull": [_hull_cells(*np.stack(lines).T) for lines in part["lines"]]})
 
-    return outlines.groupBy("label").applyInPandas(run, "label long, hull long")
+    lines = F.collect_list(F.array("row", "c_first", "c_last")).alias("lines")
+    return outlines.groupBy("label").agg(lines).mapInPandas(run, "label long, hull long")
 
 
 def depressions(cells: DataFrame, shape: Shape, dx: float, dy: float, min_depth: float, min_area: float, footprint_depth: float | None = None, origin: tuple[float, float] = (0.0, 0.0), tile: int = TILE) -> DataFrame:
@@ -349,22 +355,27 @@ def _median(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     return middle.groupBy(*keys).agg(F.avg(value).alias(name))
 
 
-def steps(cells: DataFrame, shape: Shape, tile: int = TILE) -> DataFrame:
-    """axis, index and step for every two neighbouring cells with data: "column" to the right, "row" downwards.
-
-    The step lies between index and index + 1.
-    """
+def _steps(cells: DataFrame, shape: Shape, tile: int) -> DataFrame:
+    """down (whether the step is downwards), index and step. No text leaves the Python workers: there are two rows a cell."""
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         a = grid_of(part, key, tile, 1, "value")[1:, 1:]
         out = []
-        for axis, near in (("column", a[:-1, 1:]), ("row", a[1:, :-1])):
+        for down, near in ((False, a[:-1, 1:]), (True, a[1:, :-1])):
             d = near - a[:-1, :-1]
             r, c = np.nonzero(np.isfinite(d))
-            out.append(pd.DataFrame({"axis": axis, "index": (c + int(key[1]) * tile) if axis == "column" else (r + int(key[0]) * tile), "step": d[r, c]}))
+            out.append(pd.DataFrame({"down": np.full(len(r), down), "index": (r + int(key[0]) * tile) if down else (c + int(key[1]) * tile), "step": d[r, c]}))
         return pd.concat(out)
 
-    return dealt(cells.select("row", "col", "value"), shape, tile, 1, "value").groupBy("tr", "tc").applyInPandas(run, "axis string, index long, step double")
+    return dealt(cells.select("row", "col", "value"), shape, tile, 1, "value").groupBy("tr", "tc").applyInPandas(run, "down boolean, index long, step double")
+
+
+def steps(cells: DataFrame, shape: Shape, tile: int = TILE) -> DataFrame:
+    """axis, index and step for every two neighbouring cells with data: "column" to the right, "row" downwards.
+
+    The step lies between index and index + 1.
+    """
+    return _steps(cells, shape, tile).select(F.when(F.col("down"), "row").otherwise("column").alias("axis"), "index", "step")
 
 
 def seams(cells: DataFrame, shape: Shape, z_threshold: float = 8.0, min_sign_share: float = 0.9, min_run_share: float = 0.5, min_step: float = 0.0, tile: int = TILE) -> DataFrame:
@@ -374,12 +385,16 @@ def seams(cells: DataFrame, shape: Shape, z_threshold: float = 8.0, min_sign_sha
     a standard deviation), and most of its steps have one sign. Lines with too few steps do not count, and an axis with
     fewer than five lines that count has no seams; if the median deviation is 0 the standard deviation is taken.
     """
-    all_steps = saved(steps(cells, shape, tile))
+    all_steps = saved(_steps(cells, shape, tile))
     length = F.when(F.col("axis") == "column", shape[0]).otherwise(shape[1])
     # Zeros are of neither sign.
-    lines = all_steps.groupBy("axis", "index").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("step") > 0).alias("up"), F.count_if(F.col("step") < 0).alias("down"))
+    lines = all_steps.groupBy("down", "index").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("step") > 0).alias("up"), F.count_if(F.col("step") < 0).alias("down_steps"))
+    lines = lines.withColumn("axis", F.when(F.col("down"), "row").otherwise("column"))
     usable = lines.where(F.col("n") >= F.greatest(F.lit(3), F.ceil(length * F.lit(min_run_share))))
-    usable = saved(usable.join(_median(all_steps, ["axis", "index"], "step", "med"), ["axis", "index"]))
+    # Lines know their number of steps, so one rank over the sorted steps is enough for their medians.
+    ranked = all_steps.withColumn("k", F.row_number().over(Window.partitionBy("down", "index").orderBy("step")))
+    middle = ranked.join(usable, ["down", "index"]).where((F.col("k") >= F.floor((F.col("n") + 1) / 2)) & (F.col("k") <= F.floor(F.col("n") / 2) + 1))
+    usable = saved(middle.groupBy("axis", "index", "n", "up", "down_steps").agg(F.avg("step").alias("med")).withColumnRenamed("down_steps", "down"))
     # From here on there is a row a line.
     centre = _median(usable, ["axis"], "med", "centre").join(usable.groupBy("axis").agg(F.count(F.lit(1)).alias("n_lines"), F.stddev_pop("med").alias("sd")), "axis")
     off = usable.join(centre, "axis").withColumn("off", F.abs(F.col("med") - F.col("centre")))

@@ -232,3 +232,11 @@ def test_escarpments_are_the_same_for_all_tiles(spark, monkeypatch):
     assert (n, label) in {(len(own), own[0][0] * 100 + own[0][1]) for own in steep}
     with pytest.raises(ValueError):
         basins.escarpments(frame(spark, z), z.shape, 1.0, 1.0, 90.0, 20.0)
+
+
+def test_hulls_are_taken_many_at_a_time(spark):
+    lines = [(k, k + i, 3 * k - i, 3 * k + 2 * i) for k in range(40) for i in range(1 + k % 5)]
+    found = basins.hulls(spark.createDataFrame(lines, "label long, row long, c_first long, c_last long"))
+    want = {k: basins._hull_cells(*np.array([x[1:] for x in lines if x[0] == k]).T) for k in range(40)}
+    assert {r["label"]: r["hull"] for r in found.collect()} == want
+    assert "MapInPandas" in found._jdf.queryExecution().executedPlan().toString()
