@@ -46,8 +46,12 @@ _EDGES = f"""{FLIGHTS}, e1 AS (SELECT origin, dest, callsign, count(*) AS n, sum
 SQL["route_edges"] = f"WITH {_EDGES} SELECT origin, dest, n_flights, round(mean_minutes,6) AS mean_minutes, callsign, round(confidence,6) AS confidence FROM edges"
 
 
+def _ends(spark: SparkSession, sf: str) -> DataFrame:
+    return sites(spark, sf, "supplier").select("id", "lon", "lat")
+
+
 def route_corridors(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(I.corridors(sites(spark, sf, "supplier").select("id", "lon", "lat"), flights(spark, sf)), "lon", "lat")
+    return I.spelled_corridors(rounded(I.corridor_groups(_ends(spark, sf), flights(spark, sf)), "lon", "lat"))
 
 
 SQL["route_corridors"] = f"""WITH {FLIGHTS}, {site_sql("supplier")},

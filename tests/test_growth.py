@@ -1,11 +1,12 @@
 """Steps whose work grew faster than their tables: what they hold or send now is bounded by the input or the answer."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from terravane.operators import contracts, copies, evidence, graph, grids, identity, joins, ledger, linkage
+from terravane.operators import contracts, copies, evidence, graph, grids, identity, intake, joins, ledger, linkage
 
 
 def saved_rows(monkeypatch, module):
@@ -111,3 +112,32 @@ def test_links_of_equal_names_are_spelled_out_in_blocks(spark, monkeypatch):
     got = [(r["id"], r["other_id"], round(r["similarity"], 6)) for r in linkage.similar_names(a, b, 0.5).collect()]
     assert sorted(got) == [(i, j, 0.666667) for i in range(20) for j in range(20)]
     assert sides == ["t2", "t"]
+
+
+def test_corridors_between_copies_of_places_save_no_pair(spark, monkeypatch):
+    seen = saved_rows(monkeypatch, intake)
+    at = [(k / 16, 0.0) for k in range(12)]
+    found = spark.createDataFrame([(k, *at[k % 12]) for k in range(36)], "id long, lon double, lat double")
+    flights = spark.createDataFrame([(*p, *q) for p in at for q in at for _ in range(2)], "origin_lon double, origin_lat double, dest_lon double, dest_lat double")
+    rows = intake.corridors(found, flights, 0.01).collect()
+    # Between every two rows, four flights; two within one coordinate, each in both directions.
+    assert len(rows) == 36 * 35 // 2 and {r["connecting"] for r in rows} == {4}
+    assert len({(r["place_a"], r["place_b"]) for r in rows}) == len(rows) and all(r["place_a"] < r["place_b"] for r in rows)
+    assert max(seen) <= 36
+    plan = intake.corridors(found, flights, 0.01)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(b") < plan.index("FlatMapGroupsInArrow") < plan.index("Join")
+
+
+def test_crowded_coordinates_are_dealt_in_parts(spark, monkeypatch):
+    for name, value in (("GIVEN", 8), ("FLOWN", 3), ("PLACES", 4), ("END_POINTS", 2)):
+        monkeypatch.setattr(intake, name, value)
+    monkeypatch.setattr(copies, "SIDE", 3)
+    at = [(0.0, 0.0), (0.05, 0.0), (1.0, 0.5)]
+    found = spark.createDataFrame([(f"p{k:02}", *at[k % 3]) for k in range(33)], "id string, lon double, lat double")
+    flown = [(*at[a], *at[b]) for a, b in ((0, 2), (0, 2), (2, 0), (1, 2), (0, 1), (1, 1))]
+    flights = spark.createDataFrame(flown, "origin_lon double, origin_lat double, dest_lon double, dest_lat double")
+    near = lambda x, y: [f"p{k:02}" for k in range(33) if abs(at[k % 3][0] - x) <= 0.1 and abs(at[k % 3][1] - y) <= 0.1]
+    want = Counter((min(a, b), max(a, b)) for x, y, p, q in flown for a in near(x, y) for b in near(p, q) if a != b)
+    want = {k: n for k, n in want.items() if n >= 2}
+    assert {(r["place_a"], r["place_b"]): r["connecting"] for r in intake.corridors(found, flights).collect()} == want
+    assert intake.corridors(found, flights).count() == len(want) == intake.corridor_classes(found, flights).agg(F.sum("n_pairs")).first()[0]
