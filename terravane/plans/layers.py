@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, geo
@@ -62,23 +62,38 @@ SQL["route_corridors"] = f"""WITH {FLIGHTS}, {site_sql("supplier")},
  SELECT place_a, place_b, round(lon,6) AS lon, round(lat,6) AS lat, connecting, CASE WHEN connecting >= 5 THEN 'HIGH' WHEN connecting >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS label, {_class_sql("lon", "lat")} AS nearness FROM m"""
 
 
-def _candidates(spark: SparkSession, sf: str, counted: bool = False) -> DataFrame:
-    """Places, flights, corridors and sites as one relation; counted, with a row for all corridors between two coordinates and n_rows."""
+def _others(spark: SparkSession, sf: str) -> DataFrame:
+    """Places, flights and sites as one relation."""
     none = lambda t: F.lit(None).cast(t)
     pins = I.places(points(spark, sf)).select(F.concat_ws("_", F.lit("P"), F.col("lat_cell").cast("string"), F.col("lon_cell").cast("string")).alias("id"), F.lit("poi").alias("kind"), "lon", "lat", "confidence", none("string").alias("corridor_id"), none("long").alias("connecting"), none("double").alias("alignment"))
     f = flights(spark, sf)
     paths = f.select(F.concat(F.lit("F_"), F.col("flight_id").cast("string")).alias("id"), F.lit("ilap").alias("kind"), F.col("origin_lon").alias("lon"), F.col("origin_lat").alias("lat"), ((F.col("flight_id") % 100) / 100.0).alias("confidence"), F.concat(F.lit("ILAP_"), F.col("flight_id").cast("string")).alias("corridor_id"), none("long").alias("connecting"), ((F.col("flight_id") % 100) / 100.0).alias("alignment"))
-    ends = sites(spark, sf, "supplier").select("id", "lon", "lat")
-    pairs = I.corridor_classes(ends, f).withColumnsRenamed({"a": "place_a", "b": "place_b", "n_pairs": "n_rows"}) if counted else I.corridors(ends, f)
-    c = pairs.select(F.concat_ws("_", F.lit("C"), F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("id"), F.lit("corridor").alias("kind"), "lon", "lat", F.least(F.lit(1.0), F.col("connecting") / 5.0).alias("confidence"), F.concat_ws("|", F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("corridor_id"), "connecting", none("double").alias("alignment"), *(["n_rows"] if counted else []))
     s = sites(spark, sf).select(F.concat(F.lit("S_"), F.col("id").cast("string")).alias("id"), F.lit("poi").alias("kind"), "lon", "lat", ((F.col("id") % 97) / 97.0).alias("confidence"), none("string").alias("corridor_id"), none("long").alias("connecting"), none("double").alias("alignment"))
-    others = pins.unionByName(paths).unionByName(s)
-    return (others.withColumn("n_rows", F.lit(1).cast("long")) if counted else others).unionByName(c)
+    return pins.unionByName(paths).unionByName(s)
+
+
+def _corridor(place_a: Column, place_b: Column) -> list[Column]:
+    """A corridor as a candidate; its two places may be any of those at its ends, as all numbers stand for the same."""
+    both = lambda sep, *more: F.concat_ws(sep, *more, place_a.cast("string"), place_b.cast("string"))
+    return [both("_", F.lit("C")).alias("id"), F.lit("corridor").alias("kind"), F.col("lon"), F.col("lat"), F.least(F.lit(1.0), F.col("connecting") / 5.0).alias("confidence"), both("|").alias("corridor_id"), F.col("connecting"), F.lit(None).cast("double").alias("alignment")]
+
+
+def _counted(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates with n_rows: one row for all corridors between two coordinates."""
+    pairs = I.corridor_classes(_ends(spark, sf), flights(spark, sf))
+    return _others(spark, sf).withColumn("n_rows", F.lit(1).cast("long")).unionByName(pairs.select(*_corridor(F.col("a"), F.col("b")), F.col("n_pairs").alias("n_rows")))
 
 
 def intake(spark: SparkSession, sf: str) -> DataFrame:
-    c = I.tiers(I.context(_candidates(spark, sf).withColumn("confidence", F.round("confidence", 4))))
-    return c.select("id", "kind", "confidence", "nearness", "water", "utility", "terrain", "role", "assertion", F.round("boundary_m", 1).alias("boundary_m"), "corridor_flag", "tier", "fact_status", "review_status")
+    def judged(c: DataFrame) -> DataFrame:
+        return I.tiers(I.context(c.withColumn("confidence", F.round("confidence", 4)))).withColumn("boundary_m", F.round("boundary_m", 1))
+
+    names = ["id", "kind", "confidence", "nearness", "water", "utility", "terrain", "role", "assertion", "boundary_m", "corridor_flag", "tier", "fact_status", "review_status"]
+    # Corridors between the same two coordinates are judged once and spelled out last.
+    groups = I.corridor_groups(_ends(spark, sf), flights(spark, sf))
+    pairs = judged(groups.select("a", "b", "alone", *_corridor(F.get("a", F.lit(0)), F.get("b", F.lit(0)))))
+    rows = I.spelled_corridors(pairs.select("a", "b", "alone", *names[1:])).select(F.concat_ws("_", F.lit("C"), F.col("place_a").cast("string"), F.col("place_b").cast("string")).alias("id"), *names[1:])
+    return judged(_others(spark, sf)).select(*names).unionByName(rows)
 
 
 def _terrain_sql() -> str:
@@ -107,7 +122,7 @@ SQL["intake"] = f"WITH {_CAND} SELECT id, kind, confidence, nearness, water, uti
 
 
 def gap_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(I.gap_audit(I.context(_candidates(spark, sf, counted=True))), "share_mbil_0")
+    return rounded(I.gap_audit(I.context(_counted(spark, sf))), "share_mbil_0")
 
 
 SQL["gap_audit"] = f"""WITH {_CAND} SELECT count(*) AS total, count(*) FILTER (corridor_id IS NULL AND kind = 'poi') AS isolated, count(*) FILTER (water='no' AND utility='no') AS no_water_or_utility,
@@ -115,7 +130,7 @@ SQL["gap_audit"] = f"""WITH {_CAND} SELECT count(*) AS total, count(*) FILTER (c
 
 
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    c = I.tiers(I.context(_candidates(spark, sf, counted=True).withColumn("confidence", F.round("confidence", 4))))
+    c = I.tiers(I.context(_counted(spark, sf).withColumn("confidence", F.round("confidence", 4))))
     return I.distribution(c, ["tier", "nearness", "terrain", "review_status"])
 
 

@@ -1,12 +1,15 @@
 """Steps whose work grew faster than their tables: what they hold or send now is bounded by the input or the answer."""
 
+import math
 import random
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from terravane.functions import geo
 from terravane.operators import contracts, copies, evidence, graph, grids, identity, intake, joins, ledger, linkage
+from terravane.plans import layers
 
 
 def saved_rows(monkeypatch, module):
@@ -141,3 +144,18 @@ def test_crowded_coordinates_are_dealt_in_parts(spark, monkeypatch):
     want = {k: n for k, n in want.items() if n >= 2}
     assert {(r["place_a"], r["place_b"]): r["connecting"] for r in intake.corridors(found, flights).collect()} == want
     assert intake.corridors(found, flights).count() == len(want) == intake.corridor_classes(found, flights).agg(F.sum("n_pairs")).first()[0]
+
+
+def test_nearest_fixed_points_take_columns_and_keep_nulls(spark):
+    rows = [(-66.1, 18.4), (-67.0, 18.0), (None, 18.0), (-66.0, None), (float("nan"), 18.0)]
+    some = [(18.4655, -66.1057), (18.0099, -66.6140), (18.4279, -66.7177)]
+    got = spark.createDataFrame(rows, "lon double, lat double").select(geo.nearest_of(F.col("lon"), F.col("lat"), some).alias("d"))
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+    d = [r["d"] for r in got.collect()]
+    assert d[:2] == [min(math.sqrt((x - b) * (x - b) + (y - a) * (y - a)) for a, b in some) for x, y in rows[:2]]
+    assert d[2:4] == [None, None] and math.isnan(d[4])
+
+
+def test_corridors_are_judged_before_they_are_spelled_out(spark):
+    plan = layers.intake(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(a") < plan.rindex("ArrowEvalPython")
