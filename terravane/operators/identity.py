@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,20 +63,88 @@ def name_key(name: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(low, rf"\b({'|'.join(GENERIC)})\b", " "), "[^a-z0-9]+", " "))
 
 
-@pandas_udf(DoubleType())
-def matching_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """2 * M / T with M the letters of matching blocks and T those of both texts; 1 for equal texts, 0 beside an empty one."""
-    from difflib import SequenceMatcher
-
-    for left, right in batches:
-        # The matcher keeps what it knows of the second text.
-        out = pd.Series(0.0, index=left.index)
-        for b, rows in left.groupby(right, sort=False):
-            m = SequenceMatcher(None, "", b)
-            for i, a in rows.items():
-                m.set_seq1(a)
-                out.at[i] = 0.0 if not a or not b else 1.0 if a == b else m.ratio()
-        yield out
+#: Cells (pairs by letters) that matching_ratio() compares at a time, and texts from which difflib passes over common letters.
+CELLS, LONG = 1 << 16, 200
+
+
+def _matching_ratio():
+    """The function of matching_ratio(), whole, as it is sent to tasks."""
+
+    def letters(texts: list[str], width: int, pad: int) -> np.ndarray:
+        code = np.array(texts, f"U{width}").view(np.uint32).reshape(len(texts), width).astype(np.int32)
+        return np.where(np.arange(width) < np.array([len(t) for t in texts])[:, None], code, np.int32(pad))
+
+    def matches(left: list[str], right: list[str]) -> np.ndarray:
+        """Letters of matching blocks of pairs of texts, all pairs a step: the longest block (the first of equals), then what is left and right of it."""
+        na, nb = (np.array([len(t) for t in x]) for x in (left, right))
+        a, b = letters(left, na.max(), -1), letters(right, nb.max(), -2)
+        total = np.zeros(len(left), np.int64)
+        pair, a0, a1, b0, b1 = np.arange(len(left)), np.zeros_like(na), na, np.zeros_like(nb), nb
+        while len(pair):
+            rows, deep, wide = np.arange(len(pair)), np.arange((a1 - a0).max()), np.arange((b1 - b0).max())
+            ours = np.where(deep < (a1 - a0)[:, None], a[pair[:, None], np.minimum(a0[:, None] + deep, a.shape[1] - 1)], -1)
+            theirs = np.where(wide < (b1 - b0)[:, None], b[pair[:, None], np.minimum(b0[:, None] + wide, b.shape[1] - 1)], -2)
+            size, i, j = (np.zeros(len(pair), np.int64) for _ in range(3))
+            run = np.zeros((len(pair), len(wide) + 1), np.int16)
+            for k in deep:
+                run[:, 1:] = (run[:, :-1] + np.int16(1)) * (theirs == ours[:, k, None])
+                end = run.argmax(1)
+                most = run[rows, end]
+                more = most > size
+                size[more], i[more], j[more] = most[more], k + 1 - most[more], end[more] - most[more]
+            i, j = i + a0, j + b0
+            np.add.at(total, pair, size)
+            ends = [(a0, i, b0, j), (i + size, a1, j + size, b1)]
+            some = [(size > 0) & (x0 < x1) & (y0 < y1) for x0, x1, y0, y1 in ends]
+            pair, a0, a1, b0, b1 = (np.concatenate([c[m] for c, m in zip(cs, some, strict=True)]) for cs in zip(*((pair, *e) for e in ends), strict=True))
+        return total
+
+    def in_common(left: list[str], right: list[str]) -> np.ndarray:
+        """Letters of both texts in any order, which blocks cannot pass."""
+        a, b = letters(left, max(map(len, left)), -1), letters(right, max(map(len, right)), -2)
+        return sum(np.minimum((a == c).sum(1), (b == c).sum(1)) for c in np.intersect1d(a, b)) + np.zeros(len(left), np.int64)
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        from difflib import SequenceMatcher
+
+        for left, right, *least in batches:
+            a, b = left.tolist(), right.tolist()
+            out = np.array([1.0 if x and x == y else 0.0 for x, y in zip(a, b, strict=True)])
+            long = [k for k, (x, y) in enumerate(zip(a, b, strict=True)) if x and y and x != y and max(len(x), len(y)) >= LONG]
+            for k in long:
+                out[k] = SequenceMatcher(None, a[k], b[k]).ratio()
+            short = sorted((k for k, (x, y) in enumerate(zip(a, b, strict=True)) if x and y and x != y and max(len(x), len(y)) < LONG), key=lambda k: len(b[k]))
+            while short:
+                n = max(1, CELLS // len(b[short[-1]]))
+                some, short = short[-n:], short[:-n]
+                x, y = [a[k] for k in some], [b[k] for k in some]
+                total = np.array([len(s) + len(t) for s, t in zip(x, y, strict=True)])
+                if least:
+                    can = 2.0 * in_common(x, y) / total >= least[0].to_numpy()[some]
+                    out[[k for k, c in zip(some, can, strict=True) if not c]] = np.nan
+                    some, x, y, total = [k for k, c in zip(some, can, strict=True) if c], [t for t, c in zip(x, can, strict=True) if c], [t for t, c in zip(y, can, strict=True) if c], total[can]
+                if some:
+                    out[some] = 2.0 * matches(x, y) / total
+            yield pd.Series(out, index=left.index)
+
+    return run
+
+
+#: 2 * M / T with M the letters of matching blocks and T those of both texts; 1 for equal texts, 0 beside an empty one.
+matching_ratio = pandas_udf(_matching_ratio(), DoubleType())
+#: The same with a third column, the least ratio of use: null where the letters in common cannot give it.
+ratio_from = pandas_udf(_matching_ratio(), DoubleType())
+
+
+#: Pairs of names that make a task worth while, and the most tasks.
+COMPARED, MOST_TASKS = 1 << 14, 2048
+
+
+def _ratios(pairs: DataFrame, a: str, b: str, least: Column) -> DataFrame:
+    """a, b and similarity of each pair of names once, null where it cannot reach least. Comparing takes far longer than reading, so tasks are dealt by pairs and not by bytes."""
+    n = min(MOST_TASKS, pairs.count() // COMPARED + 1)
+    once = pairs.select(a, b, least.alias("least")).repartition(n, a, b).groupBy(a, b).agg(F.min("least").alias("least"))
+    return once.select(a, b, ratio_from(a, b, "least").alias("similarity"))
 
 
 def _by_number(records: DataFrame, rules: list) -> DataFrame | None:
@@ -96,7 +165,7 @@ def _by_number(records: DataFrame, rules: list) -> DataFrame | None:
 def _spots(records: DataFrame, names: tuple[str, ...], place: str, key: str) -> DataFrame:
     """id, place and name key of the records of some sources that have a place."""
     at = F.struct(F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"))
-    return records.where(F.col("source").isin(*names) & F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", F.struct(at.alias(place), name_key(F.col("name")).alias(key)).alias(key))
+    return records.where(F.col("source").isin(*names) & F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", F.struct(at.alias(place), F.col("name_key").alias(key)).alias(key))
 
 
 def _spot_pairs(records: DataFrame, rules: list[PlaceRule], salts: int) -> DataFrame:
@@ -108,17 +177,18 @@ def _spot_pairs(records: DataFrame, rules: list[PlaceRule], salts: int) -> DataF
     for k, r in enumerate(rules):
         left, right = _spots(records, r.left, "place", "a").select("a").distinct(), _spots(records, r.right, "other_place", "b").select("b").distinct()
         pairs = place_pairs(left.select("a.place.*"), right.select("b.other_place.*"), r.metres, salts)
-        one = pairs.join(left.select("a", "a.place"), "place").join(right.select("b", "b.other_place"), "other_place").select(F.lit(k).alias("rule"), "a", "b", "distance_m")
+        # The least similarity with which a pair is kept; null where none is enough.
+        least = F.least(*(F.when(F.col("distance_m") <= most, ratio) for most, ratio in (*r.binds, (r.candidate_metres, 0.0))), F.lit(None))
+        one = copies.spelled_pairs(pairs.withColumn("least", least).where("least is not null"), left.select("a", "a.place"), right.select("b", "b.other_place"), "place", "other_place").select(F.lit(k).alias("rule"), "a", "b", "distance_m", "least")
         met = one if met is None else met.unionByName(one)
     met = saved(met.select("*", F.col("a.a").alias("name"), F.col("b.b").alias("name2")))
-    ratios = met.select("name", "name2").distinct().withColumn("similarity", matching_ratio("name", "name2"))
-    bound, keep = F.lit(False), F.lit(False)
+    ratios = _ratios(met, "name", "name2", F.col("least"))
+    bound, keep = F.lit(False), F.col("similarity") >= F.col("least")
     for k, r in enumerate(rules):
         ok = F.lit(False)
         for most, least in r.binds:
             ok = ok | ((F.col("distance_m") <= most) & (F.col("similarity") >= least))
         bound = F.when(F.col("rule") == k, ok).otherwise(bound)
-        keep = F.when(F.col("rule") == k, ok | (F.col("distance_m") <= r.candidate_metres)).otherwise(keep)
     return saved(met.join(ratios, ["name", "name2"]).where(keep).select("rule", "a", "b", "distance_m", "similarity", bound.alias("binding")))
 
 
@@ -126,22 +196,26 @@ def _number_edges(records: DataFrame, rules: list) -> DataFrame | None:
     numbers = _by_number(records, rules)
     if numbers is None:
         return None
-    a = records.select("id", name_key(F.col("name")).alias("a"), "lon", "lat")
-    b = records.select(F.col("id").alias("other_id"), name_key(F.col("name")).alias("b"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
+    a = records.select("id", F.col("name_key").alias("a"), "lon", "lat")
+    b = records.select(F.col("id").alias("other_id"), F.col("name_key").alias("b"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2"))
     # least() in the distance passes over nulls, so these have to be kept out.
     placed = F.col("lon").isNotNull() & F.col("lat").isNotNull() & F.col("lon2").isNotNull() & F.col("lat2").isNotNull()
     distance = F.when(placed, geo.haversine(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2")))
     full = saved(numbers.join(a, "id").join(b, "other_id").withColumn("distance_m", distance))
-    ratios = full.select("a", "b").distinct().withColumn("similarity", matching_ratio("a", "b"))
-    similarity = F.when(F.col("relation") == "DUPLICATE_SOURCE_ROW", 1.0).otherwise(F.col("similarity"))
-    return full.join(ratios, ["a", "b"]).select("id", "other_id", "relation", F.lit(True).alias("binding"), F.lit("DIRECT").alias("confidence"), "distance_m", similarity.alias("similarity"))
+    # Rows of one source with one number are one whatever their names, which are not compared.
+    repeated = F.col("relation") == "DUPLICATE_SOURCE_ROW"
+    ratios = _ratios(full.where(~repeated), "a", "b", F.lit(0.0))
+    compared = full.where(~repeated).join(ratios, ["a", "b"]).unionByName(full.where(repeated).withColumn("similarity", F.lit(1.0)))
+    return compared.select("id", "other_id", "relation", F.lit(True).alias("binding"), F.lit("DIRECT").alias("confidence"), "distance_m", "similarity")
 
 
 def _parted(records: DataFrame, rules: list) -> tuple[DataFrame, list, list]:
     if not rules:
         raise ValueError("no rules")
     places = [r for r in rules if isinstance(r, PlaceRule)]
-    return records.select("id", "source", "name", "number", "lon", "lat", "ord"), [r for r in rules if not isinstance(r, PlaceRule)], places
+    # Every rule reads the records, and names are long in folding.
+    keyed = saved(records.select("id", "source", name_key(F.col("name")).alias("name_key"), "number", "lon", "lat", "ord"))
+    return keyed, [r for r in rules if not isinstance(r, PlaceRule)], places
 
 
 def identity_edges(records: DataFrame, rules: list, salts: int = 1) -> DataFrame:

@@ -197,3 +197,18 @@ def test_titles_and_names_are_not_broadcast(spark, monkeypatch):
         keyed = [line for line in sides if "[key" in line]
         assert bool(keyed) == (keys > 0) and all("BuildRight" in line for line in keyed) and not [line for line in sides if "[title" in line]
         assert sorted(tuple(r) for r in got.select("id", "ref_id").collect()) == [(k, f"R{k % 9}") for k in range(40)]
+
+
+def test_ratios_of_many_names_equal_difflib_and_stop_where_letters_do_not_suffice():
+    import pandas as pd
+    from difflib import SequenceMatcher
+
+    r = random.Random(9)
+    word = lambda letters, n: "".join(r.choice(letters) for _ in range(r.randrange(n)))
+    pairs = [(word(x, n), word(x, n)) for x, n in (("ab", 9), ("abc d", 30), ("0123456789", 12), ("añ€😀", 20), ("abc", 260)) for _ in range(200)] + [("same", "same"), ("", "")]
+    left, right = (pd.Series(x) for x in zip(*pairs, strict=True))
+    least = pd.Series([r.choice([0.0, 0.5, 0.8]) for _ in pairs])
+    want = [0.0 if not a or not b else SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+    assert next(identity.matching_ratio.func(iter([(left, right)]))).tolist() == want
+    some = next(identity.ratio_from.func(iter([(left, right, least)]))).tolist()
+    assert all(g == w or (math.isnan(g) and w < x) for g, w, x in zip(some, want, least, strict=True)) and any(map(math.isnan, some))
