@@ -212,3 +212,17 @@ def test_ratios_of_many_names_equal_difflib_and_stop_where_letters_do_not_suffic
     assert next(identity.matching_ratio.func(iter([(left, right)]))).tolist() == want
     some = next(identity.ratio_from.func(iter([(left, right, least)]))).tolist()
     assert all(g == w or (math.isnan(g) and w < x) for g, w, x in zip(some, want, least, strict=True)) and any(map(math.isnan, some))
+
+
+def test_names_of_repeated_numbers_are_not_compared(spark, monkeypatch):
+    seen, step = [], identity._ratios
+
+    def run(pairs, *more):
+        seen.append(pairs.count())
+        return step(pairs, *more)
+
+    monkeypatch.setattr(identity, "_ratios", run)
+    rows = [(k, "S", f"n{k}", "7", 0.0, 0.0, k) for k in range(5)] + [(9, "W", "n9", "7", 0.0, 0.0, 9)]
+    df = spark.createDataFrame(rows, "id long, source string, name string, number string, lon double, lat double, ord long")
+    got = identity.identity_edges(df, [identity.RepeatRule("S"), identity.NumberRule("W", "S")]).collect()
+    assert seen == [1] and sorted((r["id"], r["other_id"], r["similarity"]) for r in got) == [*((0, k, 1.0) for k in range(1, 5)), (9, 4, 0.5)]
